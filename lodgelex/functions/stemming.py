@@ -1,22 +1,29 @@
 """Porter's suffix-stripping algorithm (M. F. Porter, "An algorithm for suffix stripping", 1980).
 
 The stemmer itself is a small helper for one word.  ``stem_tokens`` applies it to token arrays: each
-Arrow batch is dictionary-encoded first, so a word is stemmed once per batch and usually comes from
-the worker's cache.  The step is narrow.  Joining stems back through a vocabulary table would move
+Arrow batch is dictionary-encoded first, so a word is looked up once per batch and stemmed once per
+task.  The step is narrow.  Joining stems back through a vocabulary table would move
 every token row across the network on a key ("the", "room") that a large share of the rows hold.
 """
 
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+import sys
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The functions travel to the executors with the plan, so nothing has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Stems a task remembers before it starts afresh.
+REMEMBERED = 1 << 18
+
 # Suffix tables of the published algorithm.
 STEP_1A = {"sses": "ss", "ies": "i", "ss": "ss", "s": ""}
 STEP_2 = {
@@ -34,6 +41,7 @@ STEP_4 = (
 )
 
 _VC = re.compile("v+c+")
+_seen: dict[str, str] = {}
 
 
 def _ending(suffixes) -> re.Pattern:
@@ -109,7 +117,6 @@ def _final_e(word: str) -> str:
     return stem if m > 1 or (m == 1 and not _short_end(stem, shape)) else word
 
 
-@lru_cache(maxsize=1 << 18)
 def porter_stem(word: str) -> str:
     found = _ENDING["1a"].search(word)
     if found:
@@ -132,16 +139,24 @@ def porter_stem(word: str) -> str:
     return word
 
 
+def _remembered_stem(word: str | None) -> str | None:
+    if word is None:
+        return None
+    stem = _seen.get(word)
+    if stem is None:
+        if len(_seen) >= REMEMBERED:
+            _seen.clear()
+        stem = _seen[word] = porter_stem(word)
+    return stem
+
+
 def _stem_values(words: pa.Array) -> pa.Array:
     """Stem the distinct values only."""
     coded = pc.dictionary_encode(words)
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    stems = pa.array(
-        [None if w is None else porter_stem(w) for w in coded.dictionary.to_pylist()],
-        type=pa.string(),
-    )
-    return stems.take(coded.indices)
+    stems = [_remembered_stem(word) for word in coded.dictionary.to_pylist()]
+    return pa.array(stems, pa.string()).take(coded.indices)
 
 
 @F.arrow_udf(T.StringType())

@@ -19,11 +19,20 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_RE), F.lit(0))
 
 
-def with_tokens(df: DataFrame, text: str, name: str = "tokens") -> DataFrame:
-    """``df`` with a token array; a column that already holds an array is taken as it is."""
+def tokens_of(df: DataFrame, text: str) -> Column:
+    """The tokens of a string column, or an array column as it is."""
     if isinstance(df.schema[text].dataType, T.ArrayType):
-        return df.withColumn(name, F.col(text))
-    return df.withColumn(name, word_tokens(F.col(text)))
+        return F.col(text)
+    return word_tokens(F.col(text))
+
+
+def non_empty(tokens: Column) -> Column:
+    """Generator of one row holding ``tokens``, or of none when they are empty or null.
+
+    The same as a filter on the size, except that a filter would be pushed below the projection and
+    have the tokens computed twice.
+    """
+    return F.explode(F.filter(F.array(tokens), lambda t: F.size(t) > 0))
 
 
 def adjacent_words(tokens: str, n: int = 2) -> Column:
@@ -44,18 +53,17 @@ def outside(word: Column, words: Iterable[str]) -> Column:
     return ~word.isin(listed) if listed else F.lit(True)
 
 
-def distinct_terms_with_counts(tokens: str) -> Column:
-    """Count equal tokens inside one array: ``array<struct<word, n>>``.
-
-    ``tokens`` must name a *sorted* array.  A document sits in one row, so its term counts need no
-    shuffle: they are the distances between the places where the sorted array changes.
-    """
-    words = F.col(tokens)
-    starts = F.filter(
+def run_starts(words: Column) -> Column:
+    """The indexes at which the value of a sorted, non-empty array changes."""
+    return F.filter(
         F.sequence(F.lit(0), F.size(words) - 1),
         lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)),
     )
-    ends = F.concat(F.slice(starts, F.lit(2), F.size(words)), F.array(F.size(words)))
+
+
+def run_lengths(words: Column, starts: Column) -> Column:
+    """``array<struct<word, n>>``: the distances between the starts of a sorted array."""
+    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(words)))
     return F.zip_with(
         starts,
         ends,

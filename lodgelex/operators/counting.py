@@ -25,16 +25,16 @@ def matches(keys: Sequence[str], prefix: str = "_") -> Column:
     return condition
 
 
-def per_group(df: DataFrame, groups: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Add ``groups.value`` to the rows of ``df``.
+def per_group(df: DataFrame, groups: DataFrame, by: Sequence[str], *values: str) -> DataFrame:
+    """Add the ``values`` columns of ``groups`` to the rows of ``df``.
 
     ``groups`` is aggregated to one row per market, or to one row when ``by`` is empty.  A market is
     a country or a choice of countries, so the broadcast side has some hundreds of rows at any data
     size, while hashing ``df`` on the market would put a third of it into one task.
     """
     if not by:
-        return df.withColumn(value, groups.select(value).scalar())
-    right = groups.select(*[F.col(c).alias(f"_{c}") for c in by], value)
+        return df.withColumns({v: groups.select(v).scalar() for v in values})
+    right = groups.select(*[F.col(c).alias(f"_{c}") for c in by], *values)
     return df.join(F.broadcast(right), matches(by)).drop(*[f"_{c}" for c in by])
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import adjacent_words, outside, with_tokens
+from ..functions.text import adjacent_words, outside, tokens_of
 from ..session import LITERAL_WORDS, fits_broadcast
 
 KEYS = ("document_id", "country")
@@ -42,10 +42,10 @@ def words(
     ``text`` names a string column or an array of tokens already made.  With ``outer`` a listing
     without any token keeps one row with a null word, so that its market is not lost.
     """
+    # The tokeniser sits inside the generator: exploding a projected array instead would make the
+    # optimizer infer a filter on its size, that is, a second run of the tokeniser below it.
     explode = F.posexplode_outer if outer else F.posexplode
-    tokens = with_tokens(listings, text, "_tokens").select(
-        *keep, explode("_tokens").alias("pos", "word")
-    )
+    tokens = listings.select(*keep, explode(tokens_of(listings, text)).alias("pos", "word"))
     return tokens if stop is None else without_stop_words(tokens, stop)
 
 
@@ -61,21 +61,20 @@ def bigrams(
     remain in their document from 0.  A list too long for that is anti joined twice; there is no
     ``place`` then.
     """
-    paired = with_tokens(listings, text, "_tokens").select(
-        *keep, adjacent_words("_tokens").alias("_pairs")
-    )
+    # A projection of its own, since the pairs refer to the tokens several times.
+    tokens = listings.select(*keep, tokens_of(listings, text).alias("_tokens"))
+    pairs = adjacent_words("_tokens")
     listed = [] if stop is None else listed_words(stop)
     if listed is None:
-        exploded = paired.select(*keep, F.inline("_pairs"))
+        exploded = tokens.select(*keep, F.inline(pairs))
         return without_stop_words(without_stop_words(exploded, stop, "word1"), stop, "word2").select(
             *keep, "word1", "word2"
         )
-    pairs: Column = F.col("_pairs")
     if listed:
         pairs = F.filter(
             pairs, lambda p: outside(p["word1"], listed) & outside(p["word2"], listed)
         )
-    return paired.select(*keep, F.posexplode(pairs).alias("place", "_pair")).select(
+    return tokens.select(*keep, F.posexplode(pairs).alias("place", "_pair")).select(
         *keep, "place", "_pair.word1", "_pair.word2"
     )
 
@@ -97,6 +96,5 @@ def ngrams(
     listings: DataFrame, n: int, text: str = "text", keep: Sequence[str] = KEYS
 ) -> DataFrame:
     """``n`` neighbouring words, one column each."""
-    return with_tokens(listings, text, "_tokens").select(
-        *keep, F.inline(adjacent_words("_tokens", n))
-    )
+    tokens = listings.select(*keep, tokens_of(listings, text).alias("_tokens"))
+    return tokens.select(*keep, F.inline(adjacent_words("_tokens", n)))

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stemming import stem_tokens, stem_word
-from ..functions.text import distinct_terms_with_counts, outside, with_tokens
+from ..functions.text import non_empty, outside, run_lengths, run_starts, tokens_of
 from ..schema import TOPIC_TERMS
 from ..session import materialise
 from .counting import top_with_ties
@@ -37,17 +37,18 @@ def processed_documents(
     array of one row, so nothing is shuffled.  Only a stop list too long for a literal set takes the
     tokens apart for an anti join and back together.
     """
-    docs = with_tokens(listings.where(F.col(text).isNotNull()), text, "_tokens").select(
-        *keep, F.col("_tokens").alias("tokens")
-    )
+    known = listings.where(F.col(text).isNotNull())
+    tokens = tokens_of(known, text)
     listed = [] if stop is None else listed_words(stop)
     if listed is None:
-        exploded = docs.select(*keep, F.posexplode("tokens").alias("pos", "word"))
-        docs = ordered_tokens(without_stop_words(exploded, stop), keep)
+        exploded = known.select(*keep, F.posexplode(tokens).alias("pos", "word"))
+        known = ordered_tokens(without_stop_words(exploded, stop), keep)
+        tokens = F.col("tokens")
     elif listed:
-        docs = docs.withColumn("tokens", F.filter("tokens", lambda w: outside(w, listed)))
-    docs = docs.where(F.size("tokens") > 0)
-    return docs.withColumn("tokens", stem_tokens("tokens")) if stem else docs
+        tokens = F.filter(tokens, lambda w: outside(w, listed))
+    if stem:
+        tokens = stem_tokens(tokens)
+    return known.select(*keep, non_empty(tokens).alias("tokens"))
 
 
 def ordered_tokens(tokens: DataFrame, keep: Sequence[str] = KEYS) -> DataFrame:
@@ -65,9 +66,16 @@ def processed_texts(docs: DataFrame, keep: Sequence[str] = KEYS) -> DataFrame:
 
 
 def doc_terms(docs: DataFrame, keep: Sequence[str] = KEYS) -> DataFrame:
-    """Term counts per document: ``keep..., word, n``."""
-    ordered = docs.select(*keep, F.sort_array("tokens").alias("_sorted"))
-    return ordered.select(*keep, F.inline(distinct_terms_with_counts("_sorted")))
+    """Term counts per document: ``keep..., word, n``.
+
+    A document sits in one row, so its counts need no shuffle: they are the lengths of the runs in
+    its sorted tokens.
+    """
+    words = F.col("_sorted")
+    runs = docs.select(*keep, F.sort_array("tokens").alias("_sorted")).select(
+        *keep, "_sorted", run_starts(words).alias("_starts")
+    )
+    return runs.select(*keep, F.inline(run_lengths(words, F.col("_starts"))))
 
 
 def word_stems(words: DataFrame) -> DataFrame:
@@ -75,31 +83,10 @@ def word_stems(words: DataFrame) -> DataFrame:
     return words.select("word").distinct().withColumn("stem", stem_word("word"))
 
 
-def vocabulary(docs: DataFrame, min_df: int = 1) -> DataFrame:
-    """Terms long enough for the matrix that occur in ``min_df`` documents or more."""
-    terms = docs.select(F.explode(F.array_distinct("tokens")).alias("term")).where(
-        F.length("term") >= SHORTEST_TERM
-    )
-    counted = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return counted.where(F.col("df") >= min_df).select("term")
-
-
-def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """``document_id, features``; documents without a term of the vocabulary are left out."""
-    matrix = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="features")
-    kept = docs.where(F.exists("tokens", lambda t: F.length(t) >= SHORTEST_TERM))
-    return matrix.transform(kept).select("document_id", "features")
-
-
-def collect_vocabulary(docs: DataFrame, min_df: int, largest: int) -> list[str]:
-    """The vocabulary in term order, refused where the model could not hold it."""
-    rows = vocabulary(docs, min_df).limit(largest + 1).collect()
-    if len(rows) > largest:
-        raise ValueError(
-            f"more than {largest} terms: LDA keeps a topic row of that length on the driver and "
-            "in every task; raise min_df, choose a narrower slice, or raise the bound"
-        )
-    return sorted(row.term for row in rows)
+def long_terms(docs: DataFrame) -> DataFrame:
+    """Documents reduced to the terms of the matrix; documents without any are left out."""
+    kept = F.filter("tokens", lambda term: F.length(term) >= SHORTEST_TERM)
+    return docs.select("document_id", non_empty(kept).alias("tokens"))
 
 
 def fit_topics(
@@ -110,17 +97,29 @@ def fit_topics(
     max_iter: int = 20,
     largest_vocabulary: int = LARGEST_VOCABULARY,
 ) -> tuple[LDAModel, list[str]] | None:
-    """LDA by online variational Bayes; ``None`` when no document has a term.
+    """LDA by online variational Bayes and its vocabulary; ``None`` when no document has a term.
 
     The vectors are written once, since every iteration reads them; the texts are read twice, for the
-    vocabulary and for the vectors, which is less than writing all token arrays in between.
+    vocabulary and for the vectors, which is less than writing all token arrays in between.  A
+    vocabulary the model could not hold is refused, never cut: ``min_df`` is the way to say which
+    terms may go.
     """
-    terms = collect_vocabulary(docs, min_df, largest_vocabulary)
-    if not terms:
+    terms = long_terms(docs)
+    counter = CountVectorizer(
+        inputCol="tokens", outputCol="features", minDF=min_df, vocabSize=largest_vocabulary + 1
+    )
+    matrix = counter.fit(terms)
+    vocabulary = matrix.vocabulary
+    if not vocabulary:
         return None
-    vectors = materialise(term_vectors(docs, terms))
-    model = LDA(k=k, seed=seed, maxIter=max_iter, optimizer="online", featuresCol="features")
-    return model.fit(vectors), terms
+    if len(vocabulary) > largest_vocabulary:
+        raise ValueError(
+            f"more than {largest_vocabulary} terms: LDA keeps a topic row of that length on the "
+            "driver and in every task; raise min_df, choose a narrower slice, or raise the bound"
+        )
+    vectors = materialise(matrix.transform(terms).select("document_id", "features"))
+    lda = LDA(k=k, seed=seed, maxIter=max_iter, optimizer="online", featuresCol="features")
+    return lda.fit(vectors), vocabulary
 
 
 def topic_term_beta(spark, fitted: tuple[LDAModel, list[str]] | None) -> DataFrame:

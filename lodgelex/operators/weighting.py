@@ -16,14 +16,16 @@ def word_tf_idf(counts: DataFrame, doc: str = "country", term: str = "word") ->
     ``counts`` has one row per (document, term), the documents being markets.  A term therefore has
     at most one row per market, which bounds the window over it.
     """
-    totals = counts.groupBy(doc).agg(F.sum("n").alias("total_words"))
-    documents = totals.agg(F.count(F.lit(1)).alias("documents"))
-    weighted = per_group(counts, totals, [doc], "total_words").withColumn(
+    # The unpartitioned window runs over one row per market.
+    totals = counts.groupBy(doc).agg(F.sum("n").alias("total_words")).withColumn(
+        "documents", F.count(F.lit(1)).over(Window.partitionBy())
+    )
+    weighted = per_group(counts, totals, [doc], "total_words", "documents").withColumn(
         "doc_freq", F.count(F.lit(1)).over(Window.partitionBy(term))
     )
     return (
         weighted.withColumn("tf", F.col("n") / F.col("total_words"))
-        .withColumn("idf", F.ln(documents.scalar() / F.col("doc_freq")))
+        .withColumn("idf", F.ln(F.col("documents") / F.col("doc_freq")))
         .withColumn("tf_idf", F.col("tf") * F.col("idf"))
         .select(doc, term, "n", "total_words", "doc_freq", "tf", "idf", "tf_idf")
     )
@@ -52,17 +54,26 @@ def bigram_tf_idf(
     """``tf = n / N``, ``idf = ln(N / n)`` with ``n`` the occurrences of the bigram.
 
     ``n`` counts occurrences and not documents, so ``idf`` may be negative.  ``N`` is the document
-    count of each market, or ``n_docs`` for all of them.  One pass over the text: the first bigrams
-    of documents are counted along with the bigrams, and ``N`` is their sum.
+    count of each market, or ``n_docs`` for all of them.  One pass over the text: occurrences that
+    open a document are counted apart from the later ones, ``n`` is the sum of both and ``N`` that
+    of the openings.
     """
     by = list(by)
     if n_docs is not None:
         weighted = bigram_counts(pairs, by).withColumn("total_documents", F.lit(n_docs))
     elif "place" in pairs.columns:
-        counts = pairs.groupBy(*by, "word1", "word2").agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(F.col("place") == 0).alias("_first")
+        # Both uses of this table need both counts (the filter is always true), so column pruning
+        # leaves them the same aggregate and the second one reuses its exchange.
+        counts = (
+            pairs.groupBy(*by, "word1", "word2")
+            .agg(
+                F.count_if(F.col("place") == 0).alias("_opening"),
+                F.count_if(F.col("place") > 0).alias("_later"),
+            )
+            .withColumn("n", F.col("_opening") + F.col("_later"))
+            .where("n > 0")
         )
-        totals = counts.groupBy(*by).agg(F.sum("_first").alias("total_documents"))
+        totals = counts.groupBy(*by).agg(F.sum("_opening").alias("total_documents"))
         weighted = per_group(counts, totals, by, "total_documents")
     else:
         weighted = per_group(

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..functions.text import with_tokens
+from ..functions.text import tokens_of
 from ..operators import listings as li
 from ..operators.counting import count_by, top_with_ties
 from ..operators.graph import bigram_edges, bigram_nodes
@@ -70,8 +70,9 @@ def token_table(flat: DataFrame, text: str = "text") -> DataFrame:
     One row per listing rather than per token keeps a document's words in one row, so that bigrams,
     term counts and processed texts of saved listings stay free of shuffles.
     """
-    return with_tokens(flat, text).select(
-        "document_id", "country", li.RATING, "number_of_reviews", "coordinates", "tokens"
+    tokens = tokens_of(flat, text).alias("tokens")
+    return flat.select(
+        "document_id", "country", li.RATING, "number_of_reviews", "coordinates", tokens
     )
 
 

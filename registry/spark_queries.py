@@ -301,7 +301,7 @@ def artifact_round_trip(spark, folder):
     """Save the token table partitioned by country, load it and answer a panel from it."""
     target = f"{checkpoint_folder(spark)}/lodgelex-tables/{uuid.uuid4().hex}"
     save_table(markets.token_table(texts(spark, folder)), target, "tokens", ["country"])
-    loaded = load_table(spark, target, "tokens")
+    loaded = spread(load_table(spark, target, "tokens"), "document_id")
     panel = panels.tf_idf_panel(loaded, PANEL, sample_stop_words(spark), text="tokens")
     return rounded(panel, "tf", "idf", "tf_idf")
 
