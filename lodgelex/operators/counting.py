@@ -53,7 +53,7 @@ def top_with_ties(df: DataFrame, by: Sequence[str], measure: str, k: int) -> Dat
     else:
         top = known.select(measure).orderBy(order).limit(k)
         leaders = top.withColumn("_place", F.row_number().over(Window.orderBy(order)))
-    ranks = leaders.groupBy(*by, measure).agg(F.min("_place").alias("rank"))
+    ranks = leaders.groupBy(*by, measure).agg(F.min("_place").cast("long").alias("rank"))
     right = ranks.select(*[F.col(c).alias(f"_{c}") for c in (*by, measure)], "rank")
     # At most k rows per market: see per_group for the bound.
     return known.join(F.broadcast(right), matches([*by, measure])).drop(*[f"_{c}" for c in (*by, measure)])

@@ -26,7 +26,7 @@ def small_side(df: DataFrame) -> DataFrame:
 
 def without_stop_words(tokens: DataFrame, stop: DataFrame, word: str = "word") -> DataFrame:
     """Anti join on one word column."""
-    listed = small_side(stop.select(F.col("word").alias(word)).distinct())
+    listed = small_side(stop.select(F.col("word").alias(word)))
     return tokens.join(listed, word, "left_anti")
 
 
