@@ -44,20 +44,29 @@ _VC = re.compile("v+c+")
 _seen: dict[str, str] = {}
 
 
-def _ending(suffixes) -> re.Pattern:
-    """Pattern for the longest listed suffix of a word."""
-    return re.compile("(?:" + "|".join(sorted(suffixes, key=len, reverse=True)) + ")$")
 
+def _longest_first(suffixes) -> tuple[str, ...]:
+    return tuple(sorted(suffixes, key=len, reverse=True))
 
-_ENDING = {
-    "1a": _ending(STEP_1A),
-    "1b": _ending(("eed", "ed", "ing")),
-    "2": _ending(STEP_2),
-    "3": _ending(STEP_3),
-    "4": _ending(STEP_4),
+
+_ENDINGS = {
+    "1a": _longest_first(STEP_1A),
+    "1b": _longest_first(("eed", "ed", "ing")),
+    "2": _longest_first(STEP_2),
+    "3": _longest_first(STEP_3),
+    "4": _longest_first(STEP_4),
 }
 
 
+def _split_ending(word: str, step: str) -> tuple[str, str] | None:
+    """``word`` before and from the longest suffix listed for the step."""
+    listed = _ENDINGS[step]
+    if not word.endswith(listed):
+        return None
+    ending = next(suffix for suffix in listed if word.endswith(suffix))
+    return word[: len(word) - len(ending)], ending
+
+
 def letter_shape(word: str) -> str:
     """``c`` or ``v`` per letter; ``y`` is a vowel exactly when a consonant precedes it."""
     shape = []
@@ -83,19 +92,19 @@ def _double_end(word: str, shape: str) -> bool:
 
 
 def _replace(word: str, step: str, table: dict[str, str]) -> str:
-    found = _ENDING[step].search(word)
-    if found and measure(letter_shape(word[: found.start()])) > 0:
-        return word[: found.start()] + table[found.group()]
+    parts = _split_ending(word, step)
+    if parts and measure(letter_shape(parts[0])) > 0:
+        return parts[0] + table[parts[1]]
     return word
 
 
 def _past_and_participle(word: str) -> str:
-    found = _ENDING["1b"].search(word)
-    if not found:
+    parts = _split_ending(word, "1b")
+    if not parts:
         return word
-    stem = word[: found.start()]
+    stem, ending = parts
     shape = letter_shape(stem)
-    if found.group() == "eed":
+    if ending == "eed":
         return stem + "ee" if measure(shape) > 0 else word
     if "v" not in shape:
         return word
@@ -118,23 +127,22 @@ def _final_e(word: str) -> str:
 
 
 def porter_stem(word: str) -> str:
-    found = _ENDING["1a"].search(word)
-    if found:
-        word = word[: found.start()] + STEP_1A[found.group()]
+    parts = _split_ending(word, "1a")
+    if parts:
+        word = parts[0] + STEP_1A[parts[1]]
     word = _past_and_participle(word)
     if word.endswith("y") and "v" in letter_shape(word[:-1]):
         word = word[:-1] + "i"
     word = _replace(word, "2", STEP_2)
     word = _replace(word, "3", STEP_3)
-    found = _ENDING["4"].search(word)
-    if found:
-        stem = word[: found.start()]
-        kept_by_ion = found.group() == "ion" and not stem.endswith(("s", "t"))
+    parts = _split_ending(word, "4")
+    if parts:
+        stem, ending = parts
+        kept_by_ion = ending == "ion" and not stem.endswith(("s", "t"))
         if measure(letter_shape(stem)) > 1 and not kept_by_ion:
             word = stem
     word = _final_e(word)
-    shape = letter_shape(word)
-    if word.endswith("ll") and measure(shape[:-1]) > 1:
+    if word.endswith("ll") and measure(letter_shape(word[:-1])) > 1:
         word = word[:-1]
     return word
 

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A run of letters, marks, digits or underscores; apostrophes and dots join runs ("don't", "3.5").
-# The possessive quantifiers only save the engine its backtracking states: what may follow a run
-# never belongs to the run, so the matches are those of the greedy form.
-TOKEN_RE = r"[\p{L}\p{M}\p{N}_]++(?:['’.][\p{L}\p{M}\p{N}_]++)*+"
+# Fixed value: a run of letters, marks, digits or underscores; single apostrophes and dots join runs
+# ("don't", "3.5").
+TOKEN_RE = r"[\p{L}\p{M}\p{N}_]+(?:['’.][\p{L}\p{M}\p{N}_]+)*"
 
 
 def word_tokens(text: Column) -> Column:

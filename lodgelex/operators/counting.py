@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schema import BOUNDED_COLUMNS
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -25,17 +26,27 @@ def matches(keys: Sequence[str], prefix: str = "_") -> Column:
     return condition
 
 
-def per_group(df: DataFrame, groups: DataFrame, by: Sequence[str], *values: str) -> DataFrame:
-    """Add the ``values`` columns of ``groups`` to the rows of ``df``.
+def bounded(by: Sequence[str]) -> bool:
+    return BOUNDED_COLUMNS.issuperset(by)
+
+
+def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Inner join with a table of a few rows per group of ``by``.
 
-    ``groups`` is aggregated to one row per market, or to one row when ``by`` is empty.  A market is
-    a country or a choice of countries, so the broadcast side has some hundreds of rows at any data
-    size, while hashing ``df`` on the market would put a third of it into one task.
+    A market is a country or some other value of a short list, so these rows can be broadcast at any
+    data size, while hashing ``df`` on the market would put a third of it into one task.  For groups
+    that may be many the join is left to the planner.
     """
+    right = small.withColumnsRenamed({c: f"_{c}" for c in keys})
+    side = F.broadcast(right) if bounded(by) else right
+    return df.join(side, matches(keys)).drop(*[f"_{c}" for c in keys])
+
+
+def per_group(df: DataFrame, groups: DataFrame, by: Sequence[str], *values: str) -> DataFrame:
+    """Add the ``values`` columns of ``groups``, one row per group, to the rows of ``df``."""
     if not by:
         return df.withColumns({v: groups.select(v).scalar() for v in values})
-    right = groups.select(*[F.col(c).alias(f"_{c}") for c in by], *values)
-    return df.join(F.broadcast(right), matches(by)).drop(*[f"_{c}" for c in by])
+    return _attach(df, groups.select(*by, *values), by, by)
 
 
 def top_with_ties(df: DataFrame, by: Sequence[str], measure: str, k: int) -> DataFrame:
@@ -54,6 +65,18 @@ def top_with_ties(df: DataFrame, by: Sequence[str], measure: str, k: int) -> Dat
         top = known.select(measure).orderBy(order).limit(k)
         leaders = top.withColumn("_place", F.row_number().over(Window.orderBy(order)))
     ranks = leaders.groupBy(*by, measure).agg(F.min("_place").cast("long").alias("rank"))
-    right = ranks.select(*[F.col(c).alias(f"_{c}") for c in (*by, measure)], "rank")
-    # At most k rows per market: see per_group for the bound.
-    return known.join(F.broadcast(right), matches([*by, measure])).drop(*[f"_{c}" for c in (*by, measure)])
+    return _attach(known, ranks, [*by, measure], by)
+
+
+def value_frequency(df: DataFrame, key: str, name: str, hot: int = 10_000) -> DataFrame:
+    """Add to every row how many rows share its ``key``, for keys of any frequency.
+
+    Fewer than ``hot`` keys can hold more than one ``hot``-th of all rows each: those are broadcast.
+    What is left is joined by key, no key of it being large enough to hold a task up.
+    """
+    frequency = df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    rows = frequency.agg(F.sum(name).alias("rows")).scalar()
+    frequent = frequency.where(F.col(name) > rows / F.lit(hot))
+    marked = df.join(F.broadcast(frequent), key, "left")
+    rest = marked.where(F.col(name).isNull()).drop(name).join(frequency, key)
+    return marked.where(F.col(name).isNotNull()).unionByName(rest)

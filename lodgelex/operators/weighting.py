@@ -7,22 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .counting import count_by, per_group
+from .counting import bounded, count_by, per_group, value_frequency
 
 
 def word_tf_idf(counts: DataFrame, doc: str = "country", term: str = "word") -> DataFrame:
     """``tf = n / sum(n) of the document``, ``idf = ln(documents / documents with the term)``.
 
-    ``counts`` has one row per (document, term), the documents being markets.  A term therefore has
-    at most one row per market, which bounds the window over it.
+    ``counts`` has one row per (document, term).  The documents are markets as a rule: a term has at
+    most one row per market then, which bounds the window over it.  Where they are listings, a term
+    can be in most of them, and its frequency is attached without bringing its rows together.
     """
-    # The unpartitioned window runs over one row per market.
-    totals = counts.groupBy(doc).agg(F.sum("n").alias("total_words")).withColumn(
-        "documents", F.count(F.lit(1)).over(Window.partitionBy())
-    )
-    weighted = per_group(counts, totals, [doc], "total_words", "documents").withColumn(
-        "doc_freq", F.count(F.lit(1)).over(Window.partitionBy(term))
-    )
+    totals = counts.groupBy(doc).agg(F.sum("n").alias("total_words"))
+    if bounded([doc]):
+        # The unpartitioned window runs over one row per market.
+        every = F.count(F.lit(1)).over(Window.partitionBy())
+        totals = totals.withColumn("documents", every)
+        found_in = F.count(F.lit(1)).over(Window.partitionBy(term))
+        weighted = per_group(counts, totals, [doc], "total_words", "documents").withColumn(
+            "doc_freq", found_in
+        )
+    else:
+        documents = totals.where("total_words > 0").agg(F.count(F.lit(1)).alias("documents"))
+        frequency = value_frequency(counts, term, "doc_freq")
+        weighted = per_group(
+            per_group(frequency, totals, [doc], "total_words"), documents, [], "documents"
+        )
     return (
         weighted.withColumn("tf", F.col("n") / F.col("total_words"))
         .withColumn("idf", F.ln(F.col("documents") / F.col("doc_freq")))
@@ -49,17 +58,20 @@ def bigram_counts(pairs: DataFrame, by: Sequence[str] = ("country",)) -> DataFra
 
 
 def bigram_tf_idf(
-    pairs: DataFrame, by: Sequence[str] = ("country",), n_docs: int | None = None
+    pairs: DataFrame, by: Sequence[str] = ("country",), n_docs: int | DataFrame | None = None
 ) -> DataFrame:
     """``tf = n / N``, ``idf = ln(N / n)`` with ``n`` the occurrences of the bigram.
 
     ``n`` counts occurrences and not documents, so ``idf`` may be negative.  ``N`` is the document
-    count of each market, or ``n_docs`` for all of them.  One pass over the text: occurrences that
+    count of each market, or ``n_docs`` for all of them: a number, or a one-row table with the column
+    ``total_documents`` such as another market's count.  One pass over the text: occurrences that
     open a document are counted apart from the later ones, ``n`` is the sum of both and ``N`` that
     of the openings.
     """
     by = list(by)
-    if n_docs is not None:
+    if isinstance(n_docs, DataFrame):
+        weighted = per_group(bigram_counts(pairs, by), n_docs, [], "total_documents")
+    elif n_docs is not None:
         weighted = bigram_counts(pairs, by).withColumn("total_documents", F.lit(n_docs))
     elif "place" in pairs.columns:
         # Both uses of this table need both counts (the filter is always true), so column pruning

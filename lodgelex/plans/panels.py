@@ -51,7 +51,7 @@ def tf_idf_panel(
     stop: DataFrame,
     text: str = "text",
     top: int = 10,
-    n_docs: int | None = None,
+    n_docs: int | DataFrame | None = None,
 ) -> DataFrame:
     pairs = bigrams(selection(flat, params), text, stop, keep=["document_id"])
     ranked = top_with_ties(bigram_tf_idf(pairs, [], n_docs), [], "tf_idf", top)
@@ -68,9 +68,13 @@ def topic_panel(
     k: int = 2,
     top: int = 10,
 ) -> DataFrame:
-    """Leading terms per topic; an empty table when the selection holds no text."""
+    """Leading terms per topic, with the topic as a category label as well.
+
+    An empty table when the selection holds no text.
+    """
     docs = processed_documents(selection(flat, params), text, stop, keep=["document_id"])
-    return top_terms(topic_term_beta(flat.sparkSession, fit_topics(docs, k=k)), top)
+    leading = top_terms(topic_term_beta(flat.sparkSession, fit_topics(docs, k=k)), top)
+    return leading.withColumn("topic_label", F.col("topic").cast("string"))
 
 
 def map_panel(

@@ -18,6 +18,7 @@ RECOMMENDED = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 #: A side is broadcast only when the optimizer's size estimate stays under this.
@@ -85,6 +86,14 @@ def checkpoint_folder(spark: SparkSession) -> str | None:
     return folder
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder below the cluster's shared one, for tables that outlive a query."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_folder(spark)
+    if base is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{base.rstrip('/')}/{name}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once for the repeated passes of an iterative job.
 

@@ -340,6 +340,9 @@ group by country, method""",
     + " select country, count(distinct document_id) as total_documents from pair group by country",
     "bigram_tf_idf": _bigram_weights("documents"),
     "bigram_tf_idf_pinned_n": _bigram_weights("145"),
+    "bigram_tf_idf_pinned_market": _bigram_weights(
+        "(select documents from total where country = 'de')"
+    ),
     "bigram_tf_idf_sorted": _bigram_weights("documents", "country = 'de'")
     + " order by (n / documents) * ln(documents / n) desc, bigram",
     "high_rated_bigram_top15": _with(HIGH, COUNTED, TOP15)

@@ -25,7 +25,7 @@ from lodgelex.operators.topics import (
 from lodgelex.operators.weighting import bigram_tf_idf, total_documents, word_tf_idf
 from lodgelex.plans import markets, panels
 from lodgelex.plans.params import Params
-from lodgelex.session import checkpoint_folder, spread
+from lodgelex.session import shared_folder, spread
 from lodgelex.sources.listings import listings_from_documents
 from lodgelex.sources.samples import (
     sample_afinn,
@@ -210,6 +210,14 @@ def bigram_weights_pinned(spark, folder):
     return rounded(weighted.drop("word1", "word2"), "tf", "idf", "tf_idf")
 
 
+def bigram_weights_of_one_market(spark, folder):
+    """Every market weighted with the document count of one of them."""
+    pairs = clean_bigrams(spark, folder)
+    market = total_documents(li.market_slice(pairs, MARKET), by=[])
+    weighted = unite(bigram_tf_idf(pairs, n_docs=market))
+    return rounded(weighted.drop("word1", "word2"), "tf", "idf", "tf_idf")
+
+
 def bigram_tf_idf_sorted(spark, folder):
     """The weights of one market in the order of the score."""
     pairs = bigrams(
@@ -299,7 +307,7 @@ def panel_map(spark, folder):
 
 def artifact_round_trip(spark, folder):
     """Save the token table partitioned by country, load it and answer a panel from it."""
-    target = f"{checkpoint_folder(spark)}/lodgelex-tables/{uuid.uuid4().hex}"
+    target = shared_folder(spark, f"lodgelex-tables/{uuid.uuid4().hex}")
     save_table(markets.token_table(texts(spark, folder)), target, "tokens", ["country"])
     loaded = spread(load_table(spark, target, "tokens"), "document_id")
     panel = panels.tf_idf_panel(loaded, PANEL, sample_stop_words(spark), text="tokens")
@@ -337,6 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "total_documents": total_documents_by_country,
     "bigram_tf_idf": bigram_weights,
     "bigram_tf_idf_pinned_n": bigram_weights_pinned,
+    "bigram_tf_idf_pinned_market": bigram_weights_of_one_market,
     "bigram_tf_idf_sorted": bigram_tf_idf_sorted,
     "high_rated_bigram_top15": high_rated_bigram_top15,
     "high_rated_bigram_edges": high_rated_bigram_edges,

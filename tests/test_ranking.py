@@ -3,7 +3,12 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lodgelex.operators.counting import descending, per_group, top_with_ties
+from lodgelex.operators.counting import (
+    descending,
+    per_group,
+    top_with_ties,
+    value_frequency,
+)
 
 
 @pytest.fixture(scope="module")
@@ -56,3 +61,20 @@ def test_descending_breaks_ties_by_name(scores):
 def test_per_group_without_groups_is_a_scalar(scores):
     total = scores.agg(F.count(F.lit(1)).alias("all"))
     assert {r["all"] for r in per_group(scores, total, [], "all").collect()} == {60}
+
+
+def test_many_groups_are_not_broadcast(scores):
+    by_term = top_with_ties(scores, ["term"], "n", 1)
+    assert by_term.count() == scores.where("n is not null").count()
+    plan = by_term._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
+    plan = top_with_ties(scores, ["country"], "n", 1)._jdf.queryExecution().optimizedPlan()
+    assert "strategy=broadcast" in plan.toString()
+
+
+@pytest.mark.parametrize("hot", [1, 3, 10, 10_000])
+def test_value_frequency(spark, hot):
+    keys = ["a"] * 50 + ["b"] * 20 + ["c"] * 20 + [f"k{i % 7}" for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(keys)), "id int, word string").repartition(5)
+    got = rows(value_frequency(df, "word", "n", hot), "id", "n")
+    assert got == [(i, keys.count(word)) for i, word in enumerate(keys)]
