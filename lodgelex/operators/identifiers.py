@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 def contiguous_ids(
     df: DataFrame, key: str, name: str = "document_id", buckets: int | None = None
 ) -> DataFrame:
-    """Number the rows 1..n in the order of the numeric, unique, non-null ``key``.
+    """Number the rows 1..n in the order of the numeric ``key``, rows without one first.
 
     Approximate quantiles cut the key range into buckets of similar size.  How good the cuts are
     decides only the balance: the bucket is a function of the key, so an exact count per bucket
@@ -26,7 +26,8 @@ def contiguous_ids(
         return df.withColumn("_bucket", F.lit(0)).withColumn(name, number.cast("long")).drop("_bucket")
 
     keyed = df.withColumn("_key", F.col(key).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket").transform(keyed)
+    by_range = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket").transform(keyed)
+    bucketed = by_range.withColumn("_bucket", F.coalesce("_bucket", F.lit(-1.0)))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     # One row per bucket, n at most: both this window and the broadcast are bounded by n.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

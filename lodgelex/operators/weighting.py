@@ -43,8 +43,8 @@ def word_tf_idf(counts: DataFrame, doc: str = "country", term: str = "word") ->
 def total_documents(pairs: DataFrame, by: Sequence[str] = ("country",)) -> DataFrame:
     """Exact number of documents with at least one bigram.
 
-    ``place`` is 0 once per document, so where it is present the distinct count is a sum and no
-    document id is shuffled.
+    A document is one listing row.  ``place`` is 0 once in each, so where it is present the distinct
+    count is a sum and no document id is shuffled.
     """
     if "place" in pairs.columns:
         counted = F.count_if(F.col("place") == 0)

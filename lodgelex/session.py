@@ -37,7 +37,7 @@ def local_session(cores: int | str = "*", app: str = "lodgelex", **conf: str) ->
     settings = {
         **RECOMMENDED,
         "spark.sql.shuffle.partitions": "8" if cores == "*" else str(cores),
-        "spark.driver.memory": "8g",
+        "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **conf,

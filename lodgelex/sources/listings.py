@@ -3,15 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import LISTING_SCHEMA
 
 
-def read_listings(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The whole collection.  No inference pass is made; fields outside the schema are not read."""
+def read_listings(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    price_type: T.DataType = T.DoubleType(),
+) -> DataFrame:
+    """The whole collection.  No inference pass is made; fields outside the schema are not read.
+
+    ``price_type`` is the type the files hold, such as ``DecimalType(10, 2)``; prices are doubles in
+    the result.
+    """
     if fmt not in ("parquet", "json", "orc"):
         raise ValueError(f"listings are read from parquet, json or orc, not {fmt!r}")
-    return spark.read.schema(LISTING_SCHEMA).format(fmt).load(path)
+    stored = T.StructType(
+        [
+            T.StructField("price", price_type) if field.name == "price" else field
+            for field in LISTING_SCHEMA.fields
+        ]
+    )
+    loaded = spark.read.schema(stored).format(fmt).load(path)
+    if stored == LISTING_SCHEMA:
+        return loaded
+    return loaded.withColumn("price", F.col("price").cast("double"))
 
 
 def listings_from_documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,8 @@ import json
 
 import pytest
 from conftest import listing, rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodgelex.operators import listings as li
 from lodgelex.operators.identifiers import contiguous_ids
@@ -87,6 +89,18 @@ def test_nested_predicates_and_columns_reach_the_scan(spark, tmp_path):
     assert "EqualTo(bedrooms,1)" in plan and "GreaterThan(price,50.0)" in plan
 
 
+def test_decimal_prices_and_orc(spark, tmp_path):
+    data = [listing(i, f"text {i}", price=10.25 * i) for i in range(4)]
+    made = spark.createDataFrame(data, LISTING_SCHEMA)
+    stored = made.withColumn("price", F.col("price").cast("decimal(10,2)"))
+    for fmt in ("parquet", "orc", "json"):
+        path = str(tmp_path / fmt)
+        stored.write.format(fmt).save(path)
+        loaded = read_listings(spark, path, fmt, price_type=T.DecimalType(10, 2))
+        assert loaded.schema == LISTING_SCHEMA
+        assert rows(loaded, "_id", "price") == [(i, 10.25 * i) for i in range(4)]
+
+
 @pytest.mark.parametrize("buckets", [1, 3, 8])
 def test_contiguous_ids(spark, buckets):
     keys = [((i * 7919) % 1009) * 3 - 500 for i in range(1009)]
@@ -101,3 +115,9 @@ def test_contiguous_ids_of_little_or_nothing(spark):
     assert contiguous_ids(empty, "key").count() == 0
     one = spark.createDataFrame([(5,)], "key long")
     assert [r.document_id for r in contiguous_ids(one, "key").collect()] == [1]
+
+
+def test_contiguous_ids_keep_rows_without_a_key(spark):
+    df = spark.createDataFrame([(7,), (None,), (3,), (9,), (1,)], "key long").repartition(3)
+    got = contiguous_ids(df, "key", buckets=3).orderBy("document_id").collect()
+    assert [(r.document_id, r.key) for r in got] == [(1, None), (2, 1), (3, 3), (4, 7), (5, 9)]
