@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.clustering import LDAModel
 from pyspark.sql import DataFrame
 
 from ..functions.text import tokens_of
@@ -19,12 +20,14 @@ from ..operators.sentiment import class_totals, polarity_table, sentiment_compar
 from ..operators.tokens import bigrams, unite, words
 from ..operators.topics import (
     doc_terms,
+    fit_topics,
     processed_documents,
     processed_texts,
     top_terms,
     topic_term_beta,
 )
 from ..operators.weighting import bigram_counts, bigram_tf_idf, total_documents
+from ..sources.tables import load_table, save_table, save_tables, save_topic_model
 
 BY = ("country",)
 
@@ -36,7 +39,9 @@ class Lexicons:
     nrc: DataFrame
 
 
-def word_counts(flat: DataFrame, text: str = "description", stop: DataFrame | None = None):
+def word_counts(
+    flat: DataFrame, text: str = "description", stop: DataFrame | None = None
+) -> DataFrame:
     """Words per country over the descriptions."""
     return count_by(words(flat, text, keep=BY, stop=stop), *BY, "word")
 
@@ -81,20 +86,24 @@ def derived_tables(
     country: str,
     stop: DataFrame,
     lexicons: Lexicons,
-    fitted=None,
-    text: str = "text",
+    fitted: tuple[LDAModel, list[str]] | None = None,
+    tokens: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The tables saved for one market, by name; topic terms when a model is given."""
-    market = li.market_slice(flat, country)
+    """The tables saved for one market, by name; topic terms when a model is given.
+
+    With ``tokens``, a saved token table, no text is taken apart again.
+    """
+    source, text = (flat, "text") if tokens is None else (tokens, "tokens")
+    market = li.market_slice(source, country)
     pairs = unite(bigrams(market, text, stop))
-    tokens = words(market, text)
+    market_words = words(market, text)
     docs = processed_documents(market, text, stop)
     tables = {
         "listings": flat,
         "descriptions": li.descriptions(flat),
-        "market_words": tokens,
-        "market_bing": class_totals(tokens, lexicons.bing, weighted=True),
-        "market_nrc": class_totals(tokens, lexicons.nrc, weighted=True),
+        "market_words": market_words,
+        "market_bing": class_totals(market_words, lexicons.bing, weighted=True),
+        "market_nrc": class_totals(market_words, lexicons.nrc, weighted=True),
         "market_polarity": polarity(market, lexicons, text),
         "market_comparison": comparison(market, lexicons, text),
         "market_bigrams": pairs.select("document_id", "bigram"),
@@ -110,3 +119,29 @@ def derived_tables(
     if fitted is not None:
         tables["top_terms"] = top_terms(topic_term_beta(flat.sparkSession, fitted))
     return tables
+
+
+def build_tables(
+    flat: DataFrame,
+    folder: str,
+    country: str,
+    stop: DataFrame,
+    lexicons: Lexicons,
+    k: int = 2,
+) -> list[str]:
+    """The whole batch run for one market: save everything the panels load, return the names.
+
+    The texts of all countries are taken apart once, into the token table; every other table of the
+    market is made from its partition there.
+    """
+    spark = flat.sparkSession
+    save_table(token_table(flat), folder, "tokens", BY)
+    tokens = load_table(spark, folder, "tokens")
+    market = li.market_slice(tokens, country)
+    fitted = fit_topics(processed_documents(market, "tokens", stop), k=k)
+    tables = derived_tables(flat, country, stop, lexicons, fitted, tokens)
+    names = ["tokens", *save_tables(tables, folder)]
+    if fitted is not None:
+        save_topic_model(fitted[0], folder)
+        names.append("topic_model")
+    return names

@@ -68,9 +68,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     A file with a single row group is read by one task however many cores there are.  The hash on
     ``key`` is repeatable, so a recomputed task sees the same rows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
     size = estimated_bytes(df)
-    if size is None or size > cores * SPREAD_BYTES_PER_CORE:
+    if size is None:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if size > cores * SPREAD_BYTES_PER_CORE:
         return df
     return df.repartition(cores, F.col(key))
 

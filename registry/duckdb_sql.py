@@ -374,4 +374,5 @@ group by country, method""",
     " and number_of_reviews > 2 and text is not null"
     " and longitude is not null and latitude is not null",
     "artifact_round_trip": PANEL_TF_IDF,
+    "batch_tables": _bigram_weights("documents", "country = 'de'"),
 }

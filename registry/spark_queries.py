@@ -314,6 +314,16 @@ def artifact_round_trip(spark, folder):
     return rounded(panel, "tf", "idf", "tf_idf")
 
 
+def batch_tables(spark, folder):
+    """Run the batch for one market, load what it saved, and report its bigram weights."""
+    target = shared_folder(spark, f"lodgelex-tables/{uuid.uuid4().hex}")
+    markets.build_tables(
+        texts(spark, folder), target, MARKET, sample_stop_words(spark), lexicons(spark)
+    )
+    weighted = load_table(spark, target, "market_bigram_tf_idf").drop("word1", "word2")
+    return rounded(weighted, "tf", "idf", "tf_idf")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listings_flat": listings_flat,
     "rated_texts": rated_texts,
@@ -363,4 +373,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "panel_topics": panel_topics,
     "panel_map": panel_map,
     "artifact_round_trip": artifact_round_trip,
+    "batch_tables": batch_tables,
 }

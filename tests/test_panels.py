@@ -117,3 +117,15 @@ def test_model_round_trip(spark, flat, tmp_path):
     assert rows(topic_term_beta(spark, (again, terms))) == rows(
         topic_term_beta(spark, (model, terms))
     )
+
+
+def test_batch_run_saves_what_the_reports_give(spark, flat, words_of, tmp_path):
+    lexicons = markets.Lexicons(words_of["afinn"], words_of["bing"], words_of["nrc"])
+    stop = words_of["stop"]
+    names = markets.build_tables(flat, str(tmp_path), "Turkey", stop, lexicons)
+    assert len(names) == 19 and {"tokens", "top_terms", "topic_model"} <= set(names)
+    direct = markets.derived_tables(flat, "Turkey", stop, lexicons)
+    for name, table in direct.items():
+        saved = tables.load_table(spark, str(tmp_path), name).select(*table.columns)
+        assert sorted(map(str, saved.collect())) == sorted(map(str, table.collect())), name
+    assert tables.load_topic_model(str(tmp_path)).describeTopics(1).count() == 2
