@@ -5,8 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lodgelex.llm import bpe, exact_dedup, mixing
-from lodgelex.llm.common import table
+from lodgelex.llm import bpe, exact_dedup, language_id, mixing, quality
+from lodgelex.llm.common import crc_mod, table
+
+
+def op1_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = language_id.identify(docs, language_id.fit(docs))
+    return found.withColumn("held_out", crc_mod("doc_id", 3) == 1)
 
 
 def op2_mixing(spark, folder):
@@ -14,6 +20,12 @@ def op2_mixing(spark, folder):
     return mixing.mix(mixing.with_quality(docs, labels), quality_col="quality_weight").drop("source")
 
 
+def op8_quality(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    found = quality.score(docs, quality.fit(docs, labels))
+    return found.withColumn("held_out", crc_mod("doc_id", 5) == 0)
+
+
 def op9_bpe(spark, folder):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode(table(spark, folder, "documents"), ranks)
@@ -34,7 +46,9 @@ from d join g on d.t = g.t
 """
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
+    "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
