@@ -229,7 +229,7 @@ def grace(
         if rep:
             yield _verdicts(rep, member, best, size)
         return
-    fs, path = pafs.FileSystem.from_uri(folder)
+    fs, path = pafs.FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
     files = SpillFiles(fs, f"{path}/{uuid.uuid4().hex}", level, table_bytes)
     # The class's size and best row travel on its first record; the others only ask for the verdict.
     told: set[int] = set()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lodgelex.llm import bpe, exact_dedup, language_id, mixing, quality
+from lodgelex.llm import bpe, exact_dedup, language_id, mixing, quality, url_filter, warc
 from lodgelex.llm.common import crc_mod, table
 
 
@@ -20,6 +20,26 @@ def op2_mixing(spark, folder):
     return mixing.mix(mixing.with_quality(docs, labels), quality_col="quality_weight").drop("source")
 
 
+def op6_warc(spark, folder):
+    back = warc.round_trip(table(spark, folder, "pages"))
+    return back.select(
+        "page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to"
+    )
+
+
+URL_RULES = [
+    url_filter.rule("allow", "com/"),
+    url_filter.rule("block", "example.com/en/"),
+    url_filter.rule("allow", "www.example.com/en/"),
+    url_filter.rule("block", "net/es/"),
+    url_filter.rule("block", "net/fr/"),
+]
+
+
+def op7_url_filter(spark, folder):
+    return url_filter.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 def op8_quality(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     found = quality.score(docs, quality.fit(docs, labels))
@@ -48,6 +68,8 @@ from d join g on d.t = g.t
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
+    "op6_warc": op6_warc,
+    "op7_url_filter": op7_url_filter,
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
