@@ -22,7 +22,8 @@ TRAINING_ROWS = 20_000
 TREES, DEPTH = 12, 4
 #: Weight of the overall rate in a suffix's rate.
 PRIOR_ROWS = 5.0
-THRESHOLD = 0.5
+#: Scores above this block a url.
+THRESHOLD = 0.6
 LABELS = 3
 
 
@@ -116,15 +117,19 @@ def suffix_rates(labelled: DataFrame, labels: int) -> DataFrame:
     )
 
 
+#: Suffix features of a host that no labelled url has.
+UNSEEN = {f"rate{k}": 0.5 for k in range(1, LABELS + 1)} | {
+    f"seen{k}": 0.0 for k in range(1, LABELS + 1)
+}
+
+
 def with_suffixes(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     for labels in range(1, LABELS + 1):
         rates = suffix_rates(labelled, labels)
         rows = rows.join(rates, suffix(labels) == F.col(f"suffix{labels}"), "left").drop(
             f"suffix{labels}"
         )
-    return rows.fillna({f"rate{k}": 0.5 for k in range(1, LABELS + 1)}).fillna(
-        {f"seen{k}": 0.0 for k in range(1, LABELS + 1)}
-    )
+    return rows.withColumns({name: F.coalesce(name, F.lit(value)) for name, value in UNSEEN.items()})
 
 
 def judge(
@@ -138,7 +143,7 @@ def judge(
 
     Null urls and urls without ``://`` have empty host and path and are judged like any other.  Where
     no url, or only one verdict, is labelled there is nothing to train: the score is then the
-    smoothed rate of the host's last label, and 0.5 lets a url pass.
+    smoothed rate of the host's last label, 0.5 where that is unseen.
     """
     host, path = parts(url_col)
     name, verdict = decided(F.col("host"), F.col("path"), rules)
@@ -156,7 +161,10 @@ def judge(
         labelled.select("url", "host", "path", "label", F.xxhash64("url").alias("draw"))
         .orderBy("draw", "url").limit(training_rows)
     )
-    training = with_suffixes(sample.select("*", *lexical()), labelled)
+    # Every url is learnt a second time as one of an unseen host, so that hosts without labelled urls
+    # are judged by the other features.
+    seen = with_suffixes(sample.select("*", *lexical()), labelled)
+    training = seen.unionByName(seen.withColumns({name: F.lit(value) for name, value in UNSEEN.items()}))
     rows_of = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(rows_of) < 2:
         blocked = F.col("rate1")
