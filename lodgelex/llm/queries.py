@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lodgelex.llm import bpe, exact_dedup, language_id, mixing, quality, url_filter, warc
+from lodgelex.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    mixing,
+    ngram_join,
+    quality,
+    url_filter,
+    warc,
+)
 from lodgelex.llm.common import crc_mod, table
 
 
@@ -20,6 +29,10 @@ def op2_mixing(spark, folder):
     return mixing.mix(mixing.with_quality(docs, labels), quality_col="quality_weight").drop("source")
 
 
+def op4_ngram_jaccard(spark, folder):
+    return ngram_join.linked_components(table(spark, folder, "documents"))
+
+
 def op6_warc(spark, folder):
     back = warc.round_trip(table(spark, folder, "pages"))
     return back.select(
@@ -68,6 +81,7 @@ from d join g on d.t = g.t
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_warc": op6_warc,
     "op7_url_filter": op7_url_filter,
     "op8_quality": op8_quality,
