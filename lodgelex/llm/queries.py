@@ -25,8 +25,11 @@ def op1_language_id(spark, folder):
 
 
 def op2_mixing(spark, folder):
-    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    return mixing.mix(mixing.with_quality(docs, labels), quality_col="quality_weight").drop("source")
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "source", mixing.word_count("text").alias("size")
+    )
+    weighed = mixing.with_quality(docs, table(spark, folder, "labels"))
+    return mixing.mix(weighed, size_col="size", quality_col="quality_weight").drop("source")
 
 
 def op4_ngram_jaccard(spark, folder):
