@@ -12,6 +12,7 @@ from lodgelex.llm import (
     mixing,
     ngram_join,
     quality,
+    topk_search,
     url_filter,
     warc,
 )
@@ -36,6 +37,28 @@ def op4_ngram_jaccard(spark, folder):
     return ngram_join.linked_components(table(spark, folder, "documents"))
 
 
+def op5_topk_search(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return topk_search.search(vectors, F.col("vec_id") % 20 == 0)
+
+
+TOPK_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
+  from embeddings
+  where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+         cast(list_inner_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+) where rank <= 20
+"""
+
+
 def op6_warc(spark, folder):
     back = warc.round_trip(table(spark, folder, "pages"))
     return back.select(
@@ -85,6 +108,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_topk_search": op5_topk_search,
     "op6_warc": op6_warc,
     "op7_url_filter": op7_url_filter,
     "op8_quality": op8_quality,
@@ -93,5 +117,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_topk_search": TOPK_SQL,
     "op10_exact_dedup": EXACT_DEDUP_SQL,
 }
