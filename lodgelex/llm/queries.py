@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodgelex.llm import (
     bpe,
     exact_dedup,
+    html_extraction,
     language_id,
     mixing,
     ngram_join,
@@ -33,6 +34,10 @@ def op2_mixing(spark, folder):
     return mixing.mix(weighed, size_col="size", quality_col="quality_weight").drop("source")
 
 
+def op3_html_extraction(spark, folder):
+    return html_extraction.main_text(table(spark, folder, "pages"))
+
+
 def op4_ngram_jaccard(spark, folder):
     return ngram_join.linked_components(table(spark, folder, "documents"))
 
@@ -107,6 +112,7 @@ from d join g on d.t = g.t
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
+    "op3_html_extraction": op3_html_extraction,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_topk_search": op5_topk_search,
     "op6_warc": op6_warc,
