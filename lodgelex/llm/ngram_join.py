@@ -14,6 +14,9 @@
 5. *The rest.*  Any other pair of groups with a common prefix shingle, and any two members of a
    group, are expanded to members and verified unless they are in one component already.  So no link
    between different components is missed, and a large group of near copies costs one star.
+
+Before texts are fetched, a pair must pass its parity sketches: every shingle of a set flips one of
+``SKETCH`` bits, so two sets differ in at least as many shingles as their sketches differ in bits.
 """
 
 from __future__ import annotations
@@ -42,6 +45,9 @@ TOGETHER = 1 << 22
 WINDOW = 16 << 20
 LEAST_REPEATS = 8
 
+#: Bits of a set's parity sketch.
+SKETCH = 1024
+
 _U = np.uint64
 
 
@@ -154,7 +160,7 @@ class Order:
         return score
 
     def keys(self, words, at, shingles, begin) -> np.ndarray:
-        """Sort keys: 16 bits of frequency, then 48 bits of the code."""
+        """Sort keys, not negative: 15 bits of frequency, then 48 bits of the code."""
         score = self.word_scores(words)
         counts = np.diff(at)
         sizes = np.diff(begin)
@@ -163,11 +169,11 @@ class Order:
         last = np.repeat(at[1:] - 1, sizes)
         for k in range(1, WIDTH):
             total = total + np.where(np.repeat(counts, sizes) > k, score[np.minimum(source + k, last)], 0.0)
-        rank = np.clip((total - WIDTH * self.floor) * 1000, 0, 59_999).astype(np.int64)
+        rank = np.clip((total - WIDTH * self.floor) * 500, 0, 29_999).astype(np.int64)
         if len(self.shingles):
             pos = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
             hit = self.shingles[pos] == shingles
-            rank[hit] = (62_000 + np.clip(self.shingle_score[pos[hit]], -20, 0) * 100).astype(np.int64)
+            rank[hit] = (32_000 + np.clip(self.shingle_score[pos[hit]], -20, 0) * 100).astype(np.int64)
         return rank.astype(_U) << _U(48) | shingles >> _U(16)
 
 
@@ -237,8 +243,23 @@ def set_key(codes: np.ndarray) -> bytes:
     return hashlib.blake2b(codes.tobytes(), digest_size=16).digest()
 
 
+def parity_sketch(codes: np.ndarray) -> np.ndarray:
+    """The parity of the number of codes at each bit, as 64-bit integers."""
+    odd = np.bincount((codes & _U(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def sketches_allow(n1, n2, sketch1, sketch2, percent: int):
+    """Whether the sketches differ in no more bits than linked sets differ in shingles."""
+    bits = sum(
+        F.bit_count(F.get(sketch1, F.lit(i)).bitwiseXOR(F.get(sketch2, F.lit(i))))
+        for i in range(SKETCH // 64)
+    )
+    return (100 + percent) * bits <= (100 - percent) * (n1 + n2)
+
+
 def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """Per row: uid, doc_id, n, set_key, prefix_key and prefix (null where the set is empty)."""
+    """Per row: uid, doc_id, n, set_key, prefix_key, prefix and sketch (null for the empty set)."""
     shipped = docs.sparkSession.sparkContext.broadcast(
         (order.words, order.word_score, order.shingles, order.shingle_score, order.floor)
     )
@@ -255,11 +276,11 @@ def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent:
                 words, at = word_codes(raw, offsets)
                 codes, begin = shingle_codes(words, at)
                 keys = own.keys(words, at, codes, begin)
-                sizes, sets, groups, heads = [], [], [], []
+                sizes, sets, groups, heads, sketches = [], [], [], [], []
                 for x, y in zip(begin[:-1], begin[1:], strict=True):
                     if x == y:
                         sizes.append(0)
-                        for column in (sets, groups, heads):
+                        for column in (sets, groups, heads, sketches):
                             column.append(None)
                         continue
                     distinct, where = np.unique(codes[x:y], return_index=True)
@@ -275,17 +296,19 @@ def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent:
                         hashlib.blake2b(head.tobytes() + n.to_bytes(8, "little"), digest_size=16).digest()
                     )
                     heads.append(head)
+                    sketches.append(parity_sketch(distinct))
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("uid"), part.column("doc_id"), pa.array(sizes, pa.int64()),
                      pa.array(sets, pa.binary()), pa.array(groups, pa.binary()),
-                     pa.array(heads, pa.list_(pa.int64()))],
-                    names=["uid", "doc_id", "n", "set_key", "prefix_key", "prefix"],
+                     pa.array(heads, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
+                    names=["uid", "doc_id", "n", "set_key", "prefix_key", "prefix", "sketch"],
                 )
 
     return base.mapInArrow(
         run,
-        "uid long, doc_id long, n long, set_key binary, prefix_key binary, prefix array<long>",
+        "uid long, doc_id long, n long, set_key binary, prefix_key binary, prefix array<long>, "
+        "sketch array<long>",
     )
 
 
@@ -406,11 +429,24 @@ def ordered(pairs: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def rest_of_pairs(entries, group_pairs, members, percent: int) -> DataFrame:
+def plausible(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sketches allow.  ``sketched``: sid, n, sketch."""
+    x, y = (
+        sketched.select(F.col("sid").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}"))
+        for k in "ab"
+    )
+    both = pairs.join(x, "a").join(y, "b")
+    return both.where(
+        (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
+        & sketches_allow(F.col("na"), F.col("nb"), "sa", "sb", percent)
+    ).select("a", "b")
+
+
+def rest_of_pairs(entries, group_pairs, members, sketched, percent: int) -> DataFrame:
     """Pairs of members in different components that the stars have not compared.
 
     ``entries``: token, gid, n, pos of runs of 3 or more; ``group_pairs``: those already paired by
-    their representatives; ``members``: sid, gid, comp.
+    their representatives; ``members``: sid, gid, comp; ``sketched``: sid, n, sketch.
     """
     units = members.groupBy("gid", "comp").agg(F.count("*").alias("size"))
     # Other pairs of groups: one side outside the component that most entries of the shingle have.
@@ -422,16 +458,21 @@ def rest_of_pairs(entries, group_pairs, members, percent: int) -> DataFrame:
         .where("comps > 1")
         .select("token", "main")
     )
-    open_entries = placed.join(mixed_tokens, "token")
+    # A group of one class is judged by its sketch here, a larger one after its members are known.
+    alone = units.groupBy("gid").agg(F.sum("size").alias("classes")).where("classes = 1").select("gid")
+    known = sketched.join(alone, F.col("sid") == F.col("gid")).select("gid", "sketch")
+    open_entries = placed.join(mixed_tokens, "token").join(known, "gid", "left")
     x = open_entries.where("comp != main").select(
         "token", F.col("gid").alias("g1"), F.col("comp").alias("c1"), F.col("n").alias("n1"),
-        F.col("pos").alias("p1"),
+        F.col("pos").alias("p1"), F.col("sketch").alias("k1"),
     )
     y = open_entries.select(
         "token", F.col("gid").alias("g2"), F.col("comp").alias("c2"), F.col("n").alias("n2"),
-        F.col("pos").alias("p2"),
+        F.col("pos").alias("p2"), F.col("sketch").alias("k2"),
+    )
+    filters = may_link(F.col("n1"), F.col("n2"), F.col("p1"), F.col("p2"), percent) & F.coalesce(
+        sketches_allow(F.col("n1"), F.col("n2"), "k1", "k2", percent), F.lit(True)
     )
-    filters = may_link(F.col("n1"), F.col("n2"), F.col("p1"), F.col("p2"), percent)
     by_token = x.join(y, (x["token"] == y["token"]) & (F.col("c1") != F.col("c2")) & filters).select(
         "g1", "c1", "g2", "c2"
     )
@@ -450,7 +491,8 @@ def rest_of_pairs(entries, group_pairs, members, percent: int) -> DataFrame:
     every = by_token.unionByName(by_pair).unionByName(inside).distinct()
     m1 = members.select(F.col("gid").alias("g1"), F.col("comp").alias("c1"), F.col("sid").alias("a"))
     m2 = members.select(F.col("gid").alias("g2"), F.col("comp").alias("c2"), F.col("sid").alias("b"))
-    return ordered(every.join(m1, ["g1", "c1"]).join(m2, ["g2", "c2"]).select("a", "b"))
+    pairs = every.join(m1, ["g1", "c1"]).join(m2, ["g2", "c2"]).select("a", "b")
+    return plausible(ordered(pairs), sketched, percent)
 
 
 def linked_components(
@@ -476,9 +518,11 @@ def linked_components(
         ),
         "classes",
     )
+    own = classes.select("sid", "copies")
     distinct = rows.select("uid", "n", "prefix_key", "prefix").join(
-        classes.select("sid", "copies"), F.col("uid") == F.col("sid")
+        own, F.col("uid") == F.col("sid")
     ).drop("uid")
+    sketched = rows.where("n > 0").select(F.col("uid").alias("sid"), "n", "sketch")
     narrow = distinct.select("sid", "copies", "prefix_key")
     groups = narrow.groupBy("prefix_key").agg(
         F.max(F.struct("copies", (-F.col("sid")).alias("s"))).alias("best"), F.count("*").alias("size")
@@ -495,7 +539,8 @@ def linked_components(
     group_pairs = saved(ordered(found.where("b is not null").select("a", "b")), "group-pairs")
     in_groups = grouped.where("sid != gid").select(F.col("gid").alias("a"), F.col("sid").alias("b"))
     star_pairs = ordered(group_pairs.unionByName(in_groups))
-    links = saved(verify(docs, star_pairs, classes, id_col, text_col, percent), "star-links")
+    likely = saved(plausible(star_pairs, sketched, percent), "star-pairs")
+    links = saved(verify(docs, likely, classes, id_col, text_col, percent), "star-links")
     first = components(links)
 
     members = grouped.join(first, F.col("sid") == F.col("node"), "left").select(
@@ -503,10 +548,8 @@ def linked_components(
     )
     members = saved(members, "members")
     entries = found.where("token is not null").select("token", F.col("a").alias("gid"), "n", "pos")
-    rest = saved(rest_of_pairs(entries, group_pairs, members, percent), "rest").join(
-        star_pairs, ["a", "b"], "left_anti"
-    )
-    rest = saved(rest, "rest-pairs")
+    rest = rest_of_pairs(entries, group_pairs, members, sketched, percent)
+    rest = saved(rest.join(likely, ["a", "b"], "left_anti"), "rest-pairs")
     if rest.isEmpty():
         final = first
     else:
