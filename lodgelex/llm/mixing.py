@@ -138,8 +138,8 @@ def mix(
     )
 
 
-def mixture(docs: DataFrame, **options) -> DataFrame:
-    """The mixed rows themselves, with the columns of ``docs``: each as often as it is taken."""
-    rows = mix(docs, carry=tuple(docs.columns), **options)
+def mixture(docs: DataFrame, carry: tuple[str, ...] | None = None, **options) -> DataFrame:
+    """The mixed rows themselves, each as often as it is taken, with the columns ``carry`` (all)."""
+    rows = mix(docs, carry=tuple(docs.columns) if carry is None else carry, **options)
     times = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)
     return rows.select(F.explode(F.array_repeat("row", times)).alias("row")).select("row.*")

@@ -104,26 +104,27 @@ def word_codes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return codes, np.searchsorted(starts, offsets)
 
 
-def shingle_codes(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingle_codes(words: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of every text's shingles in order (repeats included) and where each text's begin.
 
-    A text of fewer than ``WIDTH`` words has its whole sequence as one shingle, one without words none.
+    A text of fewer than ``width`` words has its whole sequence as one shingle, one without words none.
     """
     counts = np.diff(at)
-    sizes = np.where(counts >= WIDTH, counts - WIDTH + 1, (counts > 0).astype(np.int64))
+    sizes = np.where(counts >= width, counts - width + 1, (counts > 0).astype(np.int64))
     begin = np.concatenate([[0], np.cumsum(sizes)])
     out = np.empty(begin[-1], _U)
-    full = np.repeat(counts >= WIDTH, sizes)
+    full = np.repeat(counts >= width, sizes)
     source = np.arange(begin[-1]) + np.repeat(at[:-1] - begin[:-1], sizes)
     rows = source[full]
     total = np.zeros(len(rows), _U)
-    for k in range(WIDTH):
-        total += words[rows + k] * MIXERS[k]
+    factors = _powers(MIXERS[1], width + 1)[1:]
+    for k in range(width):
+        total += words[rows + k] * factors[k]
     out[full] = mixed(total)
-    for text in np.flatnonzero((counts > 0) & (counts < WIDTH)):
+    for text in np.flatnonzero((counts > 0) & (counts < width)):
         own = words[at[text] : at[text + 1]]
-        code = (own * np.array(MIXERS[3 : 3 + len(own)], _U)).sum(dtype=_U) + _U(len(own))
-        out[begin[text]] = mixed(np.array([code], _U))[0]
+        code = np.array([(own * factors[: len(own)]).sum(dtype=_U), len(own)], _U) * MIXERS[2]
+        out[begin[text]] = mixed(mixed(code[:1]) + code[1:])[0]
     return out, begin
 
 
@@ -140,9 +141,9 @@ class Order:
     """Places shingles in the common order: rare ones first."""
 
     def __init__(self, words: list[tuple[int, int]], shingles: list[tuple[int, int]],
-                 n_words: int, n_docs: int, word_share: float):
+                 n_words: int, n_docs: int, word_share: float, width: int):
         self.words, self.word_score = self._table(words, max(1, n_words))
-        self.floor = float(np.log2(word_share / 2))
+        self.floor, self.width = float(np.log2(word_share / 2)), width
         self.shingles, self.shingle_score = self._table(shingles, max(1, n_docs))
 
     @staticmethod
@@ -167,9 +168,9 @@ class Order:
         source = np.arange(len(shingles)) + np.repeat(at[:-1] - begin[:-1], sizes)
         total = score[source]
         last = np.repeat(at[1:] - 1, sizes)
-        for k in range(1, WIDTH):
+        for k in range(1, self.width):
             total = total + np.where(np.repeat(counts, sizes) > k, score[np.minimum(source + k, last)], 0.0)
-        rank = np.clip((total - WIDTH * self.floor) * 500, 0, 29_999).astype(np.int64)
+        rank = np.clip((total - self.width * self.floor) * 500, 0, 29_999).astype(np.int64)
         if len(self.shingles):
             pos = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
             hit = self.shingles[pos] == shingles
@@ -177,7 +178,9 @@ class Order:
         return rank.astype(_U) << _U(48) | shingles >> _U(16)
 
 
-def count_frequent(docs: DataFrame, text_col: str, word_share: float, shingle_share: float) -> Order:
+def count_frequent(
+    docs: DataFrame, text_col: str, width: int, word_share: float, shingle_share: float
+) -> Order:
     """The order of shingles, from counts over all documents.
 
     A window of a task reports what is frequent in it, so that at most 1 / share codes leave it; a
@@ -189,7 +192,7 @@ def count_frequent(docs: DataFrame, text_col: str, word_share: float, shingle_sh
         for batch in batches:
             for a, b, raw, offsets in slices(batch.column(0), TOGETHER):
                 codes, at = word_codes(raw, offsets)
-                found, begin = shingle_codes(codes, at)
+                found, begin = shingle_codes(codes, at, width)
                 words.append(codes)
                 shingles += [np.unique(found[x:y]) for x, y in zip(begin[:-1], begin[1:], strict=True)]
                 held += len(raw)
@@ -230,7 +233,7 @@ def count_frequent(docs: DataFrame, text_col: str, word_share: float, shingle_sh
     return Order(
         [(r["code"], r["n"]) for r in kept if r["kind"] == 2],
         [(r["code"], r["n"]) for r in kept if r["kind"] == 3],
-        n_words, n_docs, word_share,
+        n_words, n_docs, word_share, width,
     )
 
 
@@ -260,6 +263,7 @@ def sketches_allow(n1, n2, sketch1, sketch2, percent: int):
 
 def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Per row: uid, doc_id, n, set_key, prefix_key, prefix and sketch (null for the empty set)."""
+    width = order.width
     shipped = docs.sparkSession.sparkContext.broadcast(
         (order.words, order.word_score, order.shingles, order.shingle_score, order.floor)
     )
@@ -269,12 +273,12 @@ def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Order([], [], 1, 1, 1.0)
+        own = Order([], [], 1, 1, 1.0, width)
         own.words, own.word_score, own.shingles, own.shingle_score, own.floor = shipped.value
         for batch in batches:
             for a, b, raw, offsets in slices(batch.column("raw"), TOGETHER):
                 words, at = word_codes(raw, offsets)
-                codes, begin = shingle_codes(words, at)
+                codes, begin = shingle_codes(words, at, width)
                 keys = own.keys(words, at, codes, begin)
                 sizes, sets, groups, heads, sketches = [], [], [], [], []
                 for x, y in zip(begin[:-1], begin[1:], strict=True):
@@ -366,7 +370,7 @@ def stars(index: DataFrame, percent: int) -> DataFrame:
 
 
 def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
-           percent: int) -> DataFrame:
+           width: int, percent: int) -> DataFrame:
     """Of the pairs (a, b) of classes those that link, decided on the complete shingle sets."""
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid")))
     handles = wanted.distinct().join(classes.select("sid", "first_id", "set_key"), "sid")
@@ -382,7 +386,7 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, t
             right = np.zeros(batch.num_rows, bool)
             keys = batch.column("set_key").to_pylist()
             for a, _, raw, offsets in slices(batch.column("raw"), TOGETHER):
-                codes, begin = shingle_codes(*word_codes(raw, offsets))
+                codes, begin = shingle_codes(*word_codes(raw, offsets), width)
                 for k, (x, y) in enumerate(zip(begin[:-1], begin[1:], strict=True)):
                     right[a + k] = set_key(np.unique(codes[x:y])) == keys[a + k]
             out = batch.filter(pa.array(right))
@@ -400,12 +404,12 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, t
             rows = pa.array(list(seen.values()), pa.int64())
             names = list(seen)
             for a, _, raw, offsets in slices(batch.column("raw_a").take(rows), TOGETHER):
-                codes, begin = shingle_codes(*word_codes(raw, offsets))
+                codes, begin = shingle_codes(*word_codes(raw, offsets), width)
                 for k, (x, y) in enumerate(zip(begin[:-1], begin[1:], strict=True)):
                     lefts[names[a + k]] = np.unique(codes[x:y])
             linked = []
             for a, _, raw, offsets in slices(batch.column("raw_b"), TOGETHER):
-                codes, begin = shingle_codes(*word_codes(raw, offsets))
+                codes, begin = shingle_codes(*word_codes(raw, offsets), width)
                 for k, (x, y) in enumerate(zip(begin[:-1], begin[1:], strict=True)):
                     left, right = lefts[first[a + k]], np.unique(codes[x:y])
                     merged = np.concatenate([left, right])
@@ -499,18 +503,20 @@ def linked_components(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
+    width: int = WIDTH,
     percent: int = PERCENT,
     word_share: float = WORD_SHARE,
     shingle_share: float = SHINGLE_SHARE,
 ) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links).
 
-    Two documents link when 100 * intersection >= ``percent`` * union of their shingle sets.  Texts
+    Two documents link when 100 * intersection >= ``percent`` * union of their sets of ``width``-word
+    shingles; fewer words make one shingle.  Texts
     without words, and null, have the empty set and link with nothing: their component is their own
     id.  Rows without an id take part; a component of such rows alone has a null component_id.
     Repeated ids are separate rows.  An empty table gives an empty result.
     """
-    order = count_frequent(docs, text_col, word_share, shingle_share)
+    order = count_frequent(docs, text_col, width, word_share, shingle_share)
     rows = saved(prefixes(docs, order, id_col, text_col, percent), "sets")
     classes = saved(
         rows.where("n > 0").groupBy("set_key").agg(
@@ -540,7 +546,7 @@ def linked_components(
     in_groups = grouped.where("sid != gid").select(F.col("gid").alias("a"), F.col("sid").alias("b"))
     star_pairs = ordered(group_pairs.unionByName(in_groups))
     likely = saved(plausible(star_pairs, sketched, percent), "star-pairs")
-    links = saved(verify(docs, likely, classes, id_col, text_col, percent), "star-links")
+    links = saved(verify(docs, likely, classes, id_col, text_col, width, percent), "star-links")
     first = components(links)
 
     members = grouped.join(first, F.col("sid") == F.col("node"), "left").select(
@@ -553,7 +559,7 @@ def linked_components(
     if rest.isEmpty():
         final = first
     else:
-        more = saved(verify(docs, rest, classes, id_col, text_col, percent), "rest-links")
+        more = saved(verify(docs, rest, classes, id_col, text_col, width, percent), "rest-links")
         star_edges = first.where("node != component").select(
             F.col("node").alias("a"), F.col("component").alias("b")
         )
@@ -571,3 +577,13 @@ def linked_components(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
     )
     return with_sets.unionByName(without)
+
+
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows that stay, with the columns of ``docs``: of each component the smallest id.
+
+    Rows of one id are one document and stay or go together; rows without an id stay.
+    """
+    found = linked_components(docs, id_col, text_col, **options)
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")

@@ -80,6 +80,25 @@ URL_RULES = [
 ]
 
 
+#: SHA-1 in base 32: five bits at a time from the 40 hexadecimal digits.
+WARC_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as h from pages
+), d as (
+  select page_id, octet_length(encode(body)) as payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(
+      (((instr('0123456789abcdef', substr(h || '0', 1 + ((5 * i) // 4), 1)) - 1) * 16
+        + instr('0123456789abcdef', substr(h || '0', 2 + ((5 * i) // 4), 1)) - 1) >> (3 - ((5 * i) % 4))) & 31
+      as bigint), 1)), '') as payload_digest
+  from p
+), g as (select payload_digest, min(page_id) as first_id from d group by payload_digest)
+select d.page_id, d.payload_bytes, d.payload_digest,
+  case when d.page_id = g.first_id then 'response' else 'revisit' end as record_type,
+  case when d.page_id = g.first_id then null else g.first_id end as refers_to
+from d join g using (payload_digest)
+"""
+
+
 def op7_url_filter(spark, folder):
     return url_filter.judge(table(spark, folder, "pages"), URL_RULES)
 
@@ -123,6 +142,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op6_warc": WARC_SQL,
     "op5_topk_search": TOPK_SQL,
     "op10_exact_dedup": EXACT_DEDUP_SQL,
 }
