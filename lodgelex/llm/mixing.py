@@ -27,14 +27,16 @@ def word_count(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Add ``quality_weight``: 2 for documents labelled good, 0.5 for bad ones, 1 without a label."""
-    marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("labelled")).agg(
-        F.max("quality").alias("mark")
+def with_quality(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", name: str = "quality_weight"
+) -> DataFrame:
+    """Add ``name``: 2 for documents labelled good, 0.5 for bad ones, 1 without a label."""
+    marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__labelled")).agg(
+        F.max("quality").alias("__mark")
     )
-    weight = F.when(F.col("mark") > 0, 2.0).when(F.col("mark") <= 0, 0.5).otherwise(1.0)
-    joined = docs.join(marks, F.col(id_col) == F.col("labelled"), "left")
-    return joined.select(docs["*"], weight.alias("quality_weight"))
+    weight = F.when(F.col("__mark") > 0, 2.0).when(F.col("__mark") <= 0, 0.5).otherwise(1.0)
+    joined = docs.join(marks, F.col(id_col) == F.col("__labelled"), "left")
+    return joined.withColumn(name, weight).drop("__labelled", "__mark")
 
 
 def cyclic_weights(sources: DataFrame, weights: tuple[float, ...] = (5, 2, 1)) -> DataFrame:

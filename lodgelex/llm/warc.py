@@ -120,9 +120,12 @@ def write(
     file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """Write one record per row below ``folder``; the result lists the archives and their records."""
-    marked = mark_revisits(pages, id_col, html_col, least_bytes).select(
-        F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), "payload",
-        F.col("first_id").cast("long").alias("first_id"), "revisit",
+    needed = pages.select(
+        F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
+        F.col(html_col).alias("html"),
+    )
+    marked = mark_revisits(needed, "page_id", "html", least_bytes).select(
+        "page_id", "url", "payload", "first_id", "revisit"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
