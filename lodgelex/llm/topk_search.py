@@ -169,8 +169,8 @@ def search(
     The score is the integer inner product of the scaled vectors.  A query's own row is no candidate;
     of equal scores the smaller id comes first.  Sums of products must stay below 2 ** 53.  Vectors that are null, hold null or non-finite
     components, or have no id take no part.  Vectors of different lengths are compared within their
-    length only.  Repeated ids are candidates of their own for other queries; as a query the smallest of their vectors
-    counts.
+    length only.  Repeated ids are candidates of their own for other queries; as a query one of
+    their vectors counts, the first by its bytes, in every run the same.
     """
     base = vectors.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), scaled(vector_col, scale).alias("v"),

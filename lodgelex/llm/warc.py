@@ -42,6 +42,7 @@ END = b"\r\n\r\n"
 # Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
+SINGLE = frozenset(["warc-type", "warc-record-id", "warc-date", "content-length"])
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 
@@ -243,6 +244,8 @@ def parse(data: bytes, at: int) -> tuple[Record, int]:
         name, colon, value = line.partition(":")
         if not colon:
             raise Damaged("header line without colon")
+        if name.lower() in SINGLE and name.lower() in fields:
+            raise Damaged("header repeats a field, as if it ran into another one")
         fields[name.lower()] = value.strip()
     length = fields.get("content-length", "")
     if not length.isdigit():
