@@ -47,6 +47,8 @@ LEAST_REPEATS = 8
 
 #: Bits of a set's parity sketch.
 SKETCH = 1024
+#: Numbers that ids are hashed to before texts are fetched.
+COARSE = 1 << 20
 
 _U = np.uint64
 
@@ -369,13 +371,21 @@ def stars(index: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _coarse(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(COARSE))
+
+
 def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
            width: int, percent: int) -> DataFrame:
     """Of the pairs (a, b) of classes those that link, decided on the complete shingle sets."""
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid")))
     handles = wanted.distinct().join(classes.select("sid", "first_id", "set_key"), "sid")
+    handles = saved(handles, "handles")
+    # Texts that surely are not wanted stay where they are: at most COARSE numbers are broadcast.
+    coarse = handles.select(_coarse("first_id").alias("number")).distinct()
     found = (
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("raw"))
+        .join(F.broadcast(coarse), _coarse("id") == F.col("number"), "left_semi")
         .join(handles, F.col("id").eqNullSafe(F.col("first_id")))
         .select("sid", "set_key", "raw")
     )
@@ -524,20 +534,18 @@ def linked_components(
         ),
         "classes",
     )
-    own = classes.select("sid", "copies")
-    distinct = rows.select("uid", "n", "prefix_key", "prefix").join(
-        own, F.col("uid") == F.col("sid")
+    narrow = rows.select("uid", "prefix_key").join(
+        classes.select("sid", "copies"), F.col("uid") == F.col("sid")
     ).drop("uid")
     sketched = rows.where("n > 0").select(F.col("uid").alias("sid"), "n", "sketch")
-    narrow = distinct.select("sid", "copies", "prefix_key")
     groups = narrow.groupBy("prefix_key").agg(
         F.max(F.struct("copies", (-F.col("sid")).alias("s"))).alias("best"), F.count("*").alias("size")
     ).select("prefix_key", (-F.col("best.s")).alias("gid"), F.col("best.copies").alias("weight"), "size")
     grouped = narrow.join(groups, "prefix_key").select("sid", "gid", "size")
     grouped = saved(grouped, "groups")
 
-    index = distinct.join(
-        groups.select("gid", "weight"), F.col("sid") == F.col("gid")
+    index = rows.select("uid", "n", "prefix").join(
+        groups.select("gid", "weight"), F.col("uid") == F.col("gid")
     ).select("gid", "n", "weight", F.posexplode("prefix").alias("pos", "token")).withColumn(
         "pos", F.col("pos").cast("long")
     )
