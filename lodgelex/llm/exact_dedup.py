@@ -17,6 +17,7 @@ import hashlib
 import sys
 import uuid
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,6 +42,11 @@ SPILLED = pa.schema(
 )
 
 
+def spill_schema(row_type: pa.DataType | None) -> pa.Schema:
+    """Spilled records; ``row`` holds a record's other columns where these are carried along."""
+    return SPILLED.append(pa.field("row", row_type or pa.null()))
+
+
 def normalised(text: bytes | None) -> bytes:
     """Only A to Z change; null counts as empty."""
     return b"" if text is None else text.lower()
@@ -141,17 +147,30 @@ def _windows(window_bytes: int):
     return run
 
 
-def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+def _records(batches: Iterable[pa.RecordBatch], text_col: str | None = None) -> Iterator[tuple]:
+    """Records of Arrow batches.  With ``text_col`` the content is that field of ``row``."""
     for batch in batches:
-        *columns, contents = [batch.column(name).to_pylist() for name in SPILLED.names]
-        yield from zip(*columns, map(normalised, contents), strict=True)
+        columns = [batch.column(name).to_pylist() for name in SPILLED.names[:-1]]
+        rows = batch.column("row").to_pylist() if "row" in batch.schema.names else [None] * batch.num_rows
+        if text_col is None:
+            contents = batch.column("content").to_pylist()
+        else:
+            contents = [None if r[text_col] is None else _encoded(r[text_col]) for r in rows]
+        yield from zip(*columns, map(normalised, contents), rows, strict=True)
+
+
+def _encoded(text: str | bytes) -> bytes:
+    return text.encode() if isinstance(text, str) else text
 
 
 class SpillFiles:
     """The partitions of one level of recursion, as Arrow files below ``folder``."""
 
-    def __init__(self, fs: pafs.FileSystem, folder: str, level: int, batch_bytes: int):
+    def __init__(
+        self, fs: pafs.FileSystem, folder: str, level: int, batch_bytes: int, schema: pa.Schema
+    ):
         self.fs, self.folder, self.level, self.batch_bytes = fs, folder, level, batch_bytes
+        self.schema = schema
         fs.create_dir(folder, recursive=True)
         self.waiting: dict[int, list] = {}
         self.waiting_bytes: dict[int, int] = {}
@@ -172,8 +191,8 @@ class SpillFiles:
     def flush(self, part: int) -> None:
         if part not in self.writers:
             self.sinks[part] = self.fs.open_output_stream(self.path(part))
-            self.writers[part] = pa.ipc.new_stream(self.sinks[part], SPILLED)
-        self.writers[part].write_batch(_spilled(self.waiting.pop(part)))
+            self.writers[part] = pa.ipc.new_stream(self.sinks[part], self.schema)
+        self.writers[part].write_batch(_spilled(self.waiting.pop(part), self.schema))
         self.waiting_bytes[part] = 0
 
     def close(self) -> list[int]:
@@ -190,10 +209,10 @@ class SpillFiles:
         self.fs.delete_file(self.path(part))
 
 
-def _spilled(rows: list[tuple]) -> pa.RecordBatch:
+def _spilled(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows, strict=True)
-    arrays = [pa.array(c, f.type) for c, f in zip(columns, SPILLED, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, schema=SPILLED)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 def _verdicts(rep, entry, best, size) -> pa.RecordBatch:
@@ -208,96 +227,128 @@ def _verdicts(rep, entry, best, size) -> pa.RecordBatch:
 
 
 def grace(
-    records: Iterator[tuple], folder: str, table_bytes: int, level: int = 0
+    records: Iterator[tuple],
+    folder: str,
+    table_bytes: int,
+    level: int = 0,
+    row_type: pa.DataType | None = None,
 ) -> Iterator[pa.RecordBatch]:
-    """Verdicts of one hash partition, in memory or by way of spill files."""
+    """What one hash partition gives, in memory or by way of spill files.
+
+    Verdicts for all records, or with ``row_type`` the best row of every class.
+    """
     table, best, size, codes, rep, member = ContentTable(), [], [], [], [], []
-    for digest, uid, best_uid, key, n, content in records:
+    rows: list = []
+    for digest, uid, best_uid, key, n, content, row in records:
         entry = table.find(digest, content)
         if entry == len(best):
             best.append((key, best_uid))
             size.append(0)
             codes.append(digest)
-        best[entry] = better(best[entry], (key, best_uid))
+            rows.append(row)
+        elif better(best[entry], (key, best_uid)) != best[entry]:
+            best[entry], rows[entry] = (key, best_uid), row
         size[entry] += n
-        rep.append(uid)
-        member.append(entry)
+        if row_type is None:
+            rep.append(uid)
+            member.append(entry)
         can_split = len(best) > 1 and (level + 1) * FAN_OUT_BITS <= 8 * len(digest)
         if table.bytes > table_bytes and can_split:
             break
     else:
-        if rep:
+        if row_type is not None and rows:
+            yield pa.RecordBatch.from_arrays([pa.array(rows, row_type)], names=["row"])
+        elif rep:
             yield _verdicts(rep, member, best, size)
         return
     fs, path = pafs.FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
-    files = SpillFiles(fs, f"{path}/{uuid.uuid4().hex}", level, table_bytes)
+    schema = spill_schema(row_type)
+    files = SpillFiles(fs, f"{path}/{uuid.uuid4().hex}", level, table_bytes, schema)
     # The class's size and best row travel on its first record; the others only ask for the verdict.
     told: set[int] = set()
+    if row_type is not None:
+        rep, member = [uid for _, uid in best], list(range(len(best)))
     for uid, entry in zip(rep, member, strict=True):
         n = 0 if entry in told else size[entry]
         told.add(entry)
-        files.add((codes[entry], uid, best[entry][1], best[entry][0], n, table.contents[entry]))
-    del table, best, size, codes, rep, member
+        key, best_uid = best[entry]
+        files.add((codes[entry], uid, best_uid, key, n, table.contents[entry], rows[entry]))
+    del table, best, size, codes, rep, member, rows
     for record in records:
         files.add(record)
     try:
         for part in files.close():
-            yield from grace(_records(files.read(part)), folder, table_bytes, level + 1)
+            yield from grace(_records(files.read(part)), folder, table_bytes, level + 1, row_type)
     finally:
         fs.delete_dir(files.folder)
 
 
+def resolved_windows(docs: DataFrame, id_col: str, text_col: str, row, window_bytes: int) -> DataFrame:
+    source = docs.select(
+        F.monotonically_increasing_id().alias("uid"),
+        F.col(id_col).cast("long").alias("id"),
+        F.col(text_col).cast("binary").alias("content"),
+        *row,
+    )
+    extra = [T.StructField("digest", T.BinaryType()), T.StructField("rep_uid", T.LongType()),
+             T.StructField("n_local", T.LongType())]
+    return source.mapInArrow(_windows(window_bytes), T.StructType([*source.schema.fields, *extra]))
+
+
 def deduplicate(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    carry: tuple[str, ...] = (),
     table_bytes: int = TABLE_BYTES,
     window_bytes: int = WINDOW_BYTES,
 ) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, and ``carry`` as a struct.
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A to Z; null counts as empty.  The row with
     the largest id stays, a row without an id only if no row of its class has one; of repeated rows
-    with equal id and text one stays.  ``carry`` names columns returned in the struct ``row``, so
-    that no name clashes.  An empty table gives an empty result.
+    with equal id and text one stays.  An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    source = docs.select(
-        F.monotonically_increasing_id().alias("uid"),
-        F.col(id_col).cast("long").alias("id"),
-        F.col(text_col).cast("binary").alias("content"),
-        *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []),
-    )
-    extra = [T.StructField("digest", T.BinaryType()), T.StructField("rep_uid", T.LongType()),
-             T.StructField("n_local", T.LongType())]
-    resolved = source.mapInArrow(
-        _windows(window_bytes), T.StructType([*source.schema.fields, *extra])
-    )
-    staged = saved(resolved, "dedup-rows")
-    folder = scratch(spark, "dedup-spill")
-    reps = (
-        staged.where("uid = rep_uid")
-        .select("digest", "uid", F.col("uid").alias("best_uid"), "id",
-                F.col("n_local").alias("size"), "content")
-        .repartition(F.col("digest"))
-    )
+    folder = scratch(docs.sparkSession, "dedup-spill")
+    staged = saved(resolved_windows(docs, id_col, text_col, [], window_bytes), "dedup-rows")
+    reps = _representatives(staged, "content").repartition(F.col("digest"))
     verdicts = reps.mapInArrow(
         lambda batches: grace(_records(batches), folder, table_bytes),
         "rep_uid long, keep_id long, keep_uid long, group_size long",
     )
-    joined = staged.drop("content", "n_local").join(verdicts, "rep_uid")
-    return joined.select(
+    return staged.drop("content", "n_local").join(verdicts, "rep_uid").select(
         F.col("id").alias("doc_id"),
         "keep_id",
         "group_size",
         (F.col("uid") == F.col("keep_uid")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
-        *(["row"] if carry else []),
     )
 
 
-def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the columns of ``docs``."""
-    rows = deduplicate(docs, id_col, text_col, carry=tuple(docs.columns))
-    return rows.where("kept").select("row.*")
+def _representatives(resolved: DataFrame, *more: str) -> DataFrame:
+    """The best row of each window and class, as the records of the hash partitions."""
+    return resolved.where("uid = rep_uid").select(
+        "digest", "uid", F.col("uid").alias("best_uid"), "id", F.col("n_local").alias("size"), *more
+    )
+
+
+def survivors(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    table_bytes: int = TABLE_BYTES,
+    window_bytes: int = WINDOW_BYTES,
+) -> DataFrame:
+    """The rows that stay by the same rules, with the columns of ``docs``; one shuffle of the texts."""
+    folder = scratch(docs.sparkSession, "dedup-spill")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    resolved = resolved_windows(docs, id_col, text_col, [row], window_bytes)
+    reps = _representatives(resolved, "row").repartition(F.col("digest"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next(iter(batches), None)
+        if first is not None:
+            records = _records(chain([first], batches), text_col)
+            kind = first.schema.field("row").type
+            yield from grace(records, folder, table_bytes, row_type=kind)
+
+    return reps.mapInArrow(run, T.StructType([reps.schema["row"]])).select("row.*")

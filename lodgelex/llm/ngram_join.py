@@ -371,10 +371,6 @@ def stars(index: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _coarse(key: str):
-    return F.pmod(F.xxhash64(key), F.lit(COARSE))
-
-
 def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
            width: int, percent: int) -> DataFrame:
     """Of the pairs (a, b) of classes those that link, decided on the complete shingle sets."""
@@ -382,10 +378,9 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, t
     handles = wanted.distinct().join(classes.select("sid", "first_id", "set_key"), "sid")
     handles = saved(handles, "handles")
     # Texts that surely are not wanted stay where they are: at most COARSE numbers are broadcast.
-    coarse = handles.select(_coarse("first_id").alias("number")).distinct()
     found = (
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("raw"))
-        .join(F.broadcast(coarse), _coarse("id") == F.col("number"), "left_semi")
+        .join(F.broadcast(_numbers(handles, "first_id")), _coarse("id") == F.col("number"), "left_semi")
         .join(handles, F.col("id").eqNullSafe(F.col("first_id")))
         .select("sid", "set_key", "raw")
     )
@@ -443,12 +438,23 @@ def ordered(pairs: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _coarse(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(COARSE))
+
+
+def _numbers(keys: DataFrame, key: str) -> DataFrame:
+    """What the keys are hashed to: at most ``COARSE`` rows, so they can be broadcast at any size."""
+    return keys.select(_coarse(key).alias("number")).distinct()
+
+
 def plausible(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that their sketches allow.  ``sketched``: sid, n, sketch."""
     x, y = (
         sketched.select(F.col("sid").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}"))
         for k in "ab"
     )
+    x = x.join(F.broadcast(_numbers(pairs, "a")), _coarse("a") == F.col("number"), "left_semi")
+    y = y.join(F.broadcast(_numbers(pairs, "b")), _coarse("b") == F.col("number"), "left_semi")
     both = pairs.join(x, "a").join(y, "b")
     return both.where(
         (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
@@ -474,8 +480,12 @@ def rest_of_pairs(entries, group_pairs, members, sketched, percent: int) -> Data
     )
     # A group of one class is judged by its sketch here, a larger one after its members are known.
     alone = units.groupBy("gid").agg(F.sum("size").alias("classes")).where("classes = 1").select("gid")
-    known = sketched.join(alone, F.col("sid") == F.col("gid")).select("gid", "sketch")
-    open_entries = placed.join(mixed_tokens, "token").join(known, "gid", "left")
+    open_rows = saved(placed.join(mixed_tokens, "token"), "open-entries")
+    known = (
+        sketched.join(F.broadcast(_numbers(open_rows, "gid")), _coarse("sid") == F.col("number"), "left_semi")
+        .join(alone, F.col("sid") == F.col("gid")).select("gid", "sketch")
+    )
+    open_entries = open_rows.join(known, "gid", "left")
     x = open_entries.where("comp != main").select(
         "token", F.col("gid").alias("g1"), F.col("comp").alias("c1"), F.col("n").alias("n1"),
         F.col("pos").alias("p1"), F.col("sketch").alias("k1"),
@@ -506,7 +516,7 @@ def rest_of_pairs(entries, group_pairs, members, sketched, percent: int) -> Data
     m1 = members.select(F.col("gid").alias("g1"), F.col("comp").alias("c1"), F.col("sid").alias("a"))
     m2 = members.select(F.col("gid").alias("g2"), F.col("comp").alias("c2"), F.col("sid").alias("b"))
     pairs = every.join(m1, ["g1", "c1"]).join(m2, ["g2", "c2"]).select("a", "b")
-    return plausible(ordered(pairs), sketched, percent)
+    return plausible(saved(ordered(pairs), "rest-all"), sketched, percent)
 
 
 def linked_components(
@@ -544,15 +554,25 @@ def linked_components(
     grouped = narrow.join(groups, "prefix_key").select("sid", "gid", "size")
     grouped = saved(grouped, "groups")
 
-    index = rows.select("uid", "n", "prefix").join(
-        groups.select("gid", "weight"), F.col("uid") == F.col("gid")
-    ).select("gid", "n", "weight", F.posexplode("prefix").alias("pos", "token")).withColumn(
-        "pos", F.col("pos").cast("long")
+    # Prefixes are long: they are kept from a shuffle wherever the planner can broadcast the few rows
+    # that represent no group and the few groups of more than one copy.
+    others = rows.where("n > 0").select("uid").join(
+        groups.select("gid"), F.col("uid") == F.col("gid"), "left_anti"
+    )
+    heavy = groups.where("weight > 1").select("gid", "weight")
+    index = (
+        rows.where("n > 0").select(F.col("uid").alias("gid"), "n", "prefix")
+        .join(others, F.col("gid") == F.col("uid"), "left_anti")
+        .join(heavy, "gid", "left")
+        .select("gid", "n", F.coalesce("weight", F.lit(1)).alias("weight"),
+                F.posexplode("prefix").alias("pos", "token"))
+        .withColumn("pos", F.col("pos").cast("long"))
     )
     found = saved(stars(index, percent), "stars")
     group_pairs = saved(ordered(found.where("b is not null").select("a", "b")), "group-pairs")
     in_groups = grouped.where("sid != gid").select(F.col("gid").alias("a"), F.col("sid").alias("b"))
     star_pairs = ordered(group_pairs.unionByName(in_groups))
+    star_pairs = saved(star_pairs, "all-star-pairs")
     likely = saved(plausible(star_pairs, sketched, percent), "star-pairs")
     links = saved(verify(docs, likely, classes, id_col, text_col, width, percent), "star-links")
     first = components(links)
