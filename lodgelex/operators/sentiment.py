@@ -48,6 +48,17 @@ def class_totals(
     return lexicon_hits(words, lexicon, by).groupBy(*by, "sentiment").agg(n.alias("n"))
 
 
+def slice_class_counts(
+    words: DataFrame, bing: DataFrame, nrc: DataFrame, by: Sequence[str] = ("country",)
+) -> DataFrame:
+    """Occurrences per method and class: all classes of the first lexicon, polarity of the second."""
+    counted = [
+        class_totals(words, lexicon, by, weighted=True).withColumn("method", F.lit(method))
+        for method, lexicon in ((BING, bing), (NRC, nrc.where(F.col("sentiment").isin(*POLARITY))))
+    ]
+    return counted[0].unionByName(counted[1]).select(*by, "method", "sentiment", "n")
+
+
 def score_totals(
     words: DataFrame, lexicon: DataFrame, by: Sequence[str] = ("country",), weighted: bool = False
 ) -> DataFrame:

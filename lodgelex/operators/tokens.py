@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import adjacent_words, outside, tokens_of
@@ -14,9 +14,12 @@ KEYS = ("document_id", "country")
 
 
 def listed_words(stop: DataFrame, limit: int = LITERAL_WORDS) -> list[str] | None:
-    """The distinct words of a short list; ``None`` when the list is longer than ``limit``."""
-    rows = stop.select("word").where("word is not null").limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted({row.word for row in rows})
+    """The distinct words of a short list; ``None`` when it has more than ``limit`` of them.
+
+    The limit picks between two plans with one result: see ``clean_pairs`` and ``clean_tokens``.
+    """
+    rows = stop.select("word").where("word is not null").distinct().limit(limit + 1).collect()
+    return None if len(rows) > limit else sorted(row.word for row in rows)
 
 
 def small_side(df: DataFrame) -> DataFrame:
@@ -55,21 +58,18 @@ def bigrams(
     stop: DataFrame | None = None,
     keep: Sequence[str] = KEYS,
 ) -> DataFrame:
-    """Neighbouring words of a listing, neither of them a stop word: ``keep..., word1, word2``.
+    """Neighbouring words of a listing, neither of them a stop word: ``keep..., place, word1, word2``.
 
-    With a short stop list the pairs are filtered inside the row, and ``place`` numbers the ones that
-    remain in their document from 0.  A list too long for that is anti joined twice; there is no
-    ``place`` then.
+    ``place`` numbers the pairs that remain in their listing from 0.  With a short stop list the pairs
+    are filtered inside the row; a list too long for that is anti joined twice, and the pairs of each
+    row are put together again.
     """
     # A projection of its own, since the pairs refer to the tokens several times.
     tokens = listings.select(*keep, tokens_of(listings, text).alias("_tokens"))
     pairs = adjacent_words("_tokens")
     listed = [] if stop is None else listed_words(stop)
     if listed is None:
-        exploded = tokens.select(*keep, F.inline(pairs))
-        return without_stop_words(without_stop_words(exploded, stop, "word1"), stop, "word2").select(
-            *keep, "word1", "word2"
-        )
+        return clean_pairs(tokens, pairs, stop, keep)
     if listed:
         pairs = F.filter(
             pairs, lambda p: outside(p["word1"], listed) & outside(p["word2"], listed)
@@ -79,6 +79,25 @@ def bigrams(
     )
 
 
+def clean_pairs(
+    tokens: DataFrame, pairs: Column, stop: DataFrame, keep: Sequence[str]
+) -> DataFrame:
+    """The pairs without stop words by anti joins: a group is one row's pairs, whatever its id is."""
+    # A projection of its own: next to a generator the id would count its output.
+    numbered = tokens.withColumn("_row", F.monotonically_increasing_id())
+    placed = numbered.select("_row", *keep, F.posexplode(pairs).alias("_at", "_pair")).select(
+        "_row", *keep, "_at", "_pair.word1", "_pair.word2"
+    )
+    clean = without_stop_words(without_stop_words(placed, stop, "word1"), stop, "word2")
+    row = F.array_sort(F.collect_list(F.struct("_at", "word1", "word2")))
+    return (
+        clean.groupBy("_row", *keep)
+        .agg(row.alias("_pairs"))
+        .select(*keep, F.posexplode("_pairs").alias("place", "_pair"))
+        .select(*keep, "place", "_pair.word1", "_pair.word2")
+    )
+
+
 def unite(pairs: DataFrame, name: str = "bigram") -> DataFrame:
     """Write the two words as one string, in a column before which nothing else changes."""
     return pairs.withColumn(name, F.concat_ws(" ", "word1", "word2"))

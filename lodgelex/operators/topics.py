@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +20,9 @@ from .tokens import KEYS, listed_words, without_stop_words
 #: Terms shorter than this are left out of the document-term matrix.
 SHORTEST_TERM = 3
 
-#: The driver and every task hold a dense k x vocabulary matrix while LDA is fitted.
-LARGEST_VOCABULARY = 5_000_000
+#: Documents in one partition of the vectors.  The layout depends on the documents alone, so a fit
+#: does not depend on the number of cores.
+FIT_ROWS = 20_000
 
 
 def processed_documents(
@@ -35,14 +36,16 @@ def processed_documents(
 
     ``keep`` must identify the document.  Tokenising, the stop list and the stems all work on the
     array of one row, so nothing is shuffled.  Only a stop list too long for a literal set takes the
-    tokens apart for an anti join and back together.
+    tokens apart for an anti join and puts those of each row together again, with the same result.
     """
     known = listings.where(F.col(text).isNotNull())
     tokens = tokens_of(known, text)
     listed = [] if stop is None else listed_words(stop)
     if listed is None:
-        exploded = known.select(*keep, F.posexplode(tokens).alias("pos", "word"))
-        known = ordered_tokens(without_stop_words(exploded, stop), keep)
+        # A projection of its own: next to a generator the id would count its output.
+        numbered = known.withColumn("_row", F.monotonically_increasing_id())
+        exploded = numbered.select("_row", *keep, F.posexplode(tokens).alias("pos", "word"))
+        known = ordered_tokens(without_stop_words(exploded, stop), ["_row", *keep])
         tokens = F.col("tokens")
     elif listed:
         tokens = F.filter(tokens, lambda w: outside(w, listed))
@@ -89,37 +92,57 @@ def long_terms(docs: DataFrame) -> DataFrame:
     return docs.select("document_id", non_empty(kept).alias("tokens"))
 
 
+def document_term_matrix(docs: DataFrame) -> DataFrame:
+    """``document_id, term, n`` over the terms that topics are fitted on."""
+    counted = doc_terms(long_terms(docs), ["document_id"])
+    return counted.withColumnRenamed("word", "term")
+
+
+def vocabulary_of(terms: DataFrame, min_df: int = 1) -> list[str]:
+    """All terms found in at least ``min_df`` documents, the most frequent first, ties by term.
+
+    It goes to the driver, which holds k topic rows of that length anyway: about 8 * k bytes a term.
+    """
+    counted = (
+        doc_terms(terms, ["document_id"])
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("documents"))
+    )
+    kept = counted.where(F.col("documents") >= min_df).orderBy(F.desc("n"), "word")
+    return [row.word for row in kept.select("word").collect()]
+
+
 def fit_topics(
     docs: DataFrame,
     k: int = 2,
     min_df: int = 1,
     seed: int = 42,
     max_iter: int = 20,
-    largest_vocabulary: int = LARGEST_VOCABULARY,
 ) -> tuple[LDAModel, list[str]] | None:
     """LDA by online variational Bayes and its vocabulary; ``None`` when no document has a term.
 
-    The vectors are written once, since every iteration reads them; the texts are read twice, for the
-    vocabulary and for the vectors, which is less than writing all token arrays in between.  A
-    vocabulary the model could not hold is refused, never cut: ``min_df`` is the way to say which
-    terms may go.
+    Every iteration draws from all documents at rate 1.  The vectors are written once, since every
+    iteration reads them; the texts are read twice, for the vocabulary and for the vectors, which is
+    less than writing all token arrays in between.  The vocabulary has a fixed order and the vectors a
+    layout that depends on the documents only, so one seed gives one model.  No vocabulary is refused
+    or cut; ``min_df`` is the way to say which terms may go.
     """
     terms = long_terms(docs)
-    counter = CountVectorizer(
-        inputCol="tokens", outputCol="features", minDF=min_df, vocabSize=largest_vocabulary + 1
-    )
-    matrix = counter.fit(terms)
-    vocabulary = matrix.vocabulary
+    vocabulary = vocabulary_of(terms, min_df)
     if not vocabulary:
         return None
-    if len(vocabulary) > largest_vocabulary:
-        raise ValueError(
-            f"more than {largest_vocabulary} terms: LDA keeps a topic row of that length on the "
-            "driver and in every task; raise min_df, choose a narrower slice, or raise the bound"
-        )
-    vectors = materialise(matrix.transform(terms).select("document_id", "features"))
-    lda = LDA(k=k, seed=seed, maxIter=max_iter, optimizer="online", featuresCol="features")
-    return lda.fit(vectors), vocabulary
+    matrix = CountVectorizerModel.from_vocabulary(
+        vocabulary, inputCol="tokens", outputCol="features"
+    )
+    found = matrix.transform(terms.withColumn("_order", F.xxhash64("document_id", "tokens")))
+    vectors = materialise(found.select("document_id", "_order", "features"))
+    parts = -(-vectors.count() // FIT_ROWS)
+    laid_out = vectors.repartition(parts, "_order").sortWithinPartitions("_order", "document_id")
+    lda = LDA(
+        k=k, seed=seed, maxIter=max_iter, optimizer="online", featuresCol="features",
+        subsamplingRate=1.0,
+    )
+    return lda.fit(laid_out), vocabulary
 
 
 def topic_term_beta(spark, fitted: tuple[LDAModel, list[str]] | None) -> DataFrame:

@@ -66,7 +66,7 @@ def bigram_tf_idf(
     count of each market, or ``n_docs`` for all of them: a number, or a one-row table with the column
     ``total_documents`` such as another market's count.  One pass over the text: occurrences that
     open a document are counted apart from the later ones, ``n`` is the sum of both and ``N`` that
-    of the openings.
+    of the openings.  Where ``N`` is 0 the weights are null.
     """
     by = list(by)
     if isinstance(n_docs, DataFrame):
@@ -93,7 +93,7 @@ def bigram_tf_idf(
         )
     documents = F.col("total_documents")
     return (
-        weighted.withColumn("tf", F.col("n") / documents)
+        weighted.withColumn("tf", F.try_divide("n", documents))
         .withColumn("idf", F.ln(documents / F.col("n")))
         .withColumn("tf_idf", F.col("tf") * F.col("idf"))
         .select(*by, "word1", "word2", "n", "tf", "idf", "tf_idf")

@@ -11,12 +11,19 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import LDAModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.text import tokens_of
 from ..operators import listings as li
 from ..operators.counting import count_by, top_with_ties
 from ..operators.graph import bigram_edges, bigram_nodes
-from ..operators.sentiment import class_totals, polarity_table, sentiment_comparison
+from ..operators.sentiment import (
+    BING,
+    NRC,
+    polarity_table,
+    sentiment_comparison,
+    slice_class_counts,
+)
 from ..operators.tokens import bigrams, unite, words
 from ..operators.topics import (
     doc_terms,
@@ -98,12 +105,13 @@ def derived_tables(
     pairs = unite(bigrams(market, text, stop))
     market_words = words(market, text)
     docs = processed_documents(market, text, stop)
+    classes = slice_class_counts(market_words, lexicons.bing, lexicons.nrc)
     tables = {
         "listings": flat,
         "descriptions": li.descriptions(flat),
         "market_words": market_words,
-        "market_bing": class_totals(market_words, lexicons.bing, weighted=True),
-        "market_nrc": class_totals(market_words, lexicons.nrc, weighted=True),
+        "market_bing": classes.where(F.col("method") == BING),
+        "market_nrc": classes.where(F.col("method") == NRC),
         "market_polarity": polarity(market, lexicons, text),
         "market_comparison": comparison(market, lexicons, text),
         "market_bigrams": pairs.select("document_id", "bigram"),

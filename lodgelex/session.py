@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +24,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 #: Word lists up to this many rows become a literal set inside the generated code.
 LITERAL_WORDS = 10_000
 
-#: A scan with less than this per core cannot keep the cores busy, and is cheap to redistribute.
-SPREAD_BYTES_PER_CORE = 8 * 1024 * 1024
+#: Only scans below this size are redistributed, whatever the cluster is.
+SPREAD_BYTES = 256 * 1024 * 1024
 
 
 def local_session(cores: int | str = "*", app: str = "lodgelex", **conf: str) -> SparkSession:
@@ -63,26 +60,27 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a scan that is too small to fill the cores, leave every other scan alone.
+    """Redistribute a small scan that is split too little, leave every other scan alone.
 
     A file with a single row group is read by one task however many cores there are.  The hash on
-    ``key`` is repeatable, so a recomputed task sees the same rows.
+    ``key`` is repeatable, so a recomputed task sees the same rows.  Only the layout changes, and no
+    result depends on it.
     """
     size = estimated_bytes(df)
     if size is None:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if size > cores * SPREAD_BYTES_PER_CORE:
+    if size > SPREAD_BYTES or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, F.col(key))
 
 
-def checkpoint_folder(spark: SparkSession) -> str | None:
-    """The shared folder named by the cluster; a temporary one only in local mode."""
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder named by the cluster, else one below the warehouse, which is shared too."""
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and sc.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="lodgelex-")
+    if folder is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lodgelex-scratch"
     if folder is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder
@@ -91,17 +89,10 @@ def checkpoint_folder(spark: SparkSession) -> str | None:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A folder below the cluster's shared one, for tables that outlive a query."""
     base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_folder(spark)
-    if base is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{name}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once for the repeated passes of an iterative job.
-
-    Goes to the reliable checkpoint folder.  On a cluster that names none the rows are persisted
-    instead: they keep their lineage, so a lost executor costs a recomputation and no result.
-    """
-    if checkpoint_folder(df.sparkSession) is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Compute ``df`` once for the repeated passes of an iterative job, in the checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)

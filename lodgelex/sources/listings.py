@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,35 +14,71 @@ def read_listings(
     path: str,
     fmt: str = "parquet",
     price_type: T.DataType = T.DoubleType(),
+    key_type: T.DataType = T.LongType(),
 ) -> DataFrame:
     """The whole collection.  No inference pass is made; fields outside the schema are not read.
 
-    ``price_type`` is the type the files hold, such as ``DecimalType(10, 2)``; prices are doubles in
-    the result.
+    ``price_type`` is the type that Parquet and ORC files hold, such as ``DecimalType(10, 2)``; prices
+    are doubles in the result.  ``key_type`` is the type of ``_id``, text or whole number.  JSON may
+    write any number as text, with a decimal part or with currency signs.  What does not parse is an
+    error, never a null: malformed lines and numbers stop the job when they are read.
     """
     if fmt not in ("parquet", "json", "orc"):
         raise ValueError(f"listings are read from parquet, json or orc, not {fmt!r}")
+    if fmt == "json":
+        return _read_json(spark, path, key_type)
+    held = {"price": price_type, "_id": key_type}
     stored = T.StructType(
-        [
-            T.StructField("price", price_type) if field.name == "price" else field
-            for field in LISTING_SCHEMA.fields
-        ]
+        [T.StructField(f.name, held.get(f.name, f.dataType)) for f in LISTING_SCHEMA.fields]
     )
     loaded = spark.read.schema(stored).format(fmt).load(path)
-    if stored == LISTING_SCHEMA:
+    if price_type == T.DoubleType():
         return loaded
     return loaded.withColumn("price", F.col("price").cast("double"))
 
 
+def _read_json(spark: SparkSession, path: str, key_type: T.DataType) -> DataFrame:
+    """Numbers are read as the text that stands in the file and then cast, with an error for junk."""
+    as_text = {"_id", "price", "number_of_reviews", "bedrooms"}
+    rating = T.StructType([T.StructField("review_scores_rating", T.StringType())])
+    held = {name: T.StringType() for name in as_text} | {"review_scores": rating}
+    stored = T.StructType(
+        [T.StructField(f.name, held.get(f.name, f.dataType)) for f in LISTING_SCHEMA.fields]
+    )
+    loaded = spark.read.schema(stored).option("mode", "FAILFAST").json(path)
+    score = F.col("review_scores.review_scores_rating")
+    return loaded.withColumns(
+        {
+            "_id": F.col("_id").cast(key_type),
+            "price": _number(F.col("price")),
+            "number_of_reviews": _number(F.col("number_of_reviews")).cast("int"),
+            "bedrooms": _number(F.col("bedrooms")).cast("int"),
+            "review_scores": F.when(
+                F.col("review_scores").isNotNull(),
+                F.struct(_number(score).cast("int").alias("review_scores_rating")),
+            ),
+        }
+    )
+
+
+def _number(text: Column) -> Column:
+    """A number written as text; null stays null, anything else that is no number is an error."""
+    plain = F.trim(F.regexp_replace(text, "[$,]", ""))
+    value = plain.try_cast("double")
+    junk = F.raise_error(F.concat(F.lit("not a number: "), plain)).cast("double")
+    return F.when(plain.isNotNull() & value.isNull(), junk).otherwise(value)
+
+
 def listings_from_documents(spark: SparkSession, folder: str) -> DataFrame:
     """The ``documents`` table in listing shape: language as country, source as market.
 
-    Ratings, reviews, rooms and coordinates are arithmetic on ``doc_id`` and ``n_chars``.
+    Some summaries are missing, and a description is the text with its source behind it.  Ratings,
+    reviews, rooms and coordinates are arithmetic on ``doc_id`` and ``n_chars``.
     """
     return spark.read.parquet(f"{folder}/documents.parquet").selectExpr(
         "doc_id as _id",
-        "text as summary",
-        "text as description",
+        "case when doc_id % 19 <> 5 then text end as summary",
+        "text || ' ' || source as description",
         """named_struct(
              'country', lang,
              'market', source,

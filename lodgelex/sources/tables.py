@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.clustering import LocalLDAModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Folder of the saved schemas, beside the tables.
+SCHEMAS = "schemas"
 
 
 def save_table(df: DataFrame, folder: str, name: str, partition_by: Sequence[str] = ()) -> str:
@@ -22,6 +27,8 @@ def save_table(df: DataFrame, folder: str, name: str, partition_by: Sequence[str
         balanced.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
+    schema = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
+    schema.coalesce(1).write.mode("overwrite").text(f"{folder}/{SCHEMAS}/{name}")
     return path
 
 
@@ -30,7 +37,10 @@ def save_tables(tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
 
 
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}")
+    """The table with the schema it was saved with: the country ``007`` stays a text."""
+    (row,) = spark.read.text(f"{folder}/{SCHEMAS}/{name}").collect()
+    schema = T.StructType.fromJson(json.loads(row.value))
+    return spark.read.schema(schema).parquet(f"{folder}/{name}")
 
 
 def load_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:

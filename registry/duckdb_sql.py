@@ -7,23 +7,44 @@ expressions over a vowel/consonant string.
 
 from __future__ import annotations
 
-from lodgelex.functions.stemming import STEP_2, STEP_3, STEP_4
-from lodgelex.sources.samples import AFINN_ROWS, BING_ROWS, NRC_ROWS, STOP_ROWS
-
-TOKEN = r"[\p{L}\p{M}\p{N}_]+(?:['’.][\p{L}\p{M}\p{N}_]+)*"
-
+# The suffix tables of the published stemmer, written out once more so that a slip in the
+# code under test shows.
+STEP_2 = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize",
+    "abli": "able", "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize",
+    "ation": "ate", "ator": "ate", "alism": "al", "iveness": "ive", "fulness": "ful",
+    "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble",
+}
+STEP_3 = {
+    "icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": "",
+}
+STEP_4 = (
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou",
+    "ism", "ate", "iti", "ous", "ive", "ize",
+)
 
-def _values(rows: list[tuple], *columns: str) -> str:
-    def literal(value: object) -> str:
-        return f"'{value}'" if isinstance(value, str) else str(value)
+# The default English stop words.
+DEFAULT_STOP = (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she "
+    "her hers herself it its itself they them their theirs themselves what which who whom this that "
+    "these those am is are was were be been being have has had having do does did doing a an the and "
+    "but if or because as until while of at by for with about against between into through during "
+    "before after above below to from up down in out on off over under again further then once here "
+    "there when where why how all any both each few more most other some such no nor not only own same "
+    "so than too very s t can will just don should now i'll you'll he'll she'll we'll they'll i'd "
+    "you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've they've "
+    "isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't "
+    "shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's what's "
+    "when's where's who's why's would"
+)
 
-    body = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
-    return f"(select * from (values {body}) as t({', '.join(columns)}))"
+TOKEN = r"[\p{L}\p{M}\p{N}_]+(?:['’.][\p{L}\p{M}\p{N}_]+)*"
 
 
 LISTING = """
 listing as (
-  select doc_id as document_id, text, lang as country, source as market,
+  select doc_id as document_id, case when doc_id % 19 <> 5 then text end as text,
+    text || ' ' || source as description, lang as country, source as market,
     case when doc_id % 13 = 0 then null
          else cast(least(100, 20 + (doc_id * 7) % 101) as int) end as review_scores_rating,
     cast(n_chars % 20 as int) as number_of_reviews,
@@ -40,24 +61,29 @@ listing as (
 HIGH = "review_scores_rating > 99 and number_of_reviews > 5"
 CHOSEN = "review_scores_rating >= 50 and country in ('en', 'de')"
 
-WORDS = f"""
-listed as {_values(STOP_ROWS, 'word')},
-afinn as {_values(AFINN_ROWS, 'word', 'value')},
-bing as {_values(BING_ROWS, 'word', 'sentiment')},
-nrc as {_values(NRC_ROWS, 'word', 'sentiment')}"""
+WORDS = """
+listed as (select unnest(['of', 'a', 'to', 'in']) as word),
+afinn as (select * from (values ('scum', -4), ('idiot', -3), ('trash', -2), ('worthless', -2),
+  ('pathetic', -2), ('best', 3), ('with', 1)) as t(word, value)),
+bing as (select * from (values ('scum', 'negative'), ('idiot', 'negative'), ('trash', 'negative'),
+  ('best', 'positive'), ('with', 'positive'), ('clown', 'negative'), ('clown', 'positive'))
+  as t(word, sentiment)),
+nrc as (select * from (values ('scum', 'negative'), ('scum', 'anger'), ('idiot', 'negative'),
+  ('idiot', 'disgust'), ('best', 'positive'), ('best', 'joy'), ('for', 'trust'),
+  ('with', 'positive'), ('moron', 'negative')) as t(word, sentiment))"""
 
 
-def _with(where: str = "true", *more: str) -> str:
-    """The common tables over the listings that satisfy ``where``."""
+def _with(where: str = "true", *more: str, text: str = "text") -> str:
+    """The common tables over the listings that satisfy ``where``, from one of their texts."""
     tokens = f"""
 token as (
   select document_id, country, unnest(range(len(t))) as pos, unnest(t) as word
-  from (select document_id, country, regexp_extract_all(lower(text), $${TOKEN}$$, 0) as t
+  from (select document_id, country, regexp_extract_all(lower({text}), $${TOKEN}$$, 0) as t
         from listing where {where}))"""
     pairs = """
 pair as (
-  select document_id, country, word1, word2, word1 || ' ' || word2 as bigram
-  from (select document_id, country, word as word1,
+  select document_id, country, pos, word1, word2, word1 || ' ' || word2 as bigram
+  from (select document_id, country, pos, word as word1,
                lead(word) over (partition by document_id order by pos) as word2
         from token)
   where word2 is not null
@@ -123,6 +149,7 @@ counted as (
   where word not in (select word from listed) group by all),
 total as (select country, cast(sum(n) as bigint) as total_words from counted group by country),
 freq as (select word, count(*) as doc_freq from counted group by word)""",
+            text="description",
         )
         + """
 select country, word, n, total_words, doc_freq,
@@ -268,6 +295,19 @@ def _stem_tables() -> str:
     return ",\n".join(tables)
 
 
+NESTED = (
+    f"with {LISTING} select document_id, country, market, text, description, review_scores_rating, "
+    "number_of_reviews, bedrooms, price, room_type from listing"
+)
+CLASSES = """
+class as (
+  select country, 'Bing et al.' as method, sentiment, count(*) as n
+  from token join bing using (word) group by all
+  union all
+  select country, 'NRC', sentiment, count(*)
+  from token join nrc using (word) where sentiment in ('positive', 'negative') group by all)"""
+TOPICS = "(select cast(unnest([1, 2]) as integer) as topic)"
+DEFAULT_LISTED = ", ".join("'" + w.replace("'", "''") + "'" for w in DEFAULT_STOP.split())
 KEPT = "token.word not in (select word from listed)"
 
 ORACLES: dict[str, str] = {
@@ -289,25 +329,25 @@ ORACLES: dict[str, str] = {
     "row_number() over (order by document_id) as document_id from listing",
     "map_points": f"with {LISTING} select document_id, longitude, latitude from listing "
     "where country = 'en' and longitude is not null and latitude is not null",
-    "word_counts_by_country": _with()
+    "word_counts_by_country": _with(text="description")
     + " select country, word, count(*) as n from token group by all",
-    "word_counts_no_stopwords": _with()
+    "word_counts_no_stopwords": _with(text="description")
     + f" select country, word, count(*) as n from token where {KEPT} group by all",
     "word_tf_idf": _word_weights("true"),
     "word_tf_idf_one_country": _word_weights("country = 'de'"),
-    "nrc_by_country": _with()
+    "nrc_by_country": _with(text="description")
     + " select country, sentiment, count(*) as n from (select distinct country, word from token)"
     " join nrc using (word) group by all",
-    "bing_by_country": _with()
+    "bing_by_country": _with(text="description")
     + " select country, sentiment, count(*) as n from (select distinct country, word from token)"
     " join bing using (word) group by all",
-    "bing_occurrences": _with()
+    "bing_occurrences": _with(text="description")
     + " select country, sentiment, count(*) as n from token join bing using (word) group by all",
-    "afinn_by_country": _with()
+    "afinn_by_country": _with(text="description")
     + " select country, cast(sum(value) as bigint) as total_afinn_score, sum(value) > 0 as"
     " is_positive from (select distinct country, word from token) join afinn using (word)"
     " group by country",
-    "afinn_occurrences": _with()
+    "afinn_occurrences": _with(text="description")
     + " select country, cast(sum(value) as bigint) as total_afinn_score, sum(value) > 0 as"
     " is_positive from token join afinn using (word) group by country",
     "mostly_used_words": _with()
@@ -373,6 +413,43 @@ group by country, method""",
     "panel_map": f"with {LISTING} select longitude, latitude from listing where {CHOSEN}"
     " and number_of_reviews > 2 and text is not null"
     " and longitude is not null and latitude is not null",
+    "listings_json_round_trip": NESTED,
+    "listings_parquet_round_trip": NESTED,
+    "word_counts_default_stopwords": _with(text="description")
+    + f" select country, word, count(*) as n from token where word not in ({DEFAULT_LISTED})"
+    " group by all",
+    "sentiment_from_tables": _comparison("true"),
+    "slice_class_counts": _with("true", CLASSES) + " select * from class",
+    "bigrams_long_stop_list": _with()
+    + " select document_id, country, cast(row_number() over (partition by document_id order by pos)"
+    " - 1 as integer) as place, word1, word2, bigram from pair",
+    "doc_terms_long_stop_list": _with()
+    + f" select document_id, country, word, count(*) as n from token where {KEPT} group by all",
+    "document_term_matrix": _with("true", _stem_tables())
+    + " select document_id, stem as term, count(*) as n from token join stem using (word)"
+    f" where {KEPT} and length(stem) >= 3 group by all",
+    "topic_vocabulary": _with("country = 'de'", _stem_tables())
+    + f" select distinct topic, stem as term from token join stem using (word) cross join {TOPICS}"
+    f" where {KEPT} and length(stem) >= 3",
+    "topic_totals": _with("country = 'de'", _stem_tables())
+    + " select topic, count(distinct stem) as terms, cast(1 as double) as beta_sum"
+    f" from token join stem using (word) cross join {TOPICS}"
+    f" where {KEPT} and length(stem) >= 3 group by topic",
+    "saved_tables": _with("country = 'de'", CLASSES, _stem_tables())
+    + f"""
+, term as (select document_id, stem, count(*) as n from token join stem using (word)
+           where {KEPT} group by all),
+kept as (select distinct document_id from term)
+select 'tokens' as name, count(*) as rows, cast(sum(document_id) as bigint) as total from listing
+union all select 'market_words', count(*), cast(sum(pos) as bigint) from token
+union all select 'market_bing', count(*), cast(sum(n) as bigint) from class where method = 'Bing et al.'
+union all select 'market_nrc', count(*), cast(sum(n) as bigint) from class where method = 'NRC'
+union all select 'market_bigrams', count(*), cast(sum(document_id) as bigint) from pair
+union all select 'market_bigram_tf_idf', count(distinct bigram), count(*) from pair
+union all select 'total_documents', 1, count(distinct document_id) from pair
+union all select 'processed_words', count(*), cast(sum(document_id) as bigint) from kept
+union all select 'doc_terms', count(*), cast(sum(n) as bigint) from term
+union all select 'processed_texts', count(*), cast(sum(document_id) as bigint) from kept""",
     "artifact_round_trip": PANEL_TF_IDF,
     "batch_tables": _bigram_weights("documents", "country = 'de'"),
 }

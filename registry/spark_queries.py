@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,16 @@ from pyspark.sql import functions as F
 from lodgelex.operators import listings as li
 from lodgelex.operators.counting import descending
 from lodgelex.operators.identifiers import contiguous_ids
-from lodgelex.operators.sentiment import class_totals, mostly_used, score_totals
+from lodgelex.operators.sentiment import (
+    class_totals,
+    mostly_used,
+    score_totals,
+    slice_class_counts,
+)
 from lodgelex.operators.tokens import bigrams, separate, unite, words
 from lodgelex.operators.topics import (
     doc_terms,
+    document_term_matrix,
     fit_topics,
     processed_documents,
     processed_texts,
@@ -26,7 +33,7 @@ from lodgelex.operators.weighting import bigram_tf_idf, total_documents, word_tf
 from lodgelex.plans import markets, panels
 from lodgelex.plans.params import Params
 from lodgelex.session import shared_folder, spread
-from lodgelex.sources.listings import listings_from_documents
+from lodgelex.sources.listings import listings_from_documents, read_listings
 from lodgelex.sources.samples import (
     sample_afinn,
     sample_bing,
@@ -34,6 +41,12 @@ from lodgelex.sources.samples import (
     sample_stop_words,
 )
 from lodgelex.sources.tables import load_table, save_table
+from lodgelex.sources.words import (
+    default_stop_words,
+    read_class_lexicon,
+    read_score_lexicon,
+    read_stop_words,
+)
 
 MARKET = "de"
 PINNED_DOCUMENTS = 145
@@ -54,6 +67,16 @@ def lexicons(spark: SparkSession) -> markets.Lexicons:
     return markets.Lexicons(sample_afinn(spark), sample_bing(spark), sample_nrc(spark))
 
 
+def new_folder(spark: SparkSession) -> str:
+    return shared_folder(spark, f"lodgelex-tables/{uuid.uuid4().hex}")
+
+
+def long_stop_words(spark: SparkSession) -> DataFrame:
+    """The sample list and more words than a literal set takes, none of which occurs."""
+    absent = spark.range(12_000).selectExpr("concat('absent word ', id) as word")
+    return sample_stop_words(spark).unionByName(absent)
+
+
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -110,6 +133,24 @@ def map_points(spark, folder):
     return li.map_points(li.market_slice(flat(spark, folder), "en"), keep=["document_id"])
 
 
+def _round_trip(spark, folder, fmt):
+    """The whole collection written nested, read with the listing reader and flattened."""
+    target = new_folder(spark)
+    listings_from_documents(spark, folder).write.format(fmt).save(target)
+    return li.flatten(read_listings(spark, target, fmt)).select(
+        "document_id", "country", "market", "text", "description", li.RATING, "number_of_reviews",
+        "bedrooms", "price", "room_type",
+    )
+
+
+def listings_json_round_trip(spark, folder):
+    return _round_trip(spark, folder, "json")
+
+
+def listings_parquet_round_trip(spark, folder):
+    return _round_trip(spark, folder, "parquet")
+
+
 # Words --------------------------------------------------------------------------------------------
 
 
@@ -121,6 +162,13 @@ def word_counts_no_stopwords(spark, folder):
     return markets.word_counts(texts(spark, folder), stop=sample_stop_words(spark))
 
 
+def word_counts_default_stopwords(spark, folder):
+    """Without the words of the default English list, written as a table and read back."""
+    target = new_folder(spark)
+    default_stop_words(spark).write.parquet(target)
+    return markets.word_counts(texts(spark, folder), stop=read_stop_words(spark, target))
+
+
 def word_tf_idf_by_country(spark, folder):
     counts = markets.word_counts(texts(spark, folder), stop=sample_stop_words(spark))
     return rounded(word_tf_idf(counts), "tf", "idf", "tf_idf")
@@ -168,6 +216,25 @@ def sentiment_comparison(spark, folder):
     return markets.comparison(texts(spark, folder), lexicons(spark))
 
 
+def sentiment_from_tables(spark, folder):
+    """The three methods with lexicons written as tables and read back by their readers."""
+    target, own = new_folder(spark), lexicons(spark)
+    own.afinn.write.option("header", True).csv(f"{target}/afinn")
+    own.bing.write.parquet(f"{target}/bing")
+    own.nrc.write.json(f"{target}/nrc")
+    read = markets.Lexicons(
+        read_score_lexicon(spark, f"{target}/afinn", "csv"),
+        read_class_lexicon(spark, f"{target}/bing"),
+        read_class_lexicon(spark, f"{target}/nrc", "json"),
+    )
+    return markets.comparison(texts(spark, folder), read)
+
+
+def class_counts_by_method(spark, folder):
+    tokens = words(texts(spark, folder), "text", keep=["country"])
+    return slice_class_counts(tokens, sample_bing(spark), sample_nrc(spark))
+
+
 def high_rated_sentiment(spark, folder):
     return markets.comparison(li.high_rated(texts(spark, folder)), lexicons(spark))
 
@@ -179,6 +246,11 @@ def bigram_rows(spark, folder):
     return unite(clean_bigrams(spark, folder)).select(*KEYS, "word1", "word2", "bigram")
 
 
+def bigrams_long_stop_list(spark, folder):
+    pairs = bigrams(texts(spark, folder), "text", long_stop_words(spark))
+    return unite(pairs).select(*KEYS, "place", "word1", "word2", "bigram")
+
+
 def bigram_split(spark, folder):
     joined = unite(clean_bigrams(spark, folder)).select("document_id", "bigram")
     return separate(joined)
@@ -253,6 +325,16 @@ def processed_descriptions_unstemmed(spark, folder):
     return processed_texts(docs)
 
 
+def doc_terms_long_stop_list(spark, folder):
+    docs = processed_documents(texts(spark, folder), "text", long_stop_words(spark), stem=False)
+    return doc_terms(docs)
+
+
+def document_terms(spark, folder):
+    docs = processed_documents(texts(spark, folder), "text", sample_stop_words(spark))
+    return document_term_matrix(docs)
+
+
 def vocabulary_stems(spark, folder):
     return word_stems(words(texts(spark, folder), "text", keep=[]))
 
@@ -279,6 +361,17 @@ def topic_top_terms(spark, folder):
     return top_terms(topic_term_beta(spark, _market_topics(spark, folder)))
 
 
+def topic_vocabulary(spark, folder):
+    return topic_beta(spark, folder).select("topic", "term")
+
+
+def topic_totals(spark, folder):
+    beta = topic_beta(spark, folder)
+    return beta.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("terms"), F.round(F.sum("beta"), 6).alias("beta_sum")
+    )
+
+
 # Panels and saved tables --------------------------------------------------------------------------
 
 
@@ -307,16 +400,16 @@ def panel_map(spark, folder):
 
 def artifact_round_trip(spark, folder):
     """Save the token table partitioned by country, load it and answer a panel from it."""
-    target = shared_folder(spark, f"lodgelex-tables/{uuid.uuid4().hex}")
+    target = new_folder(spark)
     save_table(markets.token_table(texts(spark, folder)), target, "tokens", ["country"])
-    loaded = spread(load_table(spark, target, "tokens"), "document_id")
+    loaded = load_table(spark, target, "tokens")
     panel = panels.tf_idf_panel(loaded, PANEL, sample_stop_words(spark), text="tokens")
     return rounded(panel, "tf", "idf", "tf_idf")
 
 
 def batch_tables(spark, folder):
     """Run the batch for one market, load what it saved, and report its bigram weights."""
-    target = shared_folder(spark, f"lodgelex-tables/{uuid.uuid4().hex}")
+    target = new_folder(spark)
     markets.build_tables(
         texts(spark, folder), target, MARKET, sample_stop_words(spark), lexicons(spark)
     )
@@ -324,6 +417,32 @@ def batch_tables(spark, folder):
     return rounded(weighted, "tf", "idf", "tf_idf")
 
 
+#: Saved tables whose rows are counted, and the columns that go into their sums.
+COUNTED = {
+    "tokens": "document_id", "market_words": "pos", "market_bing": "n", "market_nrc": "n",
+    "market_bigrams": "document_id", "market_bigram_tf_idf": "n",
+    "total_documents": "total_documents", "processed_words": "document_id", "doc_terms": "n",
+    "processed_texts": "document_id",
+}
+
+
+def saved_tables(spark, folder):
+    """Rows of the tables that the batch saves, and the sum of one column of each."""
+    target = new_folder(spark)
+    markets.build_tables(
+        texts(spark, folder), target, MARKET, sample_stop_words(spark), lexicons(spark)
+    )
+    counted = [
+        load_table(spark, target, name).agg(
+            F.lit(name).alias("name"),
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.col(column).cast("long")).alias("total"),
+        )
+        for name, column in COUNTED.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listings_flat": listings_flat,
     "rated_texts": rated_texts,
@@ -374,4 +493,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "panel_map": panel_map,
     "artifact_round_trip": artifact_round_trip,
     "batch_tables": batch_tables,
+    "saved_tables": saved_tables,
+    "listings_json_round_trip": listings_json_round_trip,
+    "listings_parquet_round_trip": listings_parquet_round_trip,
+    "word_counts_default_stopwords": word_counts_default_stopwords,
+    "sentiment_from_tables": sentiment_from_tables,
+    "slice_class_counts": class_counts_by_method,
+    "bigrams_long_stop_list": bigrams_long_stop_list,
+    "doc_terms_long_stop_list": doc_terms_long_stop_list,
+    "document_term_matrix": document_terms,
+    "topic_vocabulary": topic_vocabulary,
+    "topic_totals": topic_totals,
 }

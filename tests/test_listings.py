@@ -101,6 +101,31 @@ def test_decimal_prices_and_orc(spark, tmp_path):
         assert rows(loaded, "_id", "price") == [(i, 10.25 * i) for i in range(4)]
 
 
+def test_json_numbers_in_any_spelling(spark, tmp_path):
+    lines = [
+        '{"_id": "10006546", "price": "80.00", "review_scores": {"review_scores_rating": 90.0}}',
+        '{"_id": 7, "price": "$1,080.50", "bedrooms": "2", "number_of_reviews": 3.0}',
+        '{"_id": null, "review_scores": {"review_scores_rating": null}}',
+    ]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    loaded = read_listings(spark, str(tmp_path / "a.json"), "json")
+    assert loaded.schema == LISTING_SCHEMA
+    got = {(r._id, r.price, r.bedrooms, r.number_of_reviews,
+            r.review_scores and r.review_scores.review_scores_rating) for r in loaded.collect()}
+    assert got == {(10006546, 80.0, None, None, 90), (7, 1080.5, 2, 3, None), (None, None, None, None, None)}
+    keyed = read_listings(spark, str(tmp_path / "a.json"), "json", key_type=T.StringType())
+    assert {r._id for r in keyed.collect()} == {"10006546", "7", None}
+
+
+@pytest.mark.parametrize("line", [
+    '{"_id": "x1"}', '{"_id": 1, "price": "cheap"}', '{"_id": 1, "bedrooms": "two"}', '{"_id": 1, ',
+])
+def test_junk_is_an_error(spark, tmp_path, line):
+    (tmp_path / "a.json").write_text(line)
+    with pytest.raises(Exception, match="(?i)not a number|cast|malformed|parse"):
+        read_listings(spark, str(tmp_path / "a.json"), "json").collect()
+
+
 @pytest.mark.parametrize("buckets", [1, 3, 8])
 def test_contiguous_ids(spark, buckets):
     keys = [((i * 7919) % 1009) * 3 - 500 for i in range(1009)]

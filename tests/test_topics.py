@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from lodgelex.operators import topics as tp
 from lodgelex.operators.counting import count_by
-from lodgelex.operators.tokens import words
+from lodgelex.operators.tokens import bigrams, words
+from lodgelex.operators.weighting import bigram_tf_idf, total_documents
 from lodgelex.schema import TOPIC_TERMS
 
 
@@ -34,11 +35,25 @@ def test_texts_keep_their_order(make, words_of):
     assert rows(tp.processed_texts(plain), "text") == [("ponies the sky ponies coast",)]
 
 
-def test_long_stop_list_gives_the_same(make, words_of, monkeypatch):
-    flat = make({"text": "b a c of b a"}, {"text": "of a"}, {"text": "x"})
-    expected = rows(tp.processed_documents(flat, stop=words_of["stop"]))
-    monkeypatch.setattr(tp, "listed_words", lambda stop: None)
-    assert rows(tp.processed_documents(flat, stop=words_of["stop"])) == expected
+def test_long_stop_list_gives_the_same(spark, make, words_of):
+    """More than a literal set takes, with repeated and missing ids."""
+    text = ["sea view of sea view", "sea view", "a beach view of sea", "of a", "view view of beach"]
+    same = [make({"text": t}).withColumn("document_id", F.lit(i).cast("long"))
+            for t, i in zip(text, (1, 1, None, None, 2), strict=True)]
+    flat = same[0].unionByName(same[1]).unionByName(same[2]).unionByName(same[3]).unionByName(same[4])
+    short = words_of["stop"]
+    long = short.unionByName(spark.range(12_000).selectExpr("concat('absent ', id) as word"))
+    made = {
+        "documents": lambda stop: tp.processed_documents(flat, stop=stop),
+        "terms": lambda stop: tp.doc_terms(tp.processed_documents(flat, stop=stop)),
+        "pairs": lambda stop: bigrams(flat, "text", stop),
+        "total": lambda stop: total_documents(bigrams(flat, "text", stop)),
+        "weights": lambda stop: bigram_tf_idf(bigrams(flat, "text", stop)),
+    }
+    for name, build in made.items():
+        few, many = build(short), build(long)
+        assert few.columns == many.columns, name
+        assert sorted(map(str, few.collect())) == sorted(map(str, many.collect())), name
 
 
 def test_token_table_is_put_together_in_order(make):
@@ -94,10 +109,39 @@ def test_nothing_to_fit(spark, make, corpus):
     assert tp.top_terms(empty).count() == 0
 
 
-def test_vocabulary_is_refused_and_not_cut(corpus):
+def test_vocabulary_has_a_fixed_order(make):
+    docs = tp.processed_documents(
+        make({"text": "wave sand sand coast"}, {"text": "beach coast"}), stem=False
+    )
+    assert tp.vocabulary_of(tp.long_terms(docs)) == ["coast", "sand", "beach", "wave"]
+
+
+def test_one_seed_gives_one_model(spark, corpus):
+    """Two runs, and other partitionings of the input, lead to the same topics."""
+    docs = tp.processed_documents(corpus)
+
+    def leading(frame):
+        fitted = tp.fit_topics(frame, max_iter=5)
+        top = tp.top_terms(tp.topic_term_beta(spark, fitted), top=8)
+        return [(r.topic, r.term, round(r.beta, 9)) for r in top.collect()]
+
+    first = leading(docs)
+    assert first == leading(docs) == leading(docs.repartition(2)) == leading(docs.repartition(8))
+
+
+def test_matrix_is_what_the_model_sees(corpus):
+    from pyspark.ml.feature import CountVectorizerModel
+
     docs = tp.processed_documents(corpus)
-    with pytest.raises(ValueError, match="terms"):
-        tp.fit_topics(docs, largest_vocabulary=7)
+    terms = tp.long_terms(docs)
+    vocabulary = tp.vocabulary_of(terms)
+    model = CountVectorizerModel.from_vocabulary(vocabulary, "tokens", "features")
+    seen = {
+        (r.document_id, vocabulary[i], int(n))
+        for r in model.transform(terms).collect()
+        for i, n in zip(r.features.indices, r.features.values, strict=True)
+    }
+    assert seen == set(rows(tp.document_term_matrix(docs), "document_id", "term", "n"))
 
 
 def test_rare_terms_go_only_when_asked(make):

@@ -79,3 +79,11 @@ def test_pooled_slice(flat):
     got = {(r.word1, r.word2): r for r in bigram_tf_idf(bigrams(flat), by=[]).collect()}
     assert got["sea", "sea"].tf == pytest.approx(2 / 3)
     assert got["view", "sea"].tf_idf == pytest.approx(1 / 3 * math.log(3))
+
+
+def test_no_documents_give_null_weights(make, words_of):
+    flat = make({"text": "sea view"}, {"text": "sea", "country": "Spain"})
+    pairs = bigrams(flat, "text", words_of["stop"])
+    none = total_documents(pairs.where("country = 'Spain'"), by=[])
+    (row,) = bigram_tf_idf(pairs, n_docs=none).collect()
+    assert (row.n, row.tf, row.idf, row.tf_idf) == (1, None, None, None)
