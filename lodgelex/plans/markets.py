@@ -95,16 +95,19 @@ def derived_tables(
     lexicons: Lexicons,
     fitted: tuple[LDAModel, list[str]] | None = None,
     tokens: DataFrame | None = None,
+    docs: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The tables saved for one market, by name; topic terms when a model is given.
 
-    With ``tokens``, a saved token table, no text is taken apart again.
+    With ``tokens``, a saved token table, no text is taken apart again; with ``docs``, the saved
+    processed words of the market, no word is stemmed again.
     """
     source, text = (flat, "text") if tokens is None else (tokens, "tokens")
     market = li.market_slice(source, country)
     pairs = unite(bigrams(market, text, stop))
     market_words = words(market, text)
-    docs = processed_documents(market, text, stop)
+    if docs is None:
+        docs = processed_documents(market, text, stop)
     classes = slice_class_counts(market_words, lexicons.bing, lexicons.nrc)
     tables = {
         "listings": flat,
@@ -140,15 +143,18 @@ def build_tables(
     """The whole batch run for one market: save everything the panels load, return the names.
 
     The texts of all countries are taken apart once, into the token table; every other table of the
-    market is made from its partition there.
+    market is made from its partition there.  Words are stemmed once, into the processed words.
     """
     spark = flat.sparkSession
     save_table(token_table(flat), folder, "tokens", BY)
     tokens = load_table(spark, folder, "tokens")
     market = li.market_slice(tokens, country)
-    fitted = fit_topics(processed_documents(market, "tokens", stop), k=k)
-    tables = derived_tables(flat, country, stop, lexicons, fitted, tokens)
-    names = ["tokens", *save_tables(tables, folder)]
+    save_table(processed_documents(market, "tokens", stop), folder, "processed_words")
+    docs = load_table(spark, folder, "processed_words")
+    fitted = fit_topics(docs, k=k)
+    tables = derived_tables(flat, country, stop, lexicons, fitted, tokens, docs)
+    del tables["processed_words"]
+    names = ["tokens", "processed_words", *save_tables(tables, folder)]
     if fitted is not None:
         save_topic_model(fitted[0], folder)
         names.append("topic_model")
