@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -43,29 +42,6 @@ def crc_mod(column: str, divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % divisor, F.lit(0))
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Deal rows out without a key where one file gives fewer tasks than there are cores.
-
-    Whether it applies changes the speed only.  Rows go round robin after Spark's own sort, so a
-    task that runs again deals them out alike.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
-
-
-def in_batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema
-) -> DataFrame:
-    """``mapInArrow`` for work that looks at one batch at a time."""
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
-
-    return df.mapInArrow(run, schema)
-
-
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column and the offsets of its rows, without copies."""
     if isinstance(column, pa.ChunkedArray):
