@@ -47,6 +47,9 @@ LEAST_REPEATS = 8
 
 #: Bits of a set's parity sketch.
 SKETCH = 1024
+#: Sets above this size have a wide sketch besides, with at least as many bits as shingles up to the
+#: largest width.
+WIDE_FROM, WIDEST = 2048, 1 << 16
 #: Numbers that ids are hashed to before texts are fetched.
 COARSE = 1 << 20
 
@@ -254,6 +257,24 @@ def parity_sketch(codes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(codes: np.ndarray) -> bytes | None:
+    """The parity at each bit of a number of bits that fits the size of a large set."""
+    if len(codes) <= WIDE_FROM:
+        return None
+    width = min(WIDEST, 1 << (len(codes) - 1).bit_length())
+    odd = np.bincount((codes & _U(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing_bits(x: bytes, y: bytes) -> int:
+    """In how many bits two wide sketches differ; the wider one is folded to the other's width."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(a) > len(b):
+        a, b = b, a
+    folded = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(a ^ folded).sum())
+
+
 def sketches_allow(n1, n2, sketch1, sketch2, percent: int):
     """Whether the sketches differ in no more bits than linked sets differ in shingles."""
     bits = sum(
@@ -264,7 +285,8 @@ def sketches_allow(n1, n2, sketch1, sketch2, percent: int):
 
 
 def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """Per row: uid, doc_id, n, set_key, prefix_key, prefix and sketch (null for the empty set)."""
+    """Per row: uid, doc_id, n, set_key, prefix_key, prefix and sketches (null for the empty
+    set; the wide sketch for large sets only)."""
     width = order.width
     shipped = docs.sparkSession.sparkContext.broadcast(
         (order.words, order.word_score, order.shingles, order.shingle_score, order.floor)
@@ -282,11 +304,11 @@ def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent:
                 words, at = word_codes(raw, offsets)
                 codes, begin = shingle_codes(words, at, width)
                 keys = own.keys(words, at, codes, begin)
-                sizes, sets, groups, heads, sketches = [], [], [], [], []
+                sizes, sets, groups, heads, sketches, wide = [], [], [], [], [], []
                 for x, y in zip(begin[:-1], begin[1:], strict=True):
                     if x == y:
                         sizes.append(0)
-                        for column in (sets, groups, heads, sketches):
+                        for column in (sets, groups, heads, sketches, wide):
                             column.append(None)
                         continue
                     distinct, where = np.unique(codes[x:y], return_index=True)
@@ -303,18 +325,20 @@ def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent:
                     )
                     heads.append(head)
                     sketches.append(parity_sketch(distinct))
+                    wide.append(wide_sketch(distinct))
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("uid"), part.column("doc_id"), pa.array(sizes, pa.int64()),
                      pa.array(sets, pa.binary()), pa.array(groups, pa.binary()),
-                     pa.array(heads, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
-                    names=["uid", "doc_id", "n", "set_key", "prefix_key", "prefix", "sketch"],
+                     pa.array(heads, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
+                     pa.array(wide, pa.binary())],
+                    names=["uid", "doc_id", "n", "set_key", "prefix_key", "prefix", "sketch", "wide"],
                 )
 
     return base.mapInArrow(
         run,
         "uid long, doc_id long, n long, set_key binary, prefix_key binary, prefix array<long>, "
-        "sketch array<long>",
+        "sketch array<long>, wide binary",
     )
 
 
@@ -448,7 +472,7 @@ def _numbers(keys: DataFrame, key: str) -> DataFrame:
 
 
 def plausible(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that their sketches allow.  ``sketched``: sid, n, sketch."""
+    """The pairs (a, b) that their sketches allow.  ``sketched``: sid, n, sketch, wide."""
     x, y = (
         sketched.select(F.col("sid").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}"))
         for k in "ab"
@@ -459,7 +483,26 @@ def plausible(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
     return both.where(
         (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
         & sketches_allow(F.col("na"), F.col("nb"), "sa", "sb", percent)
-    ).select("a", "b")
+    ).select("a", "b", "na", "nb")
+    both = saved(both, "sketched-pairs")
+    large = (F.col("na") > WIDE_FROM) & (F.col("nb") > WIDE_FROM)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            bits = np.fromiter(
+                map(differing_bits, batch.column("wa").to_pylist(), batch.column("wb").to_pylist()),
+                np.int64, batch.num_rows,
+            )
+            out = batch.filter(pa.array((100 + percent) * bits <= (100 - percent) * n))
+            yield pa.RecordBatch.from_arrays([out.column("a"), out.column("b")], names=["a", "b"])
+
+    wide = sketched.where("wide is not null")
+    wa, wb = (wide.select(F.col("sid").alias(k), F.col("wide").alias(f"w{k}")) for k in "ab")
+    compared = both.where(large).join(wa, "a").join(wb, "b").select("a", "b", "na", "nb", "wa", "wb")
+    return both.where(~large).select("a", "b").unionByName(
+        compared.mapInArrow(check, "a long, b long")
+    )
 
 
 def rest_of_pairs(entries, group_pairs, members, sketched, percent: int) -> DataFrame:
@@ -547,7 +590,7 @@ def linked_components(
     narrow = rows.select("uid", "prefix_key").join(
         classes.select("sid", "copies"), F.col("uid") == F.col("sid")
     ).drop("uid")
-    sketched = rows.where("n > 0").select(F.col("uid").alias("sid"), "n", "sketch")
+    sketched = rows.where("n > 0").select(F.col("uid").alias("sid"), "n", "sketch", "wide")
     groups = narrow.groupBy("prefix_key").agg(
         F.max(F.struct("copies", (-F.col("sid")).alias("s"))).alias("best"), F.count("*").alias("size")
     ).select("prefix_key", (-F.col("best.s")).alias("gid"), F.col("best.copies").alias("weight"), "size")

@@ -175,6 +175,30 @@ def test_parity_sketch_never_exceeds_the_difference():
         assert sum(int(x).bit_count() for x in bits) <= len(np.setxor1d(a, b))
 
 
+def test_wide_sketches_of_different_widths():
+    draw = np.random.default_rng(2)
+    for size, more in ((3000, 500), (4090, 20), (5000, 3000), (70_000, 9000)):
+        a = np.unique(draw.integers(0, 1 << 62, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: -size // 20], draw.integers(0, 1 << 62, more).astype(np.uint64)]))
+        bits = ngram_join.differing_bits(ngram_join.wide_sketch(a), ngram_join.wide_sketch(b))
+        assert 0 < bits <= len(np.setxor1d(a, b))
+    assert ngram_join.wide_sketch(a[:2048]) is None
+
+
+def test_join_of_long_texts(spark):
+    draw = random.Random(9)
+    base = [f"w{draw.randint(0, 5000)}" for _ in range(4500)]
+    rows = []
+    for i, changes in enumerate((0, 40, 80, 120, 200, 400, 900)):
+        words = list(base)
+        for _ in range(changes):
+            words[draw.randrange(len(words))] = f"v{draw.randint(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    rows += [(10 + i, " ".join(base[i * 5 : i * 5 + 3000])) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found_components(df) == brute_components(rows, 3, 90)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3)]
     links += [(90, 80), (80, 70), (95, 90)]
