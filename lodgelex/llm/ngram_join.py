@@ -352,6 +352,9 @@ def may_link(n1, n2, pos1, pos2, percent: int):
 def stars(index: DataFrame, percent: int) -> DataFrame:
     """Pairs of each shingle's first entry with the others, and the entries of runs of 3 or more.
 
+    The first entry is the heaviest group, of equal ones the smallest: near copies meet the same one
+    at every shingle they share, so their pairs grow with their number.
+
     A pair row has ``b``; an entry row has ``token, n, pos`` instead.
     """
 
@@ -390,7 +393,7 @@ def stars(index: DataFrame, percent: int) -> DataFrame:
     return (
         index.select("token", "gid", "n", "pos", "weight")
         .repartition(F.col("token"))
-        .sortWithinPartitions("token", F.desc("weight"), "pos", "gid")
+        .sortWithinPartitions("token", F.desc("weight"), "gid", "pos")
         .mapInArrow(run, "a long, b long, token long, n long, pos long")
     )
 
