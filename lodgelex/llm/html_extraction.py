@@ -2,7 +2,7 @@
 
 1. Every page becomes a sequence of tokens: tags with their place (the open elements above them and
    their class or id), and the texts between them.  A token's occurrence vector says how often it
-   occurs on each page of its host.
+   occurs on each page of its host; copies of a page count as one page.
 2. Tokens of a host with equal occurrence vectors are one equivalence class (A. Arasu and H.
    Garcia-Molina, "Extracting structured data from web pages", 2003).  A vector is never gathered:
    each page adds a hash of (page, count) to the token's sum, and equal sums are equal vectors.  So a
@@ -11,9 +11,11 @@
    in every repetition.  Valid classes that lie inside the gaps of others nest; together they are the
    host's template.
 4. The texts between template tokens are the slots.  Texts that are template tokens themselves
-   (the same words on most pages of a host) are furniture.  A slot counts as main text by the
-   elements it is nested in: the page's article, or else its main element, or else its body, without
-   menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.
+   (the same words on most pages of a host, and on nearly all that have the element they lie in) are
+   furniture where a page has other slots; a page of nothing else keeps them.  A slot counts as main
+   text by the elements it is nested in: the page's article, or else its main element, or else its
+   body, without menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+   comments.
 """
 
 from __future__ import annotations
@@ -38,8 +40,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Share of a host's pages that a template token is on, and pages a host needs for a template.
 LEAST_SHARE = 0.5
 LEAST_PAGES = 3
+#: Of the pages that have the element a text lies in, the share that must have the text as well.
+SLOT_SHARE = 0.85
 #: Occurrences that a task sums up before it reports them.
 REPORT_ROWS = 200_000
+#: Numbers that contents are hashed to, to tell those that may repeat.
+COARSE = 1 << 16
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -132,13 +138,14 @@ def furniture(name: str, marks: str, role: str, hidden: bool, inside: str) -> bo
 
 
 class Item:
-    """One token of a page: a tag or a text, with what it is nested in."""
+    """One token of a page: a tag or a text, with what it is nested in.  ``holder``: the code of the
+    start tag that a text lies in, 0 for tags and for texts outside all elements."""
 
-    __slots__ = ("code", "text", "breaks", "furniture", "region")
+    __slots__ = ("code", "text", "breaks", "furniture", "region", "holder")
 
-    def __init__(self, code, text, breaks, is_furniture, region):
+    def __init__(self, code, text, breaks, is_furniture, region, holder=0):
         self.code, self.text, self.breaks = code, text, breaks
-        self.furniture, self.region = is_furniture, region
+        self.furniture, self.region, self.holder = is_furniture, region, holder
 
 
 def tokens(page: str) -> list[Item]:
@@ -156,7 +163,8 @@ def tokens(page: str) -> list[Item]:
         top = stack[-1]
         known = " ".join(value.split())
         code = stable(top.place, "#", known) if known else 0
-        out.append(Item(code, value, False, top.furniture, regions[top.kind]))
+        holder = _place(top.place, "") if len(stack) > 1 else 0
+        out.append(Item(code, value, False, top.furniture, regions[top.kind], holder))
 
     def tag(name: str, sign: str, place: int) -> None:
         top = stack[-1]
@@ -246,29 +254,48 @@ def _pages(batch: pa.RecordBatch, name: str) -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def distinct_contents(pages: DataFrame) -> DataFrame:
+    """One row for each html of a host.  ``pages``: host, page_key (a hash of the html), html.
+
+    Only what may repeat is shuffled: at most ``COARSE`` numbers of repeated contents are broadcast.
+    """
+    number = F.pmod(F.xxhash64("host", "page_key"), F.lit(COARSE))
+    repeated = pages.groupBy("host", "page_key").agg(F.count("*").alias("copies")).where("copies > 1")
+    numbers = F.broadcast(saved(repeated.select(number.alias("number")).distinct(), "copies"))
+    once = pages.join(numbers, number == F.col("number"), "left_anti")
+    often = pages.join(numbers, number == F.col("number"), "left_semi")
+    return once.unionByName(often.dropDuplicates(["host", "page_key"]))
+
+
 def deduce(pages: DataFrame, least_share: float, least_pages: int) -> DataFrame:
     """``host, template``: the template as an array of (code, class).  ``pages``: host, page_key, html.
 
-    A class is named by the hash of its occurrence vector.
+    A class is named by the hash of its occurrence vector.  A text is a template token only if it is
+    on ``SLOT_SHARE`` of the pages with the element that it lies in: otherwise it is one value of a
+    slot among others.
     """
 
     def report(found: list[tuple]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.string(), *[pa.int64()] * 4)
+        kinds = (pa.string(), *[pa.int64()] * 5)
         columns = [pa.array(list(c), k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
-        grouped = pa.table(columns, names=["host", "code", "vector", "pages", "n"]).group_by(
+        grouped = pa.table(columns, names=["host", "code", "vector", "pages", "n", "holder"]).group_by(
             ["host", "code"]
-        ).aggregate([("vector", "sum"), ("pages", "sum"), ("n", "max"), ("n", "min")])
-        names = ["host", "code", "vector", "pages", "most", "least"]
+        ).aggregate([("vector", "sum"), ("pages", "sum"), ("n", "max"), ("n", "min"), ("holder", "max")])
+        names = ["host", "code", "vector", "pages", "most", "least", "holder"]
         yield from grouped.rename_columns(names).combine_chunks().to_batches()
 
+    def holder_of(item: Item) -> int | None:
+        return None if item.text is None else item.holder
+
     def count(batches):
         found: list[tuple] = []
         for batch in batches:
             hosts, keys = batch.column("host").to_pylist(), batch.column("page_key").to_pylist()
             for host, key, page in zip(hosts, keys, _pages(batch, "html"), strict=True):
-                found.append((host, 0, 0, 1, 0))
-                for code, n in Counter(item.code for item in tokens(page) if item.code).items():
-                    found.append((host, code, stable(key, n) >> 8, 1, n))
+                found.append((host, 0, 0, 1, 0, None))
+                seen = Counter((item.code, holder_of(item)) for item in tokens(page) if item.code)
+                for (code, holder), n in seen.items():
+                    found.append((host, code, stable(key, n) >> 8, 1, n, holder))
                 if len(found) > REPORT_ROWS:
                     yield from report(found)
                     found = []
@@ -276,13 +303,15 @@ def deduce(pages: DataFrame, least_share: float, least_pages: int) -> DataFrame:
             yield from report(found)
 
     counted = (
-        pages.mapInArrow(
-            count, "host string, code long, vector long, pages long, most long, least long"
+        distinct_contents(pages).mapInArrow(
+            count,
+            "host string, code long, vector long, pages long, most long, least long, holder long",
         )
         .groupBy("host", "code")
         .agg(
             F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"),
             F.sum("pages").alias("pages"), F.max("most").alias("most"), F.min("least").alias("least"),
+            F.max("holder").alias("holder"),
         )
         .where(F.col("pages") >= least_pages)
     )
@@ -291,7 +320,16 @@ def deduce(pages: DataFrame, least_share: float, least_pages: int) -> DataFrame:
     frequent = counted.where("code != 0").join(totals, F.col("host") == F.col("h")).where(
         F.col("pages") >= least_share * F.col("all")
     )
-    named = frequent.select(
+    # A text outside all elements has code 0, that of the page, for its holder.
+    held = counted.where("holder is null").select(
+        F.col("host").alias("h"), F.col("code").alias("c"), F.col("pages").alias("around")
+    )
+    constant = frequent.where("holder is not null").drop("h").join(
+        held, (F.col("host") == F.col("h")) & (F.col("holder") == F.col("c"))
+        & (F.col("pages") >= SLOT_SHARE * F.col("around")), "left_semi",
+    )
+    tags = frequent.where("holder is null").drop("h")
+    named = tags.unionByName(constant).select(
         "host", "code", F.xxhash64("vector", "pages", "most", "least").alias("class")
     )
     # Bounded: a host has at most 1 / least_share times the tokens of its average page.
@@ -340,16 +378,23 @@ def classes_on(items: list[Item], template: dict[int, int]) -> list[int]:
 
 
 def extract(page: str, template: dict[int, int]) -> str:
-    """The main text: the slots that are left, block by block."""
+    """The main text: the slots that are left, block by block.
+
+    Where the template takes all texts of the innermost region, they are the page's content and stay,
+    with the slots of the next region.
+    """
     items = tokens(page)
     classes = classes_on(items, template) if template else [0] * len(items)
     texts = [
         (i, item) for i, item in enumerate(items)
         if item.text is not None and item.code and not item.furniture
-        and not (classes[i] and item.region < 3)
     ]
-    region = max((item.region for _, item in texts), default=0)
-    wanted = {i for i, item in texts if item.region == region}
+    slots = [(i, item) for i, item in texts if not classes[i] or item.region == 3]
+    inner = max((item.region for _, item in texts), default=0)
+    region = max((item.region for _, item in slots), default=0)
+    wanted = {i for i, item in slots if item.region == region}
+    if region < inner:
+        wanted |= {i for i, item in texts if item.region == inner}
     blocks, open_block = [], []
     for i, item in enumerate(items):
         if item.text is not None:
@@ -375,14 +420,14 @@ def main_text(
 
     Null or empty html has the empty text.  Urls without a host share the empty host.  A host with
     fewer than ``least_pages`` pages has no template: its slots are all texts, judged by the elements
-    they are nested in.  Repeated rows are pages of their own.
+    they are nested in.  Repeated rows are rows of the result, but count as one page of the host.
     """
     base = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(url_col).alias("host"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
     templates = deduce(
-        base.select("host", F.xxhash64("page_id", "url", "html").alias("page_key"), "html"),
+        base.select("host", F.xxhash64("html").alias("page_key"), "html"),
         least_share, least_pages,
     )
     joined = base.join(templates, "host", "left")

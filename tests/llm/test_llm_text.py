@@ -214,6 +214,38 @@ def test_template_text_goes(spark):
     assert html_extraction.main_text(df.limit(0)).collect() == []
 
 
+def texts_of(spark, bodies):
+    """Main text of each page of one host."""
+    rows = [(i, "http://h.example/", f"<body>{body}</body>") for i, body in enumerate(bodies)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r["page_id"]: r["text"] for r in html_extraction.main_text(df).collect()}
+    return [found[i] for i in range(len(bodies))]
+
+
+@pytest.mark.parametrize("layout", ["<main>%s</main>", "<div class='content'>%s</div>"])
+def test_copies_keep_their_main_text(spark, layout):
+    copy = layout % "<h1>Head</h1><p>One.</p><p>Two.</p>"
+    others = [layout % f"<h1>Head {i}</h1><p>Story {i}</p>" for i in range(3)]
+    kept = ["Head 0\nStory 0", "Head 1\nStory 1", "Head 2\nStory 2"]
+    assert texts_of(spark, [copy] * 4) == ["Head\nOne.\nTwo."] * 4
+    assert texts_of(spark, [copy] * 4 + others) == ["Head\nOne.\nTwo."] * 4 + kept
+    # Copies but for a comment are pages of their own with nothing else in their slots.
+    marked = [f"{copy}<!-- {i} -->" for i in range(4)]
+    assert texts_of(spark, marked) == ["Head\nOne.\nTwo."] * 4
+
+
+def test_copies_in_main_keep_their_text_beside_other_slots(spark):
+    beside = [f"<main><p>One.</p><p>Two.</p></main><p>Visit {i}</p>" for i in range(4)]
+    assert all("One.\nTwo." in text for text in texts_of(spark, beside))
+
+
+def test_shared_passage_stays_and_furniture_goes(spark):
+    bodies = [f"<main><p>Welcome</p><p>Story {i}</p>{'<p>Passage.</p>' * (i < 3)}</main>" for i in range(5)]
+    bodies += bodies[:1] * 5
+    want = [f"Story {i}" + "\nPassage." * (i < 3) for i in range(5)]
+    assert texts_of(spark, bodies) == want + want[:1] * 5
+
+
 def test_classes_of_a_page_nest():
     items = html_extraction.tokens("<body><ul><li>a</li><li>b</li></ul><p>x</p></body>")
     codes = [i.code for i in items]
