@@ -304,11 +304,15 @@ def identify(
 
 
 def accepted(docs: DataFrame, model: Model | None, **columns) -> DataFrame:
-    """The rows in a known language, with the columns of ``docs``; a missing ``lang`` is filled in."""
+    """The rows with a letter in their text, with the columns of ``docs``.
+
+    A missing ``lang`` is filled in, with ``und`` where there was nothing to learn from.  No language
+    is rejected, however low its score.
+    """
     lang_col = columns.pop("lang_col", "lang")
-    rows = identify(docs, model, carry=tuple(docs.columns), **columns)
-    known = rows.where(F.col("lang_pred") != UNKNOWN)
-    kept = known.select("row.*", F.col("lang_pred").alias("__predicted"))
+    lettered = docs.where(has_letters(columns.get("text_col", "text")))
+    rows = identify(lettered, model, carry=tuple(docs.columns), **columns)
+    kept = rows.select("row.*", F.col("lang_pred").alias("__predicted"))
     filled = F.coalesce(F.col(lang_col), F.col("__predicted"))
     return kept.withColumn(lang_col, filled).drop("__predicted")
 

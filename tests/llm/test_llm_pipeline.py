@@ -74,6 +74,15 @@ def test_stages(spark, folder):
         {(k, len(library.encode_ordinary(texts[k]))): n for k, n in count.items()})
 
 
+def test_first_stage_without_any_language_keeps_lettered_texts(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    bare = docs.selectExpr("doc_id", "text", "cast(null as string) as lang", "source", "n_chars")
+    for table in (bare, docs.selectExpr("doc_id", "text", "'und' as lang", "source", "n_chars")):
+        kept = corpus_pipeline.identify_language(spark, table, folder).collect()
+        want = Counter(r["doc_id"] for r in docs.collect() if r["text"] and any(c.isalpha() for c in r["text"]))
+        assert Counter(r["doc_id"] for r in kept) == want and {r["lang"] for r in kept} == {"und"}
+
+
 def test_near_stage_takes_five_words_at_point_eight(spark, folder, monkeypatch):
     seen = {}
     monkeypatch.setattr(ngram_join, "survivors", lambda docs, **options: seen.update(options) or docs)
