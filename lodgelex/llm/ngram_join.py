@@ -483,7 +483,7 @@ def plausible(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
     x = x.join(F.broadcast(_numbers(pairs, "a")), _coarse("a") == F.col("number"), "left_semi")
     y = y.join(F.broadcast(_numbers(pairs, "b")), _coarse("b") == F.col("number"), "left_semi")
     both = pairs.join(x, "a").join(y, "b")
-    return both.where(
+    both = both.where(
         (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
         & sketches_allow(F.col("na"), F.col("nb"), "sa", "sb", percent)
     ).select("a", "b", "na", "nb")
@@ -501,7 +501,11 @@ def plausible(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([out.column("a"), out.column("b")], names=["a", "b"])
 
     wide = sketched.where("wide is not null")
-    wa, wb = (wide.select(F.col("sid").alias(k), F.col("wide").alias(f"w{k}")) for k in "ab")
+    wa, wb = (
+        wide.join(F.broadcast(_numbers(both.where(large), k)), _coarse("sid") == F.col("number"), "left_semi")
+        .select(F.col("sid").alias(k), F.col("wide").alias(f"w{k}"))
+        for k in "ab"
+    )
     compared = both.where(large).join(wa, "a").join(wb, "b").select("a", "b", "na", "nb", "wa", "wb")
     return both.where(~large).select("a", "b").unionByName(
         compared.mapInArrow(check, "a long, b long")

@@ -185,6 +185,23 @@ def test_wide_sketches_of_different_widths():
     assert ngram_join.wide_sketch(a[:2048]) is None
 
 
+def test_wide_sketches_refuse_pairs(spark):
+    draw = np.random.default_rng(3)
+    left = np.unique(draw.integers(0, 1 << 62, 3000).astype(np.uint64))
+    near = np.unique(np.concatenate([left[:2900], draw.integers(0, 1 << 62, 100).astype(np.uint64)]))
+    other = np.unique(draw.integers(0, 1 << 62, 3000).astype(np.uint64))
+    small = [np.unique(draw.integers(0, 1 << 62, 300).astype(np.uint64))]
+    sets = [left, near, other, *small, small[0][:290]]
+    rows = [(i, len(s), ngram_join.parity_sketch(s).tolist(), ngram_join.wide_sketch(s)) for i, s in enumerate(sets)]
+    sketched = spark.createDataFrame(rows, "sid long, n long, sketch array<long>, wide binary")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2), (3, 4)], "a long, b long")
+    # The short sketches allow them all: they are full.
+    n, sketches = [r[1] for r in rows], [np.array(r[2]).view(np.uint64) for r in rows]
+    assert 180 * int(np.bitwise_count(sketches[0] ^ sketches[2]).sum()) <= 20 * (n[0] + n[2])
+    got = ngram_join.plausible(pairs, sketched, 80)
+    assert sorted(tuple(r) for r in got.select("a", "b").collect()) == [(0, 1), (3, 4)]
+
+
 def test_join_of_long_texts(spark):
     draw = random.Random(9)
     base = [f"w{draw.randint(0, 5000)}" for _ in range(4500)]
