@@ -29,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BUCKETS = 1 << 16
 PER_LANGUAGE = 400
 SAMPLE_BYTES = 32 << 20
+#: No text takes more than this part of its language's share of the bytes.
+PARTS = 8
 UNKNOWN = "und"
 #: Bytes that a task scores together.
 TOGETHER = 1 << 22
@@ -213,7 +215,9 @@ def fit(
     """Fit on a bounded sample of the rows that may be learnt from; ``None`` without such a row.
 
     The sample is the ``per_language`` texts of each language whose ids hash lowest, then as many of
-    them, taken in that order, as fit into ``sample_bytes``.
+    them, taken in that order, as fit into the language's share of ``sample_bytes``; what others leave
+    of theirs is filled afterwards.  Of a text longer than ``1 / PARTS`` of a share only so much is
+    learnt from, so that no text shuts out others.
     """
     usable = docs.where(training_rows(docs, id_col, lang_col) & has_letters(text_col)).select(
         F.col(id_col).alias("id"),
@@ -229,22 +233,34 @@ def fit(
         .limit(per_language * 512)
         .collect()
     )
-    ids, total = [], 0
-    for row in sample:
-        total += row["size"]
-        if total > sample_bytes and ids:
-            break
-        ids.append((row["id"], row["lang"], row["size"]))
-    if not ids:
+    if not sample:
         return None
+    share = sample_bytes // len({row["lang"] for row in sample})
+    longest = max(1, share // PARTS)
+    ids, later, used = [], [], {}
+    for row in sample:
+        part = (row["id"], row["lang"], row["size"], min(row["size"], longest))
+        if used.get(row["lang"], 0) + part[3] <= max(share, longest):
+            used[row["lang"]] = used.get(row["lang"], 0) + part[3]
+            ids.append(part)
+        else:
+            later.append(part)
+    total = sum(used.values())
+    for part in later:
+        if total + part[3] <= sample_bytes:
+            total += part[3]
+            ids.append(part)
     spark = docs.sparkSession
-    wanted = spark.createDataFrame(ids, "id long, lang_of string, size_of long")
+    wanted = spark.createDataFrame(ids, "id long, lang_of string, size_of long, take int")
     texts = docs.join(
         F.broadcast(wanted),  # at most per_language rows of each language
         (F.col(id_col) == F.col("id"))
         & (F.col(lang_col) == F.col("lang_of"))
         & (F.octet_length(text_col) == F.col("size_of")),
-    ).select("id", F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("raw"))
+    ).select(
+        "id", F.col(lang_col).alias("lang"),
+        F.substring(F.col(text_col).cast("binary"), F.lit(1), F.col("take")).alias("raw"),
+    )
     rows = texts.dropDuplicates(["id", "lang", "raw"]).collect()
     rows.sort(key=lambda r: (r["lang"], r["id"], bytes(r["raw"])))
     return Model([(r["lang"], bytes(r["raw"])) for r in rows])

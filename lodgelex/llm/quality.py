@@ -27,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PER_CLASS = 800
 SAMPLE_BYTES = 48 << 20
+#: No text takes more than this part of its class's half of the bytes.
+PARTS = 8
 DICTIONARY_BYTES = 112 << 10
 BLOCK = 4096
 LEVEL = 3
@@ -110,27 +112,35 @@ def fit(
     """Learn from a bounded sample of labelled rows whose crc32 of the id, modulo 5, is not 0.
 
     ``None`` where no such row has both a label and a text.  Rows with several labels count as bad
-    if one of them is 0.
+    if one of them is 0.  Ids are drawn from those with a text.  Each class has half of
+    ``sample_bytes``, and of a text longer than ``1 / PARTS`` of that only so much is learnt from, so
+    that no text shuts out others.
     """
+    share = sample_bytes // 2
+    longest = max(1, share // PARTS)
     marks = (
         labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
         .where(crc_mod(id_col, 5) != 0)
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.min("quality").alias("mark"))
     )
+    filled = docs.where(F.length(text_col) > 0)
+    written = filled.select(F.col(id_col).alias("doc")).distinct()
     order = Window.partitionBy("mark").orderBy(F.xxhash64("id"), "id")
-    sample = marks.withColumn("turn", F.row_number().over(order)).where(
+    sample = marks.join(written, F.col("doc") == F.col("id"), "left_semi").withColumn("turn", F.row_number().over(order)).where(
         F.col("turn") <= per_class
     ).where(F.col("mark").isin(0, 1))
     rows = (
-        docs.where(F.length(text_col) > 0)
-        .select(F.col(id_col).alias("doc"), F.col(text_col).cast("binary").alias("raw"))
+        filled.select(
+            F.col(id_col).alias("doc"),
+            F.substring(F.col(text_col).cast("binary"), F.lit(1), F.lit(longest)).alias("raw"),
+        )
         .join(F.broadcast(sample), F.col("doc") == F.col("id"))  # at most 2 * per_class rows
         .select("turn", "mark", "raw", F.octet_length("raw").alias("size"))
     )
-    upto = Window.orderBy("turn", "mark", "size", F.md5("raw"))
+    upto = Window.partitionBy("mark").orderBy("turn", "size", F.md5("raw"))
     bounded = rows.withColumn("sum", F.sum("size").over(upto)).where(
-        (F.col("sum") <= sample_bytes)
+        F.col("sum") <= max(share, longest)
     )
     found = [(r["mark"], bytes(r["raw"])) for r in bounded.drop("size", "sum").collect()]
     return from_sample(found)

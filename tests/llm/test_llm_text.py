@@ -214,6 +214,28 @@ def test_template_text_goes(spark):
     assert html_extraction.main_text(df.limit(0)).collect() == []
 
 
+def test_long_texts_do_not_end_the_samples(spark):
+    rows = made(300)
+    first = "crc32(cast(string(doc_id) as binary))"
+    df = spark.createDataFrame(rows, SCHEMA)
+    # The first drawn texts of one language, and of one class, are longer than the whole budget.
+    low = df.where(f"lang = 'de' and {first} % 3 != 1").orderBy("doc_id").limit(40).select("doc_id")
+    lows = [r["doc_id"] for r in low.collect()]
+    long = df.selectExpr(
+        "doc_id", f"case when doc_id in ({','.join(map(str, lows))}) then repeat(concat(text, ' '), 2000) else text end as text",
+        "lang")
+    model = language_id.fit(long, sample_bytes=200_000)
+    assert sorted(sum(model.families.values(), [])) == sorted(WORDS)
+    got = language_id.identify(long, model).join(long.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.98 * len(got)
+    labels = spark.createDataFrame([(r[0], int(r[2] in ("en", "de")), 0) for r in rows], "doc_id long, quality int, toxic int")
+    assert quality.fit(long, labels, sample_bytes=200_000).slope != 0
+    # Labels without documents take no draws.
+    absent = spark.range(10_000, 12_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    a, b = (quality.fit(df, t, per_class=20) for t in (labels, labels.unionByName(absent)))
+    assert (a.good, a.bad, a.slope, a.prior) == (b.good, b.bad, b.slope, b.prior)
+
+
 def texts_of(spark, bodies):
     """Main text of each page of one host."""
     rows = [(i, "http://h.example/", f"<body>{body}</body>") for i, body in enumerate(bodies)]
