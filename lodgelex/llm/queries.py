@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lodgelex.llm import (
     bpe,
+    centroid_clustering,
+    decontamination,
     exact_dedup,
     html_extraction,
     language_id,
@@ -16,6 +18,7 @@ from lodgelex.llm import (
     topk_search,
     url_filter,
     warc,
+    whitening,
 )
 from lodgelex.llm.common import crc_mod, table
 
@@ -128,6 +131,99 @@ select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, sha256(d
 from d join g on d.t = g.t
 """
 
+
+def op11_decontamination(spark, folder):
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontamination.report(docs, items).drop("longest_match")
+
+
+#: Words and windows joined as lists of words; nothing is streamed.
+DECONTAMINATION_SQL = f"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), i as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), windows as (
+  select distinct item_id, list_slice(w, s + 1, s + least(10, len(w))) as g
+  from (select item_id, w, unnest(range(greatest(len(w) - 9, 1))) as s from i where len(w) > 0)
+), sizes as (select distinct len(g) as n from windows
+), grams as (
+  select doc_id, s, n, list_slice(w, s + 1, s + n) as g
+  from (select doc_id, w, n, unnest(range(len(w) - n + 1)) as s from d, sizes where len(w) >= n)
+), found as (
+  select doc_id, s, n, item_id from grams join windows using (g)
+), hit as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(range(s, s + n)) as p from (select distinct doc_id, s, n from found))
+  group by doc_id
+), named as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from found where item_id is not null)
+  group by doc_id
+)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (doc_id) left join named using (doc_id)
+"""
+
+
+def op12_whitening(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op13_centroid_clustering(spark, folder):
+    return centroid_clustering.cluster(table(spark, folder, "embeddings"))
+
+
+def _clustering_sql() -> str:
+    """All rounds written out: every vector against every centroid."""
+
+    def assigned(k: int) -> str:
+        return f"""
+a{k} as materialized (
+  select vec_id, v, number, distance from (
+    select v.vec_id, v.v, c.number, list_sum(list_transform(list_zip(v.v, c.v),
+        lambda x: (x[1] - x[2]) * (x[1] - x[2]))) as distance,
+      row_number() over (partition by v.row order by list_sum(list_transform(list_zip(v.v, c.v),
+        lambda x: (x[1] - x[2]) * (x[1] - x[2]))), c.number) as near
+    from v, c{k} c) where near = 1)"""
+
+    def centred(k: int) -> str:
+        return f"""
+m{k} as (
+  select number, place, sum(x) as s, count(*) as n
+  from (select number, unnest(v) as x, unnest(range(64)) as place from a{k}) group by number, place),
+c{k + 1} as materialized (
+  select c.number, coalesce(f.v, c.v) as v from c{k} c left join (
+    select number, list(cast((s - ((s % n) + n) % n) // n as bigint) order by place) as v
+    from m{k} group by number) f using (number))"""
+
+    rounds = ",".join(f"{assigned(k)},{centred(k)}" for k in range(10))
+    return f"""
+with v as materialized (
+  select row_number() over () as row, vec_id,
+    list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), c0 as materialized (
+  select row_number() over (order by key, v) - 1 as number, v
+  from (select sha256('3:' || cast(vec_id as varchar)) as key, v from v where vec_id is not null
+        order by key, v limit 8)),
+{rounds},{assigned(10)}
+select vec_id, cast(a.number as integer) as cluster, cast(distance as bigint) as distance,
+  cast(sum(distance) over (partition by a.number) as bigint) as cluster_inertia,
+  cast(sum(distance) over () as bigint) as inertia,
+  sha256(array_to_string(c.v, ',')) as centroid_sha256
+from a10 a join c10 c using (number)
+"""
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
@@ -139,10 +235,15 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_decontamination": op11_decontamination,
+    "op12_whitening": op12_whitening,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 ORACLES = {
     "op6_warc": WARC_SQL,
     "op5_topk_search": TOPK_SQL,
     "op10_exact_dedup": EXACT_DEDUP_SQL,
+    "op11_decontamination": DECONTAMINATION_SQL,
+    "op13_centroid_clustering": _clustering_sql(),
 }

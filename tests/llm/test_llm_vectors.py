@@ -1,0 +1,173 @@
+"""Whitening against the library's eigenvectors, clustering against plain rounds of comparisons."""
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from lodgelex.llm import centroid_clustering as cc
+from lodgelex.llm import whitening as wh
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def vectors(n, d=64, seed=3):
+    draw = np.random.default_rng(seed)
+    centres = draw.standard_normal((5, d)) * 0.3
+    return [
+        (i, [float(np.float32(x)) for x in centres[i % 5] + draw.standard_normal(d) * 0.05])
+        for i in range(n)
+    ]
+
+
+def odd_rows(d=64):
+    good = vectors(3, d)
+    return [
+        (900, None), (901, []), (902, [None] * d), (903, [float("nan")] * d),
+        (904, [float("inf")] + [0.0] * (d - 1)), (905, [0.5] * (d - 1)), (None, good[0][1]), good[1],
+        good[1],
+    ]
+
+
+# Whitening --------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("kind", ["spread", "equal", "close", "flat"])
+def test_spectrum_slicing_finds_the_leading_pairs(seed, kind):
+    draw = np.random.default_rng(seed)
+    size = int(draw.integers(1, 40))
+    turn, _ = np.linalg.qr(draw.standard_normal((size, size)))
+    values = np.sort(draw.random(size))[::-1] * 10.0 ** draw.integers(-3, 6)
+    if kind == "equal":
+        values[:] = values[0]
+    if kind == "close" and size > 2:
+        values[1] = values[0] * (1 - 1e-11)
+    if kind == "flat":
+        values[size // 2 :] = 0
+    matrix = turn @ np.diag(values) @ turn.T
+    matrix = (matrix + matrix.T) / 2
+    found, basis = wh.leading(matrix, 8)
+    assert len(found) == min(8, int((values > 1e-10 * values[0]).sum()))
+    assert np.allclose(found, np.sort(values)[::-1][: len(found)], rtol=1e-8)
+    scaled = basis / np.sqrt(found)
+    assert np.abs(scaled.T @ matrix @ scaled - np.eye(len(found))).max() < 1e-5
+
+
+def test_inertia_counts_as_the_spectrum_does():
+    draw = np.random.default_rng(1)
+    for _ in range(50):
+        matrix = draw.standard_normal((12, 12))
+        matrix += matrix.T
+        shift = float(draw.standard_normal())
+        assert wh.inertia(matrix, shift) == int((np.linalg.eigvalsh(matrix) > shift).sum())
+    assert wh.inertia(np.array([[0.0, 1.0], [1.0, 0.0]]), 0.0) == 1
+
+
+def whitened(spark, rows, schema=SCHEMA):
+    frame = spark.createDataFrame(rows, schema).repartition(3)
+    return wh.whiten(frame, wh.fit(frame)).collect()
+
+
+def test_whitening_equals_eigenvectors(spark):
+    rows = vectors(300) + odd_rows()
+    usable = [(i, v) for i, v in rows if v and len(v) == 64 and all(x is not None and np.isfinite(x) for x in v)]
+    got = whitened(spark, rows)
+    assert len(got) == 8 * len(usable)
+    x = np.floor(1024 * np.array([v for _, v in usable], np.float64)) + 100_000
+    centred = x - x.mean(0)
+    cov = centred.T @ centred / len(x)
+    values, basis = np.linalg.eigh(cov)
+    values, basis = values[::-1][:8], basis[:, ::-1][:, :8]
+    expected = np.abs(centred @ basis / np.sqrt(values))
+    by = {}
+    for r in got:
+        by.setdefault((r["vec_id"], r["component"]), []).append(r)
+    total = x.sum(0).astype(np.int64).astype(object)
+    for k, (key, _) in enumerate(usable):
+        for c in range(8):
+            row = by[key, c + 1][0]
+            assert abs(abs(row["whitened"]) - expected[k, c]) < 1e-6
+            assert abs(row["explained"] - values[c] / np.trace(cov)) < 1e-9
+            assert row["n"] == len(x) and row["identity_error"] < 1e-6
+            assert row["deviation"] == ((len(x) * x[k].astype(np.int64).astype(object) - total) ** 2).sum()
+
+
+def test_whitening_of_small_and_empty_tables(spark):
+    assert whitened(spark, [], SCHEMA) == []
+    assert whitened(spark, [(1, None)]) == []
+    assert whitened(spark, [(1, [0.5, 0.5])] * 4) == []  # equal vectors vary in no direction
+    two = whitened(spark, [(1, [0.0, 0.0]), (1, [1.0, 1.0]), (None, [0.5, 0.5])])
+    assert {r["component"] for r in two} == {1} and len(two) == 3
+
+
+def test_whitening_names_may_clash(spark):
+    frame = spark.createDataFrame(
+        [(*r, 1, 2, 3) for r in vectors(20, 4)], SCHEMA + ", n int, component int, __v int"
+    )
+    assert wh.whiten(frame, wh.fit(frame)).count() == 80
+
+
+# Clustering -------------------------------------------------------------------------------------
+
+
+def test_hilbert_neighbours_are_one_step_apart():
+    for size, bits in ((2, 3), (3, 2)):
+        cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * size), -1).reshape(-1, size)
+        order = sorted(range(len(cells)), key=lambda i: bytes(cc.hilbert(cells, bits)[i]))
+        steps = np.abs(np.diff(cells[order], axis=0)).sum(1)
+        assert (steps == 1).all()
+
+
+def test_boxes_bound_every_distance():
+    draw = np.random.default_rng(2)
+    for _ in range(50):
+        rows = draw.integers(-50, 50, (20, 5))
+        centroids = draw.integers(-60, 60, (6, 5))
+        near = cc.candidates(rows.min(0), rows.max(0), centroids)
+        everywhere, far = cc.nearest(rows, centroids, np.arange(6))
+        among, same = cc.nearest(rows, centroids, near)
+        assert (everywhere == among).all() and (far == same).all()
+
+
+def plain_rounds(rows, clusters=8, rounds=10):
+    kept = [
+        (i, tuple(int(np.floor(1024 * x)) for x in v)) for i, v in rows
+        if v is not None and len(v) == 64 and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    starts = sorted((hashlib.sha256(f"3:{i}".encode()).hexdigest(), v) for i, v in kept if i is not None)
+    centroids = [list(v) for _, v in starts[:clusters]]
+
+    def nearest(v):
+        far = [sum((a - b) ** 2 for a, b in zip(v, c)) for c in centroids]
+        return far.index(min(far)), min(far)
+
+    for _ in range(rounds):
+        own = [nearest(v)[0] for _, v in kept]
+        for c in range(len(centroids)):
+            mine = [v for (_, v), o in zip(kept, own) if o == c]
+            if mine:
+                centroids[c] = [sum(x) // len(mine) for x in zip(*mine)]
+    found = [(i, *nearest(v)) for i, v in kept]
+    inertia = {c: sum(f for _, o, f in found if o == c) for c in range(len(centroids))}
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return sorted(
+        (str(i), c, f, inertia[c], sum(inertia.values()), digests[c]) for i, c, f in found
+    )
+
+
+@pytest.mark.parametrize("block", [1, 7, 256])
+def test_clusters_equal_plain_rounds(spark, block):
+    rows = vectors(120) + odd_rows() + [(500 + i, vectors(1)[0][1]) for i in range(60)]
+    frame = spark.createDataFrame([(*r, 1, 2) for r in rows], SCHEMA + ", n int, cluster int")
+    got = cc.cluster(frame.repartition(4), block=block).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in got) == plain_rounds(rows)
+
+
+def test_clusters_of_few_and_no_vectors(spark):
+    few = vectors(3)
+    got = cc.cluster(spark.createDataFrame(few, SCHEMA)).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in got) == plain_rounds(few)
+    assert cc.cluster(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert cc.cluster(spark.createDataFrame([(1, None)], SCHEMA)).count() == 0
+    assert cc.cluster(spark.createDataFrame([(None, few[0][1])], SCHEMA)).count() == 0
