@@ -6,7 +6,8 @@ inside a pre-token.  What follows a pre-token boundary depends on the text after
 the first boundary that two neighbouring chunks share on, both agree: there they are stitched.  If
 the overlap holds no shared boundary (one run of letters longer than it, say), pre-tokenising goes on
 from the last sure boundary until one is met.  The stitched pieces are then encoded by the merge
-ranks; decoding concatenates the bytes of the ids.
+ranks, some at a time, and their digests carried on; decoding concatenates the bytes of the ids.  One
+text is in one task, as its bytes and the starts of its pieces.
 
 Inside a task all texts of an Arrow batch are split at once: the split pattern (letters, digits,
 other signs, each with one leading space; contractions; white space) only asks for the classes of
@@ -35,7 +36,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHUNK = 1 << 16
 OVERLAP = 256
 #: Code points that a task splits and encodes together.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 19
+#: A piece of more bytes than this is a content of its own: it is not compared with others.
+LONG_PIECE = 1 << 12
 NO_PAIR = np.int32(1 << 30)
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
@@ -266,12 +269,27 @@ def distinct_pieces(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
 
     Contents are told apart by a 64-bit hash of bytes and length, and then compared byte by byte.
     """
+    long = sizes > LONG_PIECE
+    if long.any():
+        rest = np.flatnonzero(~long)
+        number = np.empty(len(starts), np.int64)
+        first = np.flatnonzero(long)
+        number[first] = np.arange(len(first))
+        if len(rest):
+            own = np.cumsum(sizes[rest]) - sizes[rest]
+            inside = np.repeat(~long, sizes)
+            theirs, heads = distinct_pieces(data[inside], own, sizes[rest])
+            number[rest] = theirs + len(first)
+            first = np.append(first, rest[heads])
+        return number, first
     weights = np.full(int(sizes.max()), 0x100000001B3, np.uint64)
     weights[0] = 1
     weights = np.cumprod(weights)
-    place = np.arange(len(data)) - np.repeat(starts, sizes)
-    mixed = (data.astype(np.uint64) + np.uint64(0x9E37)) * weights[place]
+    place = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
+    mixed = weights[place]
+    mixed *= data.astype(np.uint64) + np.uint64(0x9E37)
     code = np.add.reduceat(mixed, starts) * np.uint64(0x9E3779B97F4A7C15)
+    del mixed
     code ^= (code >> np.uint64(29)) + sizes.astype(np.uint64)
     _, first, number = np.unique(code, return_index=True, return_inverse=True)
     same = sizes == sizes[first][number]
@@ -350,11 +368,43 @@ def stitch(text: str, starts: list[int], own: list[np.ndarray]) -> np.ndarray:
     return whole
 
 
+class Digest:
+    """Token count and digests of one text, from its ids in order."""
+
+    def __init__(self, vocabulary: Vocabulary, numbers: list[str]):
+        self.vocabulary, self.numbers = vocabulary, numbers
+        self.count, self.ids, self.decoded = 0, hashlib.sha256(), hashlib.sha256()
+
+    def add(self, ids: np.ndarray) -> None:
+        listed = ids.tolist()
+        if listed:
+            text = " ".join(map(self.numbers.__getitem__, listed))
+            self.ids.update((" " + text if self.count else text).encode())
+            self.decoded.update(b"".join(map(self.vocabulary.tokens.__getitem__, listed)))
+            self.count += len(listed)
+
+    def result(self) -> tuple[int, str, str]:
+        return self.count, self.ids.hexdigest(), self.decoded.hexdigest()
+
+
 def _digests(vocabulary: Vocabulary, numbers: list[str], ids: np.ndarray) -> tuple:
-    listed = ids.tolist()
-    text = " ".join(map(numbers.__getitem__, listed)).encode()
-    decoded = b"".join(map(vocabulary.tokens.__getitem__, listed))
-    return len(listed), hashlib.sha256(text).hexdigest(), hashlib.sha256(decoded).hexdigest()
+    own = Digest(vocabulary, numbers)
+    own.add(ids)
+    return own.result()
+
+
+def encode_parts(vocabulary: Vocabulary, text: str, starts: np.ndarray) -> Iterator[np.ndarray]:
+    """The ids of a text from its piece starts, about ``TOGETHER`` code points at a time."""
+    bounds = np.append(starts, len(text))
+    at = 0
+    while at < len(starts):
+        end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + TOGETHER, side="right")) - 1)
+        part = text[bounds[at] : bounds[end]]
+        places = utf8_places(code_points(part))
+        data = np.frombuffer(part.encode("utf-8", "surrogatepass"), np.uint8)
+        begin = places[bounds[at:end] - bounds[at]]
+        yield encode_pieces(vocabulary, data, begin, np.diff(np.append(begin, len(data))))[0]
+        at = end
 
 
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -389,9 +439,12 @@ def encode(
     out_names = [*names, *DIGEST_NAMES] + (["ids"] if with_ids else [])
 
     def results(vocabulary, numbers, arrays, lists) -> pa.RecordBatch:
-        rows = zip(*(_digests(vocabulary, numbers, ids) for ids in lists), strict=True)
+        return table_of(arrays, [_digests(vocabulary, numbers, ids) for ids in lists], lists)
+
+    def table_of(arrays, digests, lists) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.string(), pa.string())
-        arrays = [*arrays, *(pa.array(list(c), k) for c, k in zip(rows, kinds, strict=True))]
+        columns = zip(*digests, strict=True)
+        arrays = [*arrays, *(pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True))]
         if with_ids:
             arrays.append(pa.array([ids.tolist() for ids in lists], pa.list_(pa.int32())))
         return pa.RecordBatch.from_arrays(arrays, names=out_names)
@@ -452,11 +505,14 @@ def encode(
             for s, a in zip(chunks["starts"].to_pylist(), first, strict=True)
         ]
         starts = stitch(text, first, own)
-        data = np.frombuffer(text.encode(), np.uint8)
-        at = utf8_places(code_points(text))[starts]
-        ids, _ = encode_pieces(vocabulary, data, at, np.diff(np.append(at, len(data))))
         arrays = [chunks[n].slice(0, 1).combine_chunks() for n in names]
-        return pa.Table.from_batches([results(vocabulary, numbers, arrays, [ids])])
+        del chunks, parts, own
+        digest, ids = Digest(vocabulary, numbers), []
+        for part in encode_parts(vocabulary, text, starts):
+            digest.add(part)
+            if with_ids:
+                ids.append(part)
+        return pa.Table.from_batches([table_of(arrays, [digest.result()], ids and [np.concatenate(ids)])])
 
     chunk_ddl = f"{kept_ddl}, uid long, start long, last boolean, part string"
     chunks = long.mapInArrow(cut, chunk_ddl).repartition(F.col("uid"), F.col("start"))

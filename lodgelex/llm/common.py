@@ -42,6 +42,29 @@ def crc_mod(column: str, divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % divisor, F.lit(0))
 
 
+def thinned(rows: DataFrame, by: str, draw: str, per_group: int, most: int) -> tuple[DataFrame, int]:
+    """``rows`` whose ``draw``, a 64-bit hash of a content, is among the lowest of its group.
+
+    About four times ``per_group`` different draws of every group are left, all of a small one, so
+    that no later sort sees more; a group counts its different draws, not its rows, so copies of one
+    content take no place.  Also how many may be taken of a group if all are to be ``most`` at most.
+    ``by`` has few values: one row for each goes through the driver.
+    """
+    counts = rows.groupBy(by).agg(F.approx_count_distinct(draw).alias("n")).collect()
+    if not counts:
+        return rows, 0
+    take = max(1, min(per_group, most // len(counts)))
+    kind = rows.schema[by].dataType.simpleString()
+    shares = rows.sparkSession.createDataFrame(
+        [(r[0], min(1.0, 4.0 * take / max(1, r[1]) + 1e-9)) for r in counts],
+        f"__group {kind}, __share double",
+    )
+    place = F.shiftrightunsigned(F.col(draw), 11) / F.lit(float(1 << 53))
+    kept = rows.join(F.broadcast(shares), F.col(by).eqNullSafe(F.col("__group")))
+    few = kept.where((place < F.col("__share")) | (F.col("__share") >= 1.0))
+    return few.drop("__group", "__share"), take
+
+
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column and the offsets of its rows, without copies."""
     if isinstance(column, pa.ChunkedArray):

@@ -6,8 +6,8 @@ byte trigrams, hashed into ``BUCKETS``, over letters in lower case with everythi
 A linear machine's margin is then a sum over the text, so whole texts are scored in one pass over
 their bytes however long they are.
 
-The machines are fitted on the driver by dual coordinate descent, on at most ``PER_LANGUAGE`` texts
-of each language and ``SAMPLE_BYTES`` bytes in all.
+The machines are fitted on the driver by dual coordinate descent, on at most ``PER_LANGUAGE`` different
+texts of each language, ``SAMPLE_ROWS`` texts and ``SAMPLE_BYTES`` bytes in all.
 """
 
 from __future__ import annotations
@@ -22,18 +22,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodgelex.llm.common import bytes_of, crc_mod
+from lodgelex.llm.common import bytes_of, crc_mod, thinned
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS = 1 << 16
 PER_LANGUAGE = 400
 SAMPLE_BYTES = 32 << 20
+SAMPLE_ROWS = 204_800
 #: No text takes more than this part of its language's share of the bytes.
 PARTS = 8
 UNKNOWN = "und"
 #: Bytes that a task scores together.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 20
 
 # Families of languages by ISO 639-1 code.  Others are families of their own.
 FAMILIES = {
@@ -211,26 +212,29 @@ def fit(
     lang_col: str = "lang",
     per_language: int = PER_LANGUAGE,
     sample_bytes: int = SAMPLE_BYTES,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> Model | None:
     """Fit on a bounded sample of the rows that may be learnt from; ``None`` without such a row.
 
-    The sample is the ``per_language`` texts of each language whose ids hash lowest, then as many of
-    them, taken in that order, as fit into the language's share of ``sample_bytes``; what others leave
-    of theirs is filled afterwards.  Of a text longer than ``1 / PARTS`` of a share only so much is
-    learnt from, so that no text shuts out others.
+    The sample is the ``per_language`` different texts of each language whose hashes are lowest
+    (fewer of each where there are so many languages that ``sample_rows`` would be passed), then as
+    many of them, taken in that order, as fit into the language's share of ``sample_bytes``; what
+    others leave of theirs is filled afterwards.  Copies and repeated rows count once, so they shut
+    out no other text.  Of a text longer than ``1 / PARTS`` of a share only so much is learnt from.
     """
     usable = docs.where(training_rows(docs, id_col, lang_col) & has_letters(text_col)).select(
-        F.col(id_col).alias("id"),
+        F.col(id_col).cast("string").alias("id"),
         F.col(lang_col).alias("lang"),
-        F.xxhash64(id_col).alias("draw"),
+        F.xxhash64(F.col(text_col)).alias("draw"),
         F.octet_length(text_col).alias("size"),
     )
-    order = Window.partitionBy("lang").orderBy("draw", "id", "size")
+    few, take = thinned(usable, "lang", "draw", per_language, sample_rows)
+    contents = few.groupBy("lang", "draw", "size").agg(F.min("id").alias("id"))
+    order = Window.partitionBy("lang").orderBy("draw", "size")
     sample = (
-        usable.withColumn("turn", F.row_number().over(order))
-        .where(F.col("turn") <= per_language)
+        contents.withColumn("turn", F.row_number().over(order))
+        .where(F.col("turn") <= take)
         .orderBy("turn", "lang")
-        .limit(per_language * 512)
         .collect()
     )
     if not sample:
@@ -239,7 +243,7 @@ def fit(
     longest = max(1, share // PARTS)
     ids, later, used = [], [], {}
     for row in sample:
-        part = (row["id"], row["lang"], row["size"], min(row["size"], longest))
+        part = (row["id"], row["lang"], row["draw"], min(row["size"], longest))
         if used.get(row["lang"], 0) + part[3] <= max(share, longest):
             used[row["lang"]] = used.get(row["lang"], 0) + part[3]
             ids.append(part)
@@ -251,18 +255,23 @@ def fit(
             total += part[3]
             ids.append(part)
     spark = docs.sparkSession
-    wanted = spark.createDataFrame(ids, "id long, lang_of string, size_of long, take int")
-    texts = docs.join(
-        F.broadcast(wanted),  # at most per_language rows of each language
-        (F.col(id_col) == F.col("id"))
-        & (F.col(lang_col) == F.col("lang_of"))
-        & (F.octet_length(text_col) == F.col("size_of")),
+    wanted = spark.createDataFrame(ids, "id string, lang_of string, draw long, take int")
+    read = docs.select(
+        F.col(id_col).cast("string").alias("doc"),
+        F.col(lang_col).alias("lang"),
+        F.col(text_col).alias("text"),
+    )
+    texts = read.join(
+        F.broadcast(wanted),  # at most sample_rows rows
+        (F.col("doc") == F.col("id"))
+        & (F.col("lang") == F.col("lang_of"))
+        & (F.xxhash64("text") == F.col("draw")),
     ).select(
-        "id", F.col(lang_col).alias("lang"),
-        F.substring(F.col(text_col).cast("binary"), F.lit(1), F.col("take")).alias("raw"),
+        "lang", "draw",
+        F.substring(F.col("text").cast("binary"), F.lit(1), F.col("take")).alias("raw"),
     )
-    rows = texts.dropDuplicates(["id", "lang", "raw"]).collect()
-    rows.sort(key=lambda r: (r["lang"], r["id"], bytes(r["raw"])))
+    rows = texts.dropDuplicates(["lang", "draw"]).collect()
+    rows.sort(key=lambda r: (r["lang"], r["draw"]))
     return Model([(r["lang"], bytes(r["raw"])) for r in rows])
 
 

@@ -6,7 +6,7 @@ often as its target holds its whole size, then the documents of the key order up
 
 A source may hold most rows, so its order is never one sort: a key falls in one of ``BUCKETS`` ranges
 (the exponential's own distribution function, hence equal shares), sums of ranges give each range's
-start, and only inside (source, range) are rows sorted.
+start, and rows are sorted only inside the one range of a source in which its target is reached.
 """
 
 from __future__ import annotations
@@ -81,6 +81,7 @@ def mix(
     share: float = 1.5,
     limit: float = 2.0,
     seed: int = SEED,
+    content_col: str | None = None,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per row: doc_id, source, size, source_size, target, taken, and ``carry`` in the struct ``row``.
@@ -89,53 +90,66 @@ def mix(
     it the words of ``text`` are counted.  ``quality_col`` holds positive weights; null counts as 1.
     ``taken`` is a multiple of the size: whole documents only, the one that crosses the rest of the
     target goes where the sum is nearer.  Null sources are one source.  Documents without words
-    have size 0 and are taken 0 times.  Keys come from the id (rows without one from their size), so
-    reruns agree; equal keys keep the order of (id, size), and repeated rows with equal id and size
-    fall on the same side of the cut.
+    have size 0 and are taken 0 times.  Keys come from the id, the size and ``content_col``, so
+    reruns agree and rows that share an id or have none draw apart where their contents differ;
+    equal keys keep the order of (id, size), and rows equal in id, size and content fall on the same
+    side of the cut.
+
+    Rows stay where they are: a source's cut is found from the sums of its ranges and the rows of the
+    one range in which it lies, and comes back as one row per source.
     """
     size = word_count("text") if size_col is None else F.col(size_col).cast("long")
     quality = F.lit(1.0) if quality_col is None else F.coalesce(quality_col, F.lit(1.0))
-    draw = (F.xxhash64(id_col, F.lit(seed)).bitwiseAND((1 << 52) - 1) + 0.5) / float(1 << 52)
+    size = F.coalesce(size, F.lit(0))
+    seen = [F.col(id_col), size] + ([] if content_col is None else [F.col(content_col)])
+    draw = (F.xxhash64(*seen, F.lit(seed)).bitwiseAND((1 << 52) - 1) + 0.5) / float(1 << 52)
     key = -F.log(draw) / quality
     base = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
-        F.coalesce(size, F.lit(0)).alias("size"),
+        size.alias("size"),
         key.alias("key"),
-        (F.lit(1.0) - F.exp(-key)).alias("place"),
         *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []),
-    ).withColumn("bucket", F.floor(F.col("place") * BUCKETS).cast("int"))
+    ).withColumn("bucket", F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * BUCKETS).cast("int"))
 
     sums = base.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     sources = sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
-    plan = targets(weights(sources), share, limit)
+    full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
+    plan = (
+        targets(weights(sources), share, limit)
+        .withColumn("epochs", full.otherwise(0).cast("long"))
+        .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+        .withColumnRenamed("source", "s")
+    )
     starts = Window.partitionBy("source").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = sums.select(
-        F.col("source").alias("s"),
-        F.col("bucket").alias("b"),
-        F.coalesce(F.sum("bucket_size").over(starts), F.lit(0)).alias("start"),
-        "bucket_size",
+    offsets = sums.withColumn("start", F.coalesce(F.sum("bucket_size").over(starts), F.lit(0)))
+    crossing = (
+        offsets.join(plan, F.col("source").eqNullSafe(F.col("s")))
+        .where((F.col("start") < F.col("rest")) & (F.col("start") + F.col("bucket_size") >= F.col("rest")))
+        .select("s", F.col("bucket").alias("b"), "start", "rest")
     )
-    ranges = offsets.join(plan, F.col("s").eqNullSafe(F.col("source"))).select(
-        "s", "b", "start", "bucket_size", "source_size", "target",
-        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
-        .otherwise(0).cast("long").alias("epochs"),
-    ).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-
-    joined = base.join(
-        ranges, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))
+    # Of every source the rows of one range, about a thousandth of them.
+    near = base.select("doc_id", "source", "size", "key", "bucket").join(
+        crossing, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))
     )
-    inside = (
-        Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
+    inside = Window.partitionBy("s").orderBy("key", "doc_id", "size")
+    middle = F.col("start") + F.sum("size").over(inside) - F.col("size") / 2.0
+    last = F.max(F.when(F.col("below"), F.struct("key", "doc_id", "size"))).alias("last")
+    cuts = near.withColumn("below", middle <= F.col("rest")).groupBy("s", "b").agg(last)
+    marks = plan.join(
+        cuts.withColumnsRenamed({"s": "c"}), F.col("s").eqNullSafe(F.col("c")), "left"
+    ).drop("c")
+    before = (F.col("bucket") < F.col("b")) | (
+        (F.col("bucket") == F.col("b")) & (F.struct("key", "doc_id", "size") <= F.col("last"))
     )
-    upto = F.col("start") + F.sum("size").over(inside)
-    middle = upto - F.col("size") / 2.0
-    chosen = F.when(middle <= F.col("rest"), F.col("size")).otherwise(0)
+    chosen = F.when(F.col("b").isNotNull() & F.coalesce(before, F.lit(False)), F.col("size"))
+    # One row per source; the planner broadcasts it by its size and divides hot sources otherwise.
+    joined = base.join(marks, F.col("source").eqNullSafe(F.col("s")))
     return joined.select(
         "doc_id", "source", "size", "source_size", "target",
-        (F.col("epochs") * F.col("size") + chosen).cast("long").alias("taken"),
+        (F.col("epochs") * F.col("size") + F.coalesce(chosen, F.lit(0))).cast("long").alias("taken"),
         *(["row"] if carry else []),
     )
 

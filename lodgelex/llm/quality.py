@@ -19,7 +19,6 @@ import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodgelex.llm.common import crc_mod
 
@@ -112,38 +111,49 @@ def fit(
     """Learn from a bounded sample of labelled rows whose crc32 of the id, modulo 5, is not 0.
 
     ``None`` where no such row has both a label and a text.  Rows with several labels count as bad
-    if one of them is 0.  Ids are drawn from those with a text.  Each class has half of
-    ``sample_bytes``, and of a text longer than ``1 / PARTS`` of that only so much is learnt from, so
-    that no text shuts out others.
+    if one of them is 0.  Drawn are different texts, those whose hashes are lowest: copies and
+    repeated rows count once in a class.  Each class has half of ``sample_bytes``, and of a text
+    longer than ``1 / PARTS`` of that only so much is learnt from, so that no text shuts out others.
     """
     share = sample_bytes // 2
     longest = max(1, share // PARTS)
     marks = (
-        labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
+        labels.where(F.col(id_col).isNotNull() & F.col("quality").isin(0, 1))
         .where(crc_mod(id_col, 5) != 0)
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.min("quality").alias("mark"))
     )
-    filled = docs.where(F.length(text_col) > 0)
-    written = filled.select(F.col(id_col).alias("doc")).distinct()
-    order = Window.partitionBy("mark").orderBy(F.xxhash64("id"), "id")
-    sample = marks.join(written, F.col("doc") == F.col("id"), "left_semi").withColumn("turn", F.row_number().over(order)).where(
-        F.col("turn") <= per_class
-    ).where(F.col("mark").isin(0, 1))
-    rows = (
-        filled.select(
-            F.col(id_col).alias("doc"),
-            F.substring(F.col(text_col).cast("binary"), F.lit(1), F.lit(longest)).alias("raw"),
-        )
-        .join(F.broadcast(sample), F.col("doc") == F.col("id"))  # at most 2 * per_class rows
-        .select("turn", "mark", "raw", F.octet_length("raw").alias("size"))
+    filled = docs.where(F.length(text_col) > 0).select(
+        F.col(id_col).alias("doc"), F.col(text_col).alias("text")
+    )
+    drawn = filled.select("doc", F.xxhash64("text").alias("draw"), F.octet_length("text").alias("size"))
+    contents = (
+        drawn.join(marks, F.col("doc") == F.col("id"))
+        .groupBy("mark", "draw", "size").agg(F.min("doc").alias("doc"))
     )
-    upto = Window.partitionBy("mark").orderBy("turn", "size", F.md5("raw"))
-    bounded = rows.withColumn("sum", F.sum("size").over(upto)).where(
-        F.col("sum") <= max(share, longest)
+    # The lowest draws of a class are found by every task before any two meet.
+    lowest = [
+        contents.where(F.col("mark") == mark).orderBy("draw", "size").limit(per_class)
+        for mark in (0, 1)
+    ]
+    wanted, used = [], {0: 0, 1: 0}
+    for row in lowest[0].unionByName(lowest[1]).collect():
+        take = min(row["size"], longest)
+        if used[row["mark"]] + take <= max(share, longest):
+            used[row["mark"]] += take
+            wanted.append((str(row["doc"]), row["draw"], row["mark"], take))
+    if not wanted:
+        return None
+    sample = docs.sparkSession.createDataFrame(wanted, "id string, draw long, mark int, take int")
+    texts = (
+        filled.join(
+            F.broadcast(sample),  # at most 2 * per_class rows
+            (F.col("doc").cast("string") == F.col("id")) & (F.xxhash64("text") == F.col("draw")),
+        )
+        .select("mark", "draw", F.substring(F.col("text").cast("binary"), F.lit(1), F.col("take")).alias("raw"))
+        .dropDuplicates(["mark", "draw"])
     )
-    found = [(r["mark"], bytes(r["raw"])) for r in bounded.drop("size", "sum").collect()]
-    return from_sample(found)
+    return from_sample([(r["mark"], bytes(r["raw"])) for r in texts.collect()])
 
 
 def from_sample(found: list[tuple[int, bytes]]) -> Model | None:

@@ -31,10 +31,12 @@ def op1_language_id(spark, folder):
 
 def op2_mixing(spark, folder):
     docs = table(spark, folder, "documents").select(
-        "doc_id", "source", mixing.word_count("text").alias("size")
+        "doc_id", "source", mixing.word_count("text").alias("size"), F.xxhash64("text").alias("content")
     )
     weighed = mixing.with_quality(docs, table(spark, folder, "labels"))
-    return mixing.mix(weighed, size_col="size", quality_col="quality_weight").drop("source")
+    return mixing.mix(
+        weighed, size_col="size", quality_col="quality_weight", content_col="content"
+    ).drop("source")
 
 
 def op3_html_extraction(spark, folder):

@@ -4,7 +4,7 @@ A rule names a host and the beginning of a path.  It fits its host and all subdo
 that fit, the longest wins.  A url that no rule decides gets the verdict of boosted trees over its
 lexical features: length, depth, digit ratio, character entropy, parameter counts, and the block
 rates of its host's suffixes.  The trees are trained with Spark ML on labelled urls, here those that
-a rule decides, at most ``TRAINING_ROWS`` of them; suffix rates are counted over all labelled rows.
+a rule decides, at most ``TRAINING_ROWS`` different ones, half of either verdict; suffix rates are counted over all labelled urls.
 """
 
 from __future__ import annotations
@@ -16,6 +16,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from lodgelex.llm.common import thinned
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TRAINING_ROWS = 20_000
@@ -106,7 +109,7 @@ def suffix(labels: int) -> Column:
 
 
 def suffix_rates(labelled: DataFrame, labels: int) -> DataFrame:
-    """Smoothed share of blocked urls per host suffix of so many labels, over all labelled rows."""
+    """Smoothed share of blocked urls per host suffix of so many labels, over all labelled urls."""
     counts = labelled.groupBy(suffix(labels).alias("suffix")).agg(
         F.count("*").alias("n"), F.sum("label").alias("blocked")
     )
@@ -143,7 +146,9 @@ def judge(
 
     Null urls and urls without ``://`` have empty host and path and are judged like any other.  Where
     no url, or only one verdict, is labelled there is nothing to train: the score is then the
-    smoothed rate of the host's last label, 0.5 where that is unseen.
+    smoothed rate of the host's last label, 0.5 where that is unseen.  The trees learn from at most
+    ``training_rows`` different urls, half of them of either verdict: copies and repeated rows of a
+    url count once, and a rare verdict has its place.
     """
     host, path = parts(url_col)
     name, verdict = decided(F.col("host"), F.col("path"), rules)
@@ -152,21 +157,26 @@ def judge(
         .select("*", host.alias("host"), path.alias("path"))
         .select("*", name.alias("rule"), verdict.alias("ruled"))
     )
-    labelled = rows.where("ruled is not null").withColumn(
-        "label", (F.col("ruled") == "block").cast("double")
-    )
+    # A url counts once, in the suffix rates and in the sample, however many rows have it.
+    labelled = rows.where("ruled is not null").select(
+        "url", "host", "path", (F.col("ruled") == "block").cast("double").alias("label")
+    ).distinct()
     features = [*LEXICAL, *(f"{k}{n}" for n in range(1, LABELS + 1) for k in ("rate", "seen"))]
     known = with_suffixes(rows.select("*", *lexical()), labelled)
+    drawn = labelled.select("url", "host", "path", "label", F.xxhash64("url").alias("draw"))
+    few, take = thinned(drawn, "label", "draw", training_rows // 2, training_rows)
+    order = Window.partitionBy("label").orderBy("draw", "url")
     sample = (
-        labelled.select("url", "host", "path", "label", F.xxhash64("url").alias("draw"))
-        .orderBy("draw", "url").limit(training_rows)
+        few.withColumn("turn", F.row_number().over(order))
+        .where(F.col("turn") <= take)
+        .drop("turn")
     )
     # Every url is learnt a second time as one of an unseen host, so that hosts without labelled urls
     # are judged by the other features.
     seen = with_suffixes(sample.select("*", *lexical()), labelled)
     training = seen.unionByName(seen.withColumns({name: F.lit(value) for name, value in UNSEEN.items()}))
     rows_of = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    if len(rows_of) < 2:
+    if len(rows_of) < 2:  # every labelled url, not only the drawn ones, has this one verdict
         blocked = F.col("rate1")
     else:
         assembler = VectorAssembler(inputCols=features, outputCol="features")
