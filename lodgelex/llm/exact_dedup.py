@@ -34,7 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Distinct contents that one table holds before its records are spilled.
 TABLE_BYTES = 64 << 20
 #: Contents that a scanning task looks at together.
-WINDOW_BYTES = 32 << 20
+WINDOW_BYTES = 16 << 20
 FAN_OUT_BITS = 4
 SPILLED = pa.schema(
     [("digest", pa.binary()), ("uid", pa.int64()), ("best_uid", pa.int64()), ("id", pa.int64()),
@@ -101,12 +101,19 @@ def better(a: tuple, b: tuple) -> tuple:
     return a if a[1] <= b[1] else b
 
 
-def _resolve(rows: pa.Table) -> pa.Table:
-    """The window's rows with their digest, their class's best row and, on that row, its size."""
+def _resolve(rows: pa.Table, text_col: str | None) -> pa.Table:
+    """The window's rows with their digest, their class's best row and, on that row, its size.
+
+    With ``text_col`` the content is that field of ``row``, and only the best rows come back.
+    """
     table, best, size, member, digests = ContentTable(), [], [], [], []
     uids, ids = rows["uid"].to_pylist(), rows["id"].to_pylist()
-    for uid, key, text in zip(uids, ids, rows["content"].to_pylist(), strict=True):
-        content = normalised(text)
+    if text_col is None:
+        texts = rows["content"]
+    else:
+        texts = pa.chunked_array([c.field(text_col) for c in rows["row"].chunks]).cast(pa.binary())
+    for uid, key, text in zip(uids, ids, texts, strict=True):
+        content = normalised(text.as_py())
         digest = digest_of(content)
         entry = table.find(digest, content)
         if entry == len(best):
@@ -118,6 +125,8 @@ def _resolve(rows: pa.Table) -> pa.Table:
         digests.append(digest)
     rep = [best[e][1] for e in member]
     first = pa.array([u == r for u, r in zip(uids, rep, strict=True)], pa.bool_())
+    if text_col is not None:
+        return _told(rows, digests, rep, size, member).filter(first)
     content = rows["content"].combine_chunks()
     content = pc.fill_null(content, b"") if content.null_count else content
     out = rows.set_column(
@@ -125,24 +134,28 @@ def _resolve(rows: pa.Table) -> pa.Table:
         "content",
         pc.if_else(first, content, pa.scalar(None, content.type)),
     )
+    return _told(out, digests, rep, size, member)
+
+
+def _told(rows: pa.Table, digests: list, rep: list, size: list, member: list) -> pa.Table:
     return (
-        out.append_column("digest", pa.array(digests, pa.binary()))
+        rows.append_column("digest", pa.array(digests, pa.binary()))
         .append_column("rep_uid", pa.array(rep, pa.int64()))
         .append_column("n_local", pa.array([size[e] for e in member], pa.int64()))
     )
 
 
-def _windows(window_bytes: int):
+def _windows(window_bytes: int, text_col: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
         for batch in batches:
             held.append(batch)
             total += batch.nbytes
             if total >= window_bytes:
-                yield from _resolve(pa.Table.from_batches(held)).combine_chunks().to_batches()
+                yield from _resolve(pa.Table.from_batches(held), text_col).combine_chunks().to_batches()
                 held, total = [], 0
         if held and (rows := pa.Table.from_batches(held)).num_rows:
-            yield from _resolve(rows).combine_chunks().to_batches()
+            yield from _resolve(rows, text_col).combine_chunks().to_batches()
 
     return run
 
@@ -283,16 +296,21 @@ def grace(
         fs.delete_dir(files.folder)
 
 
-def resolved_windows(docs: DataFrame, id_col: str, text_col: str, row, window_bytes: int) -> DataFrame:
+def resolved_windows(
+    docs: DataFrame, id_col: str, text_col: str, window_bytes: int, whole_rows: bool = False
+) -> DataFrame:
+    """Rows with what their window says of them; with ``whole_rows`` the best ones, in ``row``."""
+    if whole_rows:
+        held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    else:
+        held = F.col(text_col).cast("binary").alias("content")
     source = docs.select(
-        F.monotonically_increasing_id().alias("uid"),
-        F.col(id_col).cast("long").alias("id"),
-        F.col(text_col).cast("binary").alias("content"),
-        *row,
+        F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("id"), held
     )
     extra = [T.StructField("digest", T.BinaryType()), T.StructField("rep_uid", T.LongType()),
              T.StructField("n_local", T.LongType())]
-    return source.mapInArrow(_windows(window_bytes), T.StructType([*source.schema.fields, *extra]))
+    run = _windows(window_bytes, text_col if whole_rows else None)
+    return source.mapInArrow(run, T.StructType([*source.schema.fields, *extra]))
 
 
 def deduplicate(
@@ -309,7 +327,7 @@ def deduplicate(
     with equal id and text one stays.  An empty table gives an empty result.
     """
     folder = scratch(docs.sparkSession, "dedup-spill")
-    staged = saved(resolved_windows(docs, id_col, text_col, [], window_bytes), "dedup-rows")
+    staged = saved(resolved_windows(docs, id_col, text_col, window_bytes), "dedup-rows")
     reps = _representatives(staged, "content").repartition(F.col("digest"))
     verdicts = reps.mapInArrow(
         lambda batches: grace(_records(batches), folder, table_bytes),
@@ -340,8 +358,7 @@ def survivors(
 ) -> DataFrame:
     """The rows that stay by the same rules, with the columns of ``docs``; one shuffle of the texts."""
     folder = scratch(docs.sparkSession, "dedup-spill")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    resolved = resolved_windows(docs, id_col, text_col, [row], window_bytes)
+    resolved = resolved_windows(docs, id_col, text_col, window_bytes, whole_rows=True)
     reps = _representatives(resolved, "row").repartition(F.col("digest"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -301,43 +301,45 @@ def identify(
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
 
     def score(batches):
-        machine = model
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            column = batch.column("raw")
-            known = column.is_valid().to_numpy(zero_copy_only=False)
-            raw, offsets = bytes_of(column.fill_null(b""))
-            language = np.full(batch.num_rows, UNKNOWN, object)
-            sure = np.zeros(batch.num_rows)
-            cuts = np.flatnonzero(np.diff(offsets[1:] // TOGETHER, prepend=0))
-            for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
-                if b > a and machine is not None:
-                    part = raw[offsets[a] : offsets[b]]
-                    language[a:b], sure[a:b] = machine.predict(part, offsets[a : b + 1] - offsets[a])
-            language[~known], sure[~known] = UNKNOWN, 0.0
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(n) for n in names),
-                    pa.array(language.tolist(), pa.string()),
-                    pa.array(np.clip(sure, 0, 1)),
-                ],
-                names=[*names, "lang_pred", "score"],
-            )
+            if batch.num_rows:
+                language, sure = predicted(model, batch.column("raw"))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(n) for n in names), language, sure],
+                    names=[*names, "lang_pred", "score"],
+                )
 
     return base.mapInArrow(score, f"{ddl}, lang_pred string, score double")
 
 
+def predicted(model: Model | None, column: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Language and score of every text (bytes); null texts are ``und`` with score 0."""
+    known = column.is_valid().to_numpy(zero_copy_only=False)
+    raw, offsets = bytes_of(column.fill_null(b""))
+    language = np.full(len(column), UNKNOWN, object)
+    sure = np.zeros(len(column))
+    cuts = np.flatnonzero(np.diff(offsets[1:] // TOGETHER, prepend=0))
+    for a, b in zip([0, *cuts], [*cuts, len(column)], strict=True):
+        if b > a and model is not None:
+            part = raw[offsets[a] : offsets[b]]
+            language[a:b], sure[a:b] = model.predict(part, offsets[a : b + 1] - offsets[a])
+    language[~known], sure[~known] = UNKNOWN, 0.0
+    return pa.array(language.tolist(), pa.string()), pa.array(np.clip(sure, 0, 1))
+
+
 def accepted(docs: DataFrame, model: Model | None, **columns) -> DataFrame:
     """The rows with a letter in their text, with the columns of ``docs``.
 
     A missing ``lang`` is filled in, with ``und`` where there was nothing to learn from.  No language
     is rejected, however low its score.
     """
-    lang_col = columns.pop("lang_col", "lang")
-    lettered = docs.where(has_letters(columns.get("text_col", "text")))
-    rows = identify(lettered, model, carry=tuple(docs.columns), **columns)
-    kept = rows.select("row.*", F.col("lang_pred").alias("__predicted"))
-    filled = F.coalesce(F.col(lang_col), F.col("__predicted"))
-    return kept.withColumn(lang_col, filled).drop("__predicted")
+    text_col, lang_col = columns.get("text_col", "text"), columns.get("lang_col", "lang")
+
+    @F.arrow_udf("string")
+    def language(raw: pa.Array) -> pa.Array:
+        return predicted(model, raw)[0]
 
+    # Only the text goes to Python, and only where the language is missing.
+    missing = F.when(F.col(lang_col).isNull(), F.col(text_col)).cast("binary")
+    filled = F.coalesce(F.col(lang_col), language(missing))
+    return docs.where(has_letters(text_col)).withColumn(lang_col, filled)

@@ -41,8 +41,8 @@ PERCENT = 90
 WORD_SHARE = 1e-5
 SHINGLE_SHARE = 2e-3
 #: Bytes that a task tokenises together, and over which it counts before reporting.
-TOGETHER = 1 << 22
-WINDOW = 16 << 20
+TOGETHER = 1 << 20
+WINDOW = 8 << 20
 LEAST_REPEATS = 8
 
 #: Bits of a set's parity sketch.
