@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import BOUNDED_COLUMNS
+#: Into how many parts a group's rows are dealt where something is attached to them.
+SALTS = 16
+
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -26,20 +28,24 @@ def matches(keys: Sequence[str], prefix: str = "_") -> Column:
     return condition
 
 
-def bounded(by: Sequence[str]) -> bool:
-    return BOUNDED_COLUMNS.issuperset(by)
-
-
 def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Inner join with a table of a few rows per group of ``by``.
 
-    A market is a country or some other value of a short list, so these rows can be broadcast at any
-    data size, while hashing ``df`` on the market would put a third of it into one task.  For groups
-    that may be many the join is left to the planner.
+    Nothing is known of the number of groups beforehand.  Rows of a group are dealt over ``SALTS`` parts
+    and the group's rows are repeated for each, so a group with a third of all rows meets in no task.
+    Where the run-time size of the small side turns out to be small, as with countries, adaptive
+    execution broadcasts it instead.  Without groups it has a handful of rows and is broadcast at once.
     """
     right = small.withColumnsRenamed({c: f"_{c}" for c in keys})
-    side = F.broadcast(right) if bounded(by) else right
-    return df.join(side, matches(keys)).drop(*[f"_{c}" for c in keys])
+    if not by:
+        return df.join(F.broadcast(right), matches(keys)).drop(*[f"_{c}" for c in keys])
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(SALTS)).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    joined = df.withColumn("_salt", salt).join(
+        right.withColumn("_part", parts), matches(keys) & (F.col("_salt") == F.col("_part"))
+    )
+    return joined.drop("_salt", "_part", *[f"_{c}" for c in keys])
 
 
 def per_group(df: DataFrame, groups: DataFrame, by: Sequence[str], *values: str) -> DataFrame:

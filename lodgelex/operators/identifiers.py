@@ -2,41 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import materialise
 
 
 def contiguous_ids(
-    df: DataFrame, key: str, name: str = "document_id", buckets: int | None = None
+    df: DataFrame,
+    key: str,
+    name: str = "document_id",
+    then: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Number the rows 1..n in the order of the numeric ``key``, rows without one first.
+    """Number the rows 1..n in the order of ``key`` and then of ``then``, missing values first.
 
-    Approximate quantiles cut the key range into buckets of similar size.  How good the cuts are
-    decides only the balance: the bucket is a function of the key, so an exact count per bucket
-    gives the exact offset of each, and every bucket is numbered by its own task.
+    The key may be of any type that has an order.  Rows are dealt to tasks by ranges of key, ``then``,
+    a hash of the row and its place in the input, so a key that many rows share, or lack, is cut like
+    any other.  The place of a row in its sorted range is written down with the rows; how many rows
+    each range holds then gives its first number, and a row's number is the sum of the two.  Rows equal
+    in key and ``then`` follow the hash of the row; wholly equal rows are interchangeable.
     """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    steps = [i / n for i in range(1, n)]
-    cuts = sorted(set(df.approxQuantile(key, steps, 0.25 / n))) if steps else []
-    splits = [float("-inf"), *cuts, float("inf")]
-    number = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    if len(splits) < 3:
-        return df.withColumn("_bucket", F.lit(0)).withColumn(name, number.cast("long")).drop("_bucket")
-
-    keyed = df.withColumn("_key", F.col(key).cast("double"))
-    by_range = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket").transform(keyed)
-    bucketed = by_range.withColumn("_bucket", F.coalesce("_bucket", F.lit(-1.0)))
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    # One row per bucket, n at most: both this window and the broadcast are bounded by n.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    tied = df.withColumn("_salt", F.xxhash64(*[F.col(f"`{c}`") for c in hashed])).withColumn(
+        "_came", F.monotonically_increasing_id()
+    )
+    order = [F.col(f"`{c}`").asc_nulls_first() for c in (key, *then)]
+    order += [F.col("_salt").asc(), F.col("_came").asc()]
+    ranges = (
+        tied.repartitionByRange(*order) if buckets is None else tied.repartitionByRange(buckets, *order)
+    )
+    # The number of the task and the row's place in it, in one long: 31 and 33 bits.
+    placed = ranges.sortWithinPartitions(*order).drop("_salt", "_came").withColumn(
+        "_at", F.monotonically_increasing_id()
     )
+    written = materialise(placed)
+    task, place = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = written.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_size"))
+    # One row per task of the range exchange: this window and the broadcast are bounded by their number.
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_task", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     return (
-        bucketed.withColumn("_number", number)
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(name, F.col("_offset") + F.col("_number"))
-        .drop("_bucket", "_key", "_number", "_offset")
+        written.join(F.broadcast(offsets), task == F.col("_task"))
+        .withColumn(name, F.col("_offset") + place + 1)
+        .drop("_at", "_task", "_offset")
     )

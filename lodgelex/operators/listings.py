@@ -7,12 +7,18 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .identifiers import contiguous_ids
+
 RATING = "review_scores_rating"
 
 
-def flatten(listings: DataFrame) -> DataFrame:
-    """Lift the nested fields in use to the top level; the natural key becomes ``document_id``."""
-    return listings.select(
+def flatten(listings: DataFrame, numbered: bool = False) -> DataFrame:
+    """Lift the nested fields in use to the top level; the natural key becomes ``document_id``.
+
+    With ``numbered`` the listings are numbered 1..n in the order of that key instead, whatever its
+    type is and however many listings share or lack it.
+    """
+    flat = listings.select(
         F.col("_id").alias("document_id"),
         F.col("address.country").alias("country"),
         F.col("address.market").alias("market"),
@@ -25,6 +31,10 @@ def flatten(listings: DataFrame) -> DataFrame:
         "room_type",
         F.col("address.location.coordinates").alias("coordinates"),
     )
+    if not numbered:
+        return flat
+    keyed = flat.withColumnRenamed("document_id", "_key")
+    return contiguous_ids(keyed, "_key").select(*flat.columns)
 
 
 def descriptions(flat: DataFrame) -> DataFrame:

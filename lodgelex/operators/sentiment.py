@@ -51,12 +51,17 @@ def class_totals(
 def slice_class_counts(
     words: DataFrame, bing: DataFrame, nrc: DataFrame, by: Sequence[str] = ("country",)
 ) -> DataFrame:
-    """Occurrences per method and class: all classes of the first lexicon, polarity of the second."""
-    counted = [
-        class_totals(words, lexicon, by, weighted=True).withColumn("method", F.lit(method))
-        for method, lexicon in ((BING, bing), (NRC, nrc.where(F.col("sentiment").isin(*POLARITY))))
-    ]
-    return counted[0].unionByName(counted[1]).select(*by, "method", "sentiment", "n")
+    """Occurrences per method and class: all classes of the first lexicon, polarity of the second.
+
+    The lexicons are one table with a column for the method, so texts are taken apart once.
+    """
+    both = bing.select("word", F.lit(BING).alias("method"), "sentiment").unionByName(
+        nrc.where(F.col("sentiment").isin(*POLARITY)).select(
+            "word", F.lit(NRC).alias("method"), "sentiment"
+        )
+    )
+    hits = lexicon_hits(words, both, by)
+    return hits.groupBy(*by, "method", "sentiment").agg(F.sum("n").alias("n"))
 
 
 def score_totals(
@@ -149,7 +154,11 @@ def sentiment_comparison(
     by: Sequence[str] = ("country",),
 ) -> DataFrame:
     """The three methods side by side: ``by..., sentiment, method``, three rows per slice."""
-    totals = card_totals(words, method_card(bing, nrc, afinn), by)
+    return comparison_rows(card_totals(words, method_card(bing, nrc, afinn), by), by)
+
+
+def comparison_rows(totals: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Summed cards as three rows per slice."""
     rows = [
         F.struct(score.alias("sentiment"), F.lit(label).alias("method"))
         for label, score in (

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.stemming import stem_tokens, stem_word
 from ..functions.text import non_empty, outside, run_lengths, run_starts, tokens_of
 from ..schema import TOPIC_TERMS
-from ..session import materialise
+from ..session import shared_folder
 from .counting import top_with_ties
-from .tokens import KEYS, listed_words, without_stop_words
+from .identifiers import contiguous_ids
+from .tokens import KEYS, listed_words, small_side, without_stop_words
 
 #: Terms shorter than this are left out of the document-term matrix.
 SHORTEST_TERM = 3
@@ -98,18 +100,51 @@ def document_term_matrix(docs: DataFrame) -> DataFrame:
     return counted.withColumnRenamed("word", "term")
 
 
-def vocabulary_of(terms: DataFrame, min_df: int = 1) -> list[str]:
-    """All terms found in at least ``min_df`` documents, the most frequent first, ties by term.
+def vocabulary_of(terms: DataFrame, min_df: int = 1) -> DataFrame:
+    """``index, term, n``: the terms found in at least ``min_df`` documents, numbered from 0, the most
+    frequent first, ties by term.
 
-    It goes to the driver, which holds k topic rows of that length anyway: about 8 * k bytes a term.
+    The numbers come from ranges and their sizes, so the vocabulary is never in one place.
     """
     counted = (
         doc_terms(terms, ["document_id"])
-        .groupBy("word")
+        .groupBy(F.col("word").alias("term"))
         .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("documents"))
+        .where(F.col("documents") >= min_df)
+        .select("term", "n", (-F.col("n")).alias("_rank"))
     )
-    kept = counted.where(F.col("documents") >= min_df).orderBy(F.desc("n"), "word")
-    return [row.word for row in kept.select("word").collect()]
+    numbered = contiguous_ids(counted, "_rank", "_place", then=["term"])
+    return numbered.select((F.col("_place") - 1).cast("int").alias("index"), "term", "n")
+
+
+def term_vectors(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``document_id, _order, features``: sparse counts over the numbered vocabulary, written once.
+
+    A vocabulary of checked size is broadcast, any other joined.  The arrays of a vector are stored as
+    they are and read back as vectors, without Python.
+    """
+    rows = terms.withColumns(
+        {"_row": F.monotonically_increasing_id(), "_order": F.xxhash64("document_id", "tokens")}
+    )
+    keys = ["_row", "document_id", "_order"]
+    counted = doc_terms(rows, keys)
+    names = vocabulary.select("index", F.col("term").alias("word"))
+    found = counted.join(small_side(names), "word").groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("index", F.col("n").cast("double").alias("n")))).alias("_pairs")
+    )
+    size = vocabulary.agg(F.count(F.lit(1)).cast("int")).scalar()
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        size.alias("size"),
+        F.col("_pairs.index").alias("indices"),
+        F.col("_pairs.n").alias("values"),
+    )
+    spark = terms.sparkSession
+    folder = shared_folder(spark, f"lodgelex-topics/{uuid.uuid4().hex}/vectors")
+    found.select("document_id", "_order", vector.alias("features")).write.parquet(folder)
+    stored = [terms.schema["document_id"], T.StructField("_order", T.LongType())]
+    schema = T.StructType([*stored, T.StructField("features", VectorUDT())])
+    return spark.read.schema(schema).parquet(folder)
 
 
 def fit_topics(
@@ -118,24 +153,20 @@ def fit_topics(
     min_df: int = 1,
     seed: int = 42,
     max_iter: int = 20,
-) -> tuple[LDAModel, list[str]] | None:
+) -> tuple[LDAModel, DataFrame] | None:
     """LDA by online variational Bayes and its vocabulary; ``None`` when no document has a term.
 
     Every iteration draws from all documents at rate 1.  The vectors are written once, since every
-    iteration reads them; the texts are read twice, for the vocabulary and for the vectors, which is
-    less than writing all token arrays in between.  The vocabulary has a fixed order and the vectors a
-    layout that depends on the documents only, so one seed gives one model.  No vocabulary is refused
-    or cut; ``min_df`` is the way to say which terms may go.
+    iteration reads them.  The vocabulary is a table with a fixed order and the vectors have a layout
+    that depends on the documents only, so one seed gives one model.  No vocabulary is refused or cut;
+    ``min_df`` is the way to say which terms may go.  The model itself keeps its k topic rows on the
+    driver and in the tasks, 8 * k bytes a term.
     """
     terms = long_terms(docs)
     vocabulary = vocabulary_of(terms, min_df)
-    if not vocabulary:
+    if vocabulary.isEmpty():
         return None
-    matrix = CountVectorizerModel.from_vocabulary(
-        vocabulary, inputCol="tokens", outputCol="features"
-    )
-    found = matrix.transform(terms.withColumn("_order", F.xxhash64("document_id", "tokens")))
-    vectors = materialise(found.select("document_id", "_order", "features"))
+    vectors = term_vectors(terms, vocabulary)
     parts = -(-vectors.count() // FIT_ROWS)
     laid_out = vectors.repartition(parts, "_order").sortWithinPartitions("_order", "document_id")
     lda = LDA(
@@ -145,19 +176,49 @@ def fit_topics(
     return lda.fit(laid_out), vocabulary
 
 
-def topic_term_beta(spark, fitted: tuple[LDAModel, list[str]] | None) -> DataFrame:
-    """``topic, term, beta`` in long form, topics from 1; empty when there was nothing to fit."""
+#: How a saved model keeps its topics: a matrix with a row per term and a column per topic.
+MATRIX = T.StructType.fromJson({"type": "struct", "fields": [
+    {"name": name, "type": kind, "nullable": True, "metadata": {}}
+    for name, kind in (
+        ("numRows", "integer"), ("numCols", "integer"),
+        ("values", {"type": "array", "elementType": "double", "containsNull": True}),
+        ("isTransposed", "boolean"),
+    )
+]})
+
+
+def topic_term_beta(spark, fitted: tuple[LDAModel, DataFrame] | None) -> DataFrame:
+    """``topic, term, beta`` in long form, topics from 1; empty when there was nothing to fit.
+
+    The topic rows are read from the saved model and joined with the vocabulary by term number, so no
+    term passes through the driver.
+    """
     if fitted is None:
         return spark.createDataFrame([], TOPIC_TERMS)
-    model, terms = fitted
-    names = spark.createDataFrame(
-        pa.table({"index": pa.array(range(len(terms)), pa.int32()), "term": pa.array(terms)})
+    model, vocabulary = fitted
+    folder = shared_folder(spark, f"lodgelex-topics/{uuid.uuid4().hex}/model")
+    model.write().overwrite().save(folder)
+    stored = spark.read.schema(T.StructType([T.StructField("topicsMatrix", MATRIX)]))
+    matrix = stored.parquet(f"{folder}/data").select("topicsMatrix.*")
+    cells = matrix.select(
+        "numRows", "numCols", "isTransposed", F.posexplode("values").alias("at", "weight")
+    )
+    across, down = F.col("at") % F.col("numCols"), F.floor(F.col("at") / F.col("numCols"))
+    long = cells.select(
+        F.when(F.col("isTransposed"), across).otherwise(F.floor(F.col("at") / F.col("numRows")))
+        .cast("int").alias("column"),
+        F.when(F.col("isTransposed"), down).otherwise(F.col("at") % F.col("numRows"))
+        .cast("int").alias("index"),
+        "weight",
     )
-    pairs = F.arrays_zip(F.col("termIndices").alias("index"), F.col("termWeights").alias("beta"))
-    long = model.describeTopics(len(terms)).select(
-        (F.col("topic") + 1).cast("int").alias("topic"), F.inline(pairs)
+    totals = long.groupBy("column").agg(F.sum("weight").alias("total"))
+    return (
+        long.join(F.broadcast(totals), "column")  # one row per topic of the model
+        .join(vocabulary, "index")
+        .select(
+            (F.col("column") + 1).alias("topic"), "term", (F.col("weight") / F.col("total")).alias("beta")
+        )
     )
-    return long.join(names, "index").select("topic", "term", "beta")
 
 
 def top_terms(beta: DataFrame, top: int = 10) -> DataFrame:

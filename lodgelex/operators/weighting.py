@@ -4,34 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .counting import bounded, count_by, per_group, value_frequency
+from .counting import count_by, matches, per_group
 
 
 def word_tf_idf(counts: DataFrame, doc: str = "country", term: str = "word") -> DataFrame:
     """``tf = n / sum(n) of the document``, ``idf = ln(documents / documents with the term)``.
 
-    ``counts`` has one row per (document, term).  The documents are markets as a rule: a term has at
-    most one row per market then, which bounds the window over it.  Where they are listings, a term
-    can be in most of them, and its frequency is attached without bringing its rows together.
+    ``counts`` has one row per (document, term).  Documents may be markets or listings: a term can be
+    in most of them, and its frequency is attached without bringing its rows together.
     """
+    # Always true; every use of the counts then needs them whole, and one exchange serves all.
+    counts = counts.where("n >= 0")
     totals = counts.groupBy(doc).agg(F.sum("n").alias("total_words"))
-    if bounded([doc]):
-        # The unpartitioned window runs over one row per market.
-        every = F.count(F.lit(1)).over(Window.partitionBy())
-        totals = totals.withColumn("documents", every)
-        found_in = F.count(F.lit(1)).over(Window.partitionBy(term))
-        weighted = per_group(counts, totals, [doc], "total_words", "documents").withColumn(
-            "doc_freq", found_in
-        )
-    else:
-        documents = totals.where("total_words > 0").agg(F.count(F.lit(1)).alias("documents"))
-        frequency = value_frequency(counts, term, "doc_freq")
-        weighted = per_group(
-            per_group(frequency, totals, [doc], "total_words"), documents, [], "documents"
-        )
+    documents = totals.where("total_words > 0").agg(F.count(F.lit(1)).alias("documents"))
+    # Null-safe like the other joins, so that all of them read the one exchange of the counts; a term
+    # that is in most documents is split by the adaptive skew join.
+    frequency = counts.groupBy(F.col(term).alias(f"_{term}")).agg(F.count(F.lit(1)).alias("doc_freq"))
+    known = counts.join(frequency, matches([term])).drop(f"_{term}")
+    weighted = per_group(
+        per_group(known, totals, [doc], "total_words"), documents, [], "documents"
+    )
     return (
         weighted.withColumn("tf", F.col("n") / F.col("total_words"))
         .withColumn("idf", F.ln(F.col("documents") / F.col("doc_freq")))
@@ -91,9 +86,14 @@ def bigram_tf_idf(
         weighted = per_group(
             bigram_counts(pairs, by), total_documents(pairs, by), by, "total_documents"
         )
+    return weighted_bigrams(weighted, by)
+
+
+def weighted_bigrams(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The weights of counted bigrams whose rows hold ``n`` and ``total_documents``."""
     documents = F.col("total_documents")
     return (
-        weighted.withColumn("tf", F.try_divide("n", documents))
+        counts.withColumn("tf", F.try_divide("n", documents))
         .withColumn("idf", F.ln(documents / F.col("n")))
         .withColumn("tf_idf", F.col("tf") * F.col("idf"))
         .select(*by, "word1", "word2", "n", "tf", "idf", "tf_idf")

@@ -66,9 +66,18 @@ def bigram_graph(
     return edges, bigram_nodes(edges, by)
 
 
-def comparison(flat: DataFrame, lexicons: Lexicons, text: str = "text") -> DataFrame:
-    """Three methods per market; a market without any known word, or any text, scores 0."""
+def comparison(
+    flat: DataFrame, lexicons: Lexicons, text: str = "text", every: DataFrame | None = None
+) -> DataFrame:
+    """Three methods per market; a market without any known word, or any text, scores 0.
+
+    Where ``flat`` is a slice, ``every`` names the table whose markets are all to be listed: those
+    without a listing in the slice score 0 too.
+    """
     tokens = words(flat, text, keep=BY, outer=True)
+    if every is not None:
+        silent = every.select(*BY).distinct()
+        tokens = tokens.unionByName(silent, allowMissingColumns=True)
     return sentiment_comparison(tokens, lexicons.afinn, lexicons.bing, lexicons.nrc, BY)
 
 
@@ -93,7 +102,7 @@ def derived_tables(
     country: str,
     stop: DataFrame,
     lexicons: Lexicons,
-    fitted: tuple[LDAModel, list[str]] | None = None,
+    fitted: tuple[LDAModel, DataFrame] | None = None,
     tokens: DataFrame | None = None,
     docs: DataFrame | None = None,
 ) -> dict[str, DataFrame]:

@@ -33,10 +33,6 @@ LISTING_SCHEMA = T.StructType(
     ]
 )
 
-#: Columns whose number of distinct values does not grow with the collection.  Only results grouped by
-#: these are small enough to broadcast without looking.
-BOUNDED_COLUMNS = frozenset({"country", "market", "room_type", "topic"})
-
 SCORE_LEXICON = T.StructType(
     [T.StructField("word", T.StringType()), T.StructField("value", T.IntegerType())]
 )

@@ -43,7 +43,7 @@ TOKEN = r"[\p{L}\p{M}\p{N}_]+(?:['’.][\p{L}\p{M}\p{N}_]+)*"
 
 LISTING = """
 listing as (
-  select doc_id as document_id, case when doc_id % 19 <> 5 then text end as text,
+  select doc_id as document_id, text,
     text || ' ' || source as description, lang as country, source as market,
     case when doc_id % 13 = 0 then null
          else cast(least(100, 20 + (doc_id * 7) % 101) as int) end as review_scores_rating,
@@ -111,12 +111,13 @@ score as (
 method as (select unnest(['AFINN', 'Bing et al.', 'NRC']) as method)"""
 
 
-def _comparison(where: str) -> str:
+def _comparison(where: str, listed: str | None = None) -> str:
+    """Scores over the listings that satisfy ``where``, for the markets of those in ``listed``."""
     return (
         _with(where, COMPARED)
         + f"""
 select country, method, cast(coalesce(sum(sentiment), 0) as bigint) as sentiment
-from (select distinct country from listing where {where}) cross join method
+from (select distinct country from listing where {listed or where}) cross join method
   left join score using (country, method)
 group by country, method"""
     )
@@ -310,6 +311,84 @@ TOPICS = "(select cast(unnest([1, 2]) as integer) as topic)"
 DEFAULT_LISTED = ", ".join("'" + w.replace("'", "''") + "'" for w in DEFAULT_STOP.split())
 KEPT = "token.word not in (select word from listed)"
 
+
+# Segmentation: candidate words of every distinct run, the cheapest path by a recursion over its ends
+# (cost and length of the best last word in one number: cheaper first, then longer), and the way back.
+LATIN, SIGNS = "abcdefghijklmnopqrstuvwxyz", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
+
+
+def _segmented() -> str:
+    signs = f"translate(lower({{}}), '{LATIN}', '{SIGNS}')".format
+    return f"""
+with recursive {LISTING}, {WORDS.strip()},
+lexeme as (
+  select word, count(*) as n from (
+    select unnest(regexp_extract_all({signs('text')}, $${TOKEN}$$, 0)) as word from benchmark)
+  where regexp_full_match(word, '[一-鿿]+') group by word),
+price as (
+  select word, cast(round(ln((total + 1) / n) * 1000) as bigint) as cost
+  from lexeme cross join (select sum(n) as total from lexeme)),
+alone as (select cast(round(ln(sum(n) + 1) * 1000) as bigint) + 10000 as cost from lexeme),
+whole as (
+  select document_id, country, unnest(range(len(t))) as spot, unnest(t) as token from (
+    select document_id, country, regexp_extract_all(
+      regexp_replace({signs('text')}, '([一-鿿]+) ([一-鿿]+)', '\\1\\2', 'g'), $${TOKEN}$$, 0) as t
+    from listing)),
+part as (
+  select document_id, country, spot, unnest(range(len(p))) as place, unnest(p) as run from (
+    select *, regexp_extract_all(token, '[一-鿿]+|[^一-鿿]+') as p from whole)),
+run as (select distinct run from part where regexp_matches(run, '^[一-鿿]')),
+edge as materialized (
+  select run, e, l, case when l = 1 then least(coalesce(price.cost, alone.cost), alone.cost)
+                         else price.cost end as cost
+  from (select run, unnest(range(1, length(run) + 1)) as e from run)
+    cross join (select unnest(range(1, (select max(length(word)) from price) + 1)) as l)
+    cross join alone left join price on price.word = substr(run, e - l + 1, l)
+  where l <= e and (l = 1 or price.cost is not null)),
+best as (
+  select run, cast(0 as bigint) as e, [cast(0 as bigint)] as costs, [cast(0 as bigint)] as sizes from run
+  union all
+  select b.run, b.e + 1, list_append(any_value(b.costs), min((b.costs[b.e + 2 - l] + cost) * 64 + 63 - l) // 64),
+    list_append(any_value(b.sizes), 63 - min((b.costs[b.e + 2 - l] + cost) * 64 + 63 - l) % 64)
+  from best b join edge on edge.run = b.run and edge.e = b.e + 1 group by b.run, b.e),
+cut as (
+  select run, sizes, cast(length(run) as bigint) as e from best where e = length(run)
+  union all
+  select run, sizes, e - sizes[e + 1] from cut where e - sizes[e + 1] > 0),
+piece as (select run, e, substr(run, e - sizes[e + 1] + 1, sizes[e + 1]) as word from cut),
+token as (
+  select document_id, country,
+    row_number() over (partition by document_id order by spot, place, e) as pos,
+    coalesce(word, part.run) as word
+  from part left join piece on piece.run = part.run)"""
+
+
+SEGMENTED_COUNTS = _segmented() + " select country, word, count(*) as n from token group by all"
+SEGMENTED_TOP15 = (
+    _segmented()
+    + """
+, pair as (
+  select country, word1, word2 from (
+    select country, word as word1, lead(word) over (partition by document_id order by pos) as word2
+    from token)
+  where word2 is not null
+    and word1 not in (select word from listed) and word2 not in (select word from listed)),"""
+    + COUNTED.strip() + "," + TOP15.strip() + " select country, word1, word2, n, rank from top15"
+)
+
+_PANEL_BIGRAMS = (
+    _with(
+        CHOSEN, "counted as (select word1, word2, count(*) as n from pair group by all)"
+    )
+    + " select word1 as src, word2 as dst, n, round(sqrt(n), 6) as width from"
+    " (select *, rank() over (order by n desc) as place from counted) where place <= 15"
+)
+_PANEL_SENTIMENT = (
+    _with(CHOSEN, COMPARED)
+    + " select method, cast(coalesce(sum(sentiment), 0) as bigint) as sentiment"
+    " from method left join score using (method) group by method"
+)
+
 ORACLES: dict[str, str] = {
     "listings_flat": f"with {LISTING} select document_id, country, market, text, "
     "review_scores_rating from listing",
@@ -327,6 +406,13 @@ ORACLES: dict[str, str] = {
     f"number_of_reviews from listing where {HIGH}",
     "document_ids": f"with {LISTING} select document_id as id, "
     "row_number() over (order by document_id) as document_id from listing",
+    "document_ids_text_key": f"with {LISTING}, keyed as (select market || '/' || document_id as key "
+    "from listing) select key, row_number() over (order by key nulls first) as document_id from keyed",
+    "document_ids_hot_key": f"with {LISTING}, keyed as (select nullif(country, 'de') as key, "
+    "document_id as id from listing) select key, id, "
+    "row_number() over (order by key nulls first, id) as document_id from keyed",
+    "listings_numbered": f"with {LISTING} select row_number() over (order by document_id) as "
+    "document_id, country, market, description from listing",
     "map_points": f"with {LISTING} select document_id, longitude, latitude from listing "
     "where country = 'en' and longitude is not null and latitude is not null",
     "word_counts_by_country": _with(text="description")
@@ -367,7 +453,7 @@ from (select distinct country from listing)
   left join hit using (country, method)
 group by country, method""",
     "sentiment_comparison": _comparison("true"),
-    "high_rated_sentiment": _comparison(HIGH),
+    "high_rated_sentiment": _comparison(HIGH, "true"),
     "bigrams": _with() + " select document_id, country, word1, word2, bigram from pair",
     "bigram_split": _with()
     + " select document_id, bigram, split_part(bigram, ' ', 1) as word1,"
@@ -401,14 +487,8 @@ group by country, method""",
     "processed_descriptions": _with("true", _stem_tables())
     + " select document_id, country, string_agg(stem, ' ' order by pos) as text"
     f" from token join stem using (word) where {KEPT} group by document_id, country",
-    "panel_bigrams": _with(
-        CHOSEN, "counted as (select word1, word2, count(*) as n from pair group by all)"
-    )
-    + " select word1 as src, word2 as dst, n, round(sqrt(n), 6) as width from"
-    " (select *, rank() over (order by n desc) as place from counted) where place <= 15",
-    "panel_sentiment": _with(CHOSEN, COMPARED)
-    + " select method, cast(coalesce(sum(sentiment), 0) as bigint) as sentiment"
-    " from method left join score using (method) group by method",
+    "panel_bigrams": _PANEL_BIGRAMS,
+    "panel_sentiment": _PANEL_SENTIMENT,
     "panel_tf_idf_top10": PANEL_TF_IDF,
     "panel_map": f"with {LISTING} select longitude, latitude from listing where {CHOSEN}"
     " and number_of_reviews > 2 and text is not null"
@@ -450,6 +530,19 @@ union all select 'total_documents', 1, count(distinct document_id) from pair
 union all select 'processed_words', count(*), cast(sum(document_id) as bigint) from kept
 union all select 'doc_terms', count(*), cast(sum(n) as bigint) from term
 union all select 'processed_texts', count(*), cast(sum(document_id) as bigint) from kept""",
+    "topic_leaders": _with("country in ('de', 'fr')")
+    + f""", counted as (
+  select country, country || '_' || substr(word, 1, 1) as term, count(*) as n from token
+  where {KEPT} group by all)
+select * from (
+  select country, term, rank() over (partition by country order by n desc) as place from counted)
+where place <= 5""",
+    "segmented_word_counts": SEGMENTED_COUNTS,
+    "segmented_word_counts_by_join": SEGMENTED_COUNTS,
+    "segmented_bigram_top15": SEGMENTED_TOP15,
+    "panel_bigrams_from_sums": _PANEL_BIGRAMS,
+    "panel_sentiment_from_sums": _PANEL_SENTIMENT,
+    "panel_tf_idf_from_sums": PANEL_TF_IDF,
     "artifact_round_trip": PANEL_TF_IDF,
     "batch_tables": _bigram_weights("documents", "country = 'de'"),
 }

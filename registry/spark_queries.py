@@ -6,12 +6,13 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodgelex.operators import listings as li
-from lodgelex.operators.counting import descending
+from lodgelex.operators.counting import count_by, descending
 from lodgelex.operators.identifiers import contiguous_ids
+from lodgelex.operators.segmentation import segmented
 from lodgelex.operators.sentiment import (
     class_totals,
     mostly_used,
@@ -30,7 +31,7 @@ from lodgelex.operators.topics import (
     word_stems,
 )
 from lodgelex.operators.weighting import bigram_tf_idf, total_documents, word_tf_idf
-from lodgelex.plans import markets, panels
+from lodgelex.plans import markets, panels, sums
 from lodgelex.plans.params import Params
 from lodgelex.session import shared_folder, spread
 from lodgelex.sources.listings import listings_from_documents, read_listings
@@ -50,6 +51,8 @@ from lodgelex.sources.words import (
 
 MARKET = "de"
 PINNED_DOCUMENTS = 145
+PLANTED = ("de", "fr")
+LEADERS = 5
 PANEL = Params(countries=("en", "de"), min_rating=50)
 KEYS = ["document_id", "country"]
 
@@ -129,6 +132,25 @@ def document_ids(spark, folder):
     return numbered.select("id", "document_id")
 
 
+def document_ids_text_key(spark, folder):
+    """Numbers in the order of a text key."""
+    key = F.concat_ws("/", "market", F.col("document_id").cast("string")).alias("key")
+    return contiguous_ids(flat(spark, folder).select(key), "key")
+
+
+def document_ids_hot_key(spark, folder):
+    """Numbers by a key that most listings share and many lack, and by the listing's own key then."""
+    keyed = flat(spark, folder).select(
+        F.nullif("country", F.lit(MARKET)).alias("key"), F.col("document_id").alias("id")
+    )
+    return contiguous_ids(keyed, "key", then=["id"])
+
+
+def listings_numbered(spark, folder):
+    numbered = li.flatten(listings_from_documents(spark, folder), numbered=True)
+    return numbered.select("document_id", "country", "market", "description")
+
+
 def map_points(spark, folder):
     return li.map_points(li.market_slice(flat(spark, folder), "en"), keep=["document_id"])
 
@@ -180,6 +202,43 @@ def word_tf_idf_one_country(spark, folder):
     return rounded(word_tf_idf(counts), "tf", "idf", "tf_idf")
 
 
+# Letters and the ideographs that stand for them in texts written without spaces.
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+SIGNS = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
+
+
+def signs_of(text):
+    return F.translate(F.lower(text), LATIN, SIGNS)
+
+
+def spaceless(spark, folder):
+    """The listings with their texts in ideographs, every two neighbouring words written together."""
+    joined = F.regexp_replace(signs_of("text"), "([一-鿿]+) ([一-鿿]+)", "$1$2")
+    return texts(spark, folder).withColumn("text", joined)
+
+
+def sign_dictionary(spark, folder):
+    """Words of the benchmark texts in the same signs, weighted by how often they occur."""
+    items = spark.read.parquet(f"{folder}/benchmark.parquet").select(signs_of("text").alias("text"))
+    counted = count_by(words(items, "text", keep=[]), "word")
+    return counted.where(F.col("word").rlike("^[一-鿿]+$"))
+
+
+def segmented_word_counts(spark, folder):
+    split = segmented(spaceless(spark, folder), sign_dictionary(spark, folder))
+    return markets.word_counts(split, "tokens")
+
+
+def segmented_word_counts_by_join(spark, folder):
+    split = segmented(spaceless(spark, folder), sign_dictionary(spark, folder), limit=0)
+    return markets.word_counts(split, "tokens")
+
+
+def segmented_bigram_top15(spark, folder):
+    split = segmented(spaceless(spark, folder), sign_dictionary(spark, folder))
+    return markets.top_bigrams(split, sample_stop_words(spark), "tokens")
+
+
 # Lexicons -----------------------------------------------------------------------------------------
 
 
@@ -236,7 +295,8 @@ def class_counts_by_method(spark, folder):
 
 
 def high_rated_sentiment(spark, folder):
-    return markets.comparison(li.high_rated(texts(spark, folder)), lexicons(spark))
+    high = li.high_rated(texts(spark, folder))
+    return markets.comparison(high, lexicons(spark), every=flat(spark, folder))
 
 
 # Bigrams ------------------------------------------------------------------------------------------
@@ -372,6 +432,23 @@ def topic_totals(spark, folder):
     )
 
 
+def topic_leaders(spark, folder):
+    """Two planted topics: the initials of words, marked with their market, so that every document
+    uses one of two vocabularies with its own shares.
+
+    The terms that lead a fitted topic are then those that lead its market's counts.
+    """
+    planted = texts(spark, folder).where(F.col("country").isin(*PLANTED))
+    docs = processed_documents(planted, "text", sample_stop_words(spark), stem=False)
+    initial = F.transform("tokens", lambda w: F.concat_ws("_", "country", F.substring(w, 1, 1)))
+    fitted = fit_topics(docs.withColumn("tokens", initial), max_iter=40)
+    leading = top_terms(topic_term_beta(spark, fitted), LEADERS)
+    place = F.rank().over(Window.partitionBy("topic").orderBy(F.desc("beta")))
+    return leading.select(
+        F.split("term", "_")[0].alias("country"), "term", place.cast("long").alias("place")
+    )
+
+
 # Panels and saved tables --------------------------------------------------------------------------
 
 
@@ -394,6 +471,29 @@ def panel_topics(spark, folder):
     return panels.topic_panel(texts(spark, folder), PANEL, sample_stop_words(spark))
 
 
+def _sums(spark, folder, *names):
+    """The named tables of prepared sums, saved and loaded again."""
+    lex, target = lexicons(spark), new_folder(spark)
+    made = sums.prepared(
+        texts(spark, folder), sample_stop_words(spark), lex.afinn, lex.bing, lex.nrc
+    )
+    sums.save_sums(target, {name: made[name] for name in names})
+    return sums.load_sums(spark, target, names)
+
+
+def panel_bigrams_from_sums(spark, folder):
+    return rounded(sums.bigram_panel(_sums(spark, folder, sums.PHRASES), PANEL), "width")
+
+
+def panel_sentiment_from_sums(spark, folder):
+    return sums.sentiment_panel(_sums(spark, folder, sums.SCORES), PANEL)
+
+
+def panel_tf_idf_from_sums(spark, folder):
+    panel = sums.tf_idf_panel(_sums(spark, folder, sums.PHRASES, sums.DOCUMENTS), PANEL)
+    return rounded(panel, "tf", "idf", "tf_idf")
+
+
 def panel_map(spark, folder):
     return panels.map_panel(flat(spark, folder), PANEL)
 
@@ -452,6 +552,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_price_by_room_type": avg_price_by_room_type,
     "high_rated": high_rated,
     "document_ids": document_ids,
+    "document_ids_text_key": document_ids_text_key,
+    "document_ids_hot_key": document_ids_hot_key,
+    "listings_numbered": listings_numbered,
     "map_points": map_points,
     "word_counts_by_country": word_counts_by_country,
     "word_counts_no_stopwords": word_counts_no_stopwords,
@@ -504,4 +607,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_term_matrix": document_terms,
     "topic_vocabulary": topic_vocabulary,
     "topic_totals": topic_totals,
+    "topic_leaders": topic_leaders,
+    "segmented_word_counts": segmented_word_counts,
+    "segmented_word_counts_by_join": segmented_word_counts_by_join,
+    "segmented_bigram_top15": segmented_bigram_top15,
+    "panel_bigrams_from_sums": panel_bigrams_from_sums,
+    "panel_sentiment_from_sums": panel_sentiment_from_sums,
+    "panel_tf_idf_from_sums": panel_tf_idf_from_sums,
 }

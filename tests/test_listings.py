@@ -146,3 +146,35 @@ def test_contiguous_ids_keep_rows_without_a_key(spark):
     df = spark.createDataFrame([(7,), (None,), (3,), (9,), (1,)], "key long").repartition(3)
     got = contiguous_ids(df, "key", buckets=3).orderBy("document_id").collect()
     assert [(r.document_id, r.key) for r in got] == [(1, None), (2, 1), (3, 3), (4, 7), (5, 9)]
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(10,2)", "double"])
+def test_contiguous_ids_of_any_key_type(spark, kind):
+    key = "date_add(date'2020-01-01', cast(id as int))" if kind == "date" else f"cast(id * 7 % 101 as {kind})"
+    df = spark.range(101).selectExpr(f"{key} as key")
+    got = contiguous_ids(df, "key", buckets=4).orderBy("document_id").collect()
+    keys = [r.key for r in got]
+    assert [r.document_id for r in got] == list(range(1, 102)) and keys == sorted(keys)
+
+
+def test_a_key_of_a_third_of_the_rows_is_cut(spark):
+    """Equal keys, missing keys and wholly equal rows are numbered by many tasks."""
+    for expr in ("if(id % 3 = 0, 'hot', concat('k', id))", "if(id % 3 = 0, null, id)", "'one'"):
+        df = spark.range(30_000).selectExpr(f"{expr} as key", "id").repartition(6)
+        df = df.drop("id") if expr == "'one'" else df
+        numbered = contiguous_ids(df, "key", buckets=10)
+        sizes = numbered.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) > 4 and max(r["count"] for r in sizes) < 9_000
+        assert numbered.select("document_id").distinct().count() == 30_000
+        assert numbered.agg(F.max("document_id")).first()[0] == 30_000
+
+
+def test_numbered_listings(spark):
+    rows = [("b", None), ("a", "x"), (None, "y"), ("a", "z")]
+    schema = "_id string, summary string"
+    nested = spark.createDataFrame(rows, schema)
+    for field in LISTING_SCHEMA.fields[2:]:
+        nested = nested.withColumn(field.name, F.lit(None).cast(field.dataType))
+    got = li.flatten(nested, numbered=True).orderBy("document_id").collect()
+    assert [r.document_id for r in got] == [1, 2, 3, 4]
+    assert got[0].text == "y" and {got[1].text, got[2].text} == {"x", "z"} and got[3].text is None

@@ -64,12 +64,12 @@ def test_per_group_without_groups_is_a_scalar(scores):
 
 
 def test_many_groups_are_not_broadcast(scores):
+    """No group column is broadcast by its name, whatever it is called."""
     by_term = top_with_ties(scores, ["term"], "n", 1)
     assert by_term.count() == scores.where("n is not null").count()
-    plan = by_term._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in plan
-    plan = top_with_ties(scores, ["country"], "n", 1)._jdf.queryExecution().optimizedPlan()
-    assert "strategy=broadcast" in plan.toString()
+    for by in ("term", "country"):
+        plan = top_with_ties(scores, [by], "n", 1)._jdf.queryExecution().optimizedPlan().toString()
+        assert "strategy=broadcast" not in plan
 
 
 @pytest.mark.parametrize("hot", [1, 3, 10, 10_000])
@@ -78,3 +78,26 @@ def test_value_frequency(spark, hot):
     df = spark.createDataFrame(list(enumerate(keys)), "id int, word string").repartition(5)
     got = rows(value_frequency(df, "word", "n", hot), "id", "n")
     assert got == [(i, keys.count(word)) for i, word in enumerate(keys)]
+
+
+def test_many_groups_and_a_hot_one(spark):
+    """100,000 groups and one with a third of all rows: nothing is broadcast by name or by force."""
+    df = spark.range(300_000).selectExpr("if(id % 3 = 0, -1, id % 100000) as country", "id % 997 as n")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        totals = df.groupBy("country").agg(F.count(F.lit(1)).alias("rows"))
+        joined = per_group(df, totals, ["country"], "rows")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "_salt" in plan
+        assert joined.where("country = -1").agg(F.min("rows"), F.count("*")).first()[:] == (100_000, 100_000)
+        assert joined.count() == 300_000
+        order = Window.partitionBy("country").orderBy(F.desc("n"))
+        expected = df.withColumn("rank", F.rank().over(order)).where("rank <= 2")
+        top = top_with_ties(df, ["country"], "n", 2)
+        mark = lambda t: t.agg(F.count("*"), F.sum(F.hash("country", "n", "rank"))).first()[:]
+        cast = expected.withColumn("rank", F.col("rank").cast("long"))
+        assert mark(top.select("country", "n", "rank")) == mark(cast.select("country", "n", "rank"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

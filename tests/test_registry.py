@@ -19,7 +19,8 @@ TYPES = {
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    connection.execute(f"create view documents as from '{FOLDER}/documents.parquet'")
+    for name in ("documents", "benchmark"):
+        connection.execute(f"create view {name} as from '{FOLDER}/{name}.parquet'")
     yield connection
     connection.close()
 

@@ -85,7 +85,7 @@ def test_betas_sum_to_one_over_the_vocabulary(spark, fitted):
     sums = beta.groupBy("topic").agg(F.sum("beta").alias("s"), F.count("*").alias("terms"))
     assert {r.topic for r in sums.collect()} == {1, 2}
     assert all(r.s == pytest.approx(1.0, abs=1e-6) and r.terms == 8 for r in sums.collect())
-    assert {r.term for r in beta.collect()} == set(fitted[1])
+    assert {r.term for r in beta.collect()} == {r.term for r in fitted[1].collect()}
 
 
 def test_two_vocabularies_come_apart(spark, fitted):
@@ -113,7 +113,10 @@ def test_vocabulary_has_a_fixed_order(make):
     docs = tp.processed_documents(
         make({"text": "wave sand sand coast"}, {"text": "beach coast"}), stem=False
     )
-    assert tp.vocabulary_of(tp.long_terms(docs)) == ["coast", "sand", "beach", "wave"]
+    vocabulary = tp.vocabulary_of(tp.long_terms(docs))
+    assert rows(vocabulary) == [
+        (0, "coast", 2), (1, "sand", 2), (2, "beach", 1), (3, "wave", 1)
+    ]
 
 
 def test_one_seed_gives_one_model(spark, corpus):
@@ -130,21 +133,46 @@ def test_one_seed_gives_one_model(spark, corpus):
 
 
 def test_matrix_is_what_the_model_sees(corpus):
-    from pyspark.ml.feature import CountVectorizerModel
-
     docs = tp.processed_documents(corpus)
     terms = tp.long_terms(docs)
     vocabulary = tp.vocabulary_of(terms)
-    model = CountVectorizerModel.from_vocabulary(vocabulary, "tokens", "features")
+    names = {r["index"]: r.term for r in vocabulary.collect()}
     seen = {
-        (r.document_id, vocabulary[i], int(n))
-        for r in model.transform(terms).collect()
+        (r.document_id, names[i], int(n))
+        for r in tp.term_vectors(terms, vocabulary).collect()
         for i, n in zip(r.features.indices, r.features.values, strict=True)
     }
     assert seen == set(rows(tp.document_term_matrix(docs), "document_id", "term", "n"))
 
 
+def test_vectors_of_a_joined_vocabulary_and_of_repeated_ids(make, monkeypatch):
+    docs = tp.processed_documents(
+        make({"text": "wave sand sand"}, {"text": "coast wave"}).withColumn("document_id", F.lit(7)),
+        stem=False,
+    )
+    terms = tp.long_terms(docs)
+    vocabulary = tp.vocabulary_of(terms)
+    broadcast = sorted(str(r.features) for r in tp.term_vectors(terms, vocabulary).collect())
+    monkeypatch.setattr(tp, "small_side", lambda df: df)
+    joined = sorted(str(r.features) for r in tp.term_vectors(terms, vocabulary).collect())
+    assert joined == broadcast and len(joined) == 2
+
+
+def test_betas_are_those_that_the_model_reports(spark, fitted):
+    model, vocabulary = fitted
+    names = {r["index"]: r.term for r in vocabulary.collect()}
+    reported = {
+        (r.topic + 1, names[i]): w
+        for r in model.describeTopics(len(names)).collect()
+        for i, w in zip(r.termIndices, r.termWeights, strict=True)
+    }
+    read = {(r.topic, r.term): r.beta for r in tp.topic_term_beta(spark, fitted).collect()}
+    assert read.keys() == reported.keys()
+    assert all(read[key] == pytest.approx(reported[key], abs=1e-12) for key in read)
+
+
 def test_rare_terms_go_only_when_asked(make):
     docs = tp.processed_documents(make({"text": "beach sand"}, {"text": "beach wave"}))
-    assert sorted(tp.fit_topics(docs, max_iter=2)[1]) == ["beach", "sand", "wave"]
-    assert tp.fit_topics(docs, min_df=2, max_iter=2)[1] == ["beach"]
+    every, common = tp.fit_topics(docs, max_iter=2)[1], tp.fit_topics(docs, min_df=2, max_iter=2)[1]
+    assert rows(every, "term") == [("beach",), ("sand",), ("wave",)]
+    assert rows(common, "term") == [("beach",)]
