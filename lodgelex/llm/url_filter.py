@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodgelex.llm.common import thinned
+from lodgelex.llm.common import saved, thinned
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TRAINING_ROWS = 20_000
@@ -157,19 +157,22 @@ def judge(
         .select("*", host.alias("host"), path.alias("path"))
         .select("*", name.alias("rule"), verdict.alias("ruled"))
     )
-    # A url counts once, in the suffix rates and in the sample, however many rows have it.
-    labelled = rows.where("ruled is not null").select(
-        "url", "host", "path", (F.col("ruled") == "block").cast("double").alias("label")
-    ).distinct()
+    # A url counts once, in the suffix rates and in the sample, however many rows have it.  Written
+    # once, since seven joins read it.
+    labelled = saved(
+        rows.where("ruled is not null").select(
+            "url", "host", "path", (F.col("ruled") == "block").cast("double").alias("label")
+        ).distinct(),
+        "labelled-urls",
+    )
     features = [*LEXICAL, *(f"{k}{n}" for n in range(1, LABELS + 1) for k in ("rate", "seen"))]
     known = with_suffixes(rows.select("*", *lexical()), labelled)
     drawn = labelled.select("url", "host", "path", "label", F.xxhash64("url").alias("draw"))
     few, take = thinned(drawn, "label", "draw", training_rows // 2, training_rows)
     order = Window.partitionBy("label").orderBy("draw", "url")
-    sample = (
-        few.withColumn("turn", F.row_number().over(order))
-        .where(F.col("turn") <= take)
-        .drop("turn")
+    sample = saved(
+        few.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= take).drop("turn"),
+        "url-sample",
     )
     # Every url is learnt a second time as one of an unseen host, so that hosts without labelled urls
     # are judged by the other features.
