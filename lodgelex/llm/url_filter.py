@@ -177,7 +177,10 @@ def judge(
     # Every url is learnt a second time as one of an unseen host, so that hosts without labelled urls
     # are judged by the other features.
     seen = with_suffixes(sample.select("*", *lexical()), labelled)
-    training = seen.unionByName(seen.withColumns({name: F.lit(value) for name, value in UNSEEN.items()}))
+    twice = seen.withColumn("hidden", F.explode(F.array(F.lit(False), F.lit(True))))
+    training = twice.withColumns(
+        {name: F.when(F.col("hidden"), F.lit(value)).otherwise(F.col(name)) for name, value in UNSEEN.items()}
+    ).drop("hidden")
     rows_of = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(rows_of) < 2:  # every labelled url, not only the drawn ones, has this one verdict
         blocked = F.col("rate1")
