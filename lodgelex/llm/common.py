@@ -26,7 +26,39 @@ def scratch(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lodgelex-scratch"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{qualified(spark, base).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+#: Folders that ``scratch`` named in this session and that ``release`` has not removed.
+_made: list[str] = []
+
+
+def named() -> list[str]:
+    """The scratch folders that are still there, oldest first."""
+    return list(_made)
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme that Spark resolves it against, so that tasks that open files
+    themselves find the place where Spark reads and writes."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def release(spark: SparkSession, folders: list[str] | None = None) -> None:
+    """Remove scratch folders: these, or all that the session named.
+
+    For the caller, once the results that were made through them have been written or collected.
+    """
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    for folder in named() if folders is None else folders:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+        _made.remove(folder)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

@@ -8,6 +8,12 @@ Reading: each archive is read by one task, record after record.  A record must p
 complete gzip member or version line, a readable header, ``Content-Length`` bytes, the end mark, and
 the block digest.  After a failed check the reader looks for the next gzip member or version line
 that starts a valid record and goes on from there; the bytes between are one quarantined gap.
+
+A member may hold many records.  A record that fails inside a sound member costs itself alone: the
+reader goes on at the next version line of the inflated bytes, and the gap says where in them it lies.
+Of a member that does not inflate to its end, or whose checksum differs, the records before the damage
+that prove themselves by a block digest are given out; the archive is searched on from the byte where
+the last of them was complete.
 """
 
 from __future__ import annotations
@@ -27,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgelex.llm.common import saved, scratch
+from lodgelex.llm.common import qualified, saved, scratch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -44,6 +50,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 SINGLE = frozenset(["warc-type", "warc-record-id", "warc-date", "content-length"])
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+LINE = re.compile(rb"WARC/1\.[01]\r\n")
+#: Archive bytes that one task of the reader is to read.
+TASK_BYTES = 64 << 20
 
 
 def base32_sha1(data: bytes) -> str:
@@ -90,7 +99,7 @@ def mark_revisits(pages: DataFrame, id_col: str, html_col: str, least_bytes: int
 
     Of rows with equal payloads of at least ``least_bytes``, those with the smallest id are
     responses (ids that repeat are all stored), a row without an id only where no row has one.
-    Payloads are equal when length and SHA-1 are.
+    Payloads are equal when their SHA-1 is.
     """
     raw = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.withColumns(
@@ -121,6 +130,7 @@ def write(
     file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """Write one record per row below ``folder``; the result lists the archives and their records."""
+    folder = qualified(pages.sparkSession, folder)
     needed = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
         F.col(html_col).alias("html"),
@@ -130,7 +140,7 @@ def write(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, path = pafs.FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
+        fs, path = pafs.FileSystem.from_uri(folder)
         fs.create_dir(path, recursive=True)
         name, sink, size, records = "", None, 0, 0
         done: list[tuple[str, int, int]] = []
@@ -171,9 +181,13 @@ class Record:
 
 @dataclass
 class Gap:
+    """Quarantined bytes of the archive; inside a sound member, which bytes of its inflated content."""
+
     start: int
     end: int
     reason: str
+    inner_start: int | None = None
+    inner_end: int | None = None
 
 
 class Damaged(Exception):
@@ -192,7 +206,7 @@ class Salvage:
         lost, reason = None, ""
         while at < size:
             try:
-                found = self._at(at)
+                found, end, failed = self._at(at)
             except Damaged as damage:
                 if lost is None:
                     lost, reason = at, str(damage)
@@ -203,33 +217,85 @@ class Salvage:
                 self.gaps.append(Gap(lost, at, reason))
                 lost = None
             yield from found
-            at = found[-1].end
+            at = end
+            if failed:
+                lost, reason = at, failed
+                nearby = START.search(self.data, at)
+                at = nearby.start() if nearby else size
         if lost is not None:
             self.gaps.append(Gap(lost, size, reason))
 
-    def _at(self, at: int) -> list[Record]:
-        """The records of the gzip member, or the plain record, that begins here."""
-        if self.data.startswith(MEMBER, at):
-            unpack, plain, end = zlib.decompressobj(31), bytearray(), at
+    def _at(self, at: int) -> tuple[list[Record], int, str]:
+        """The records of the gzip member, or the plain record, that begins here; where the bytes
+        that hold them end; and what is wrong with the member, if anything is."""
+        if not self.data.startswith(MEMBER, at):
+            one, end = parse(self.data, at)
+            return [Record(one.kind, one.fields, one.block, at, end)], end, ""
+        plain, end, failed = inflate(self.data, at)
+        found, gaps = [], []
+        inner, lost, why = 0, None, ""
+        while inner < len(plain):
             try:
-                while not unpack.eof and end < len(self.data):
-                    piece = self.data[end : end + STEP]
-                    plain += unpack.decompress(piece)
-                    end += len(piece) - len(unpack.unused_data)
-            except zlib.error as error:
-                raise Damaged(f"member: {error}") from None
-            if not unpack.eof:
-                raise Damaged("member is cut off")
-            plain = bytes(plain)
-            records, inner = [], 0
-            while inner < len(plain):
-                one, inner = parse(plain, inner)
-                records.append(Record(one.kind, one.fields, one.block, at, end))
-            if not records:
-                raise Damaged("empty member")
-            return records
-        one, end = parse(self.data, at)
-        return [Record(one.kind, one.fields, one.block, at, end)]
+                one, after = parse(plain, inner)
+                if failed and "warc-block-digest" not in one.fields:
+                    raise Damaged("no digest in a damaged member")
+            except Damaged as damage:
+                if lost is None:
+                    lost, why = inner, str(damage)
+                nearby = LINE.search(plain, inner + 1)
+                inner = nearby.start() if nearby else len(plain)
+                continue
+            if lost is not None:
+                gaps.append((lost, inner, why))
+                lost = None
+            found.append(one)
+            inner = after
+        if not found:
+            raise Damaged(failed or why or "empty member")
+        if failed:
+            end = reached(self.data, at, found[-1].end)
+        elif lost is not None:
+            gaps.append((lost, len(plain), why))
+        self.gaps += [Gap(at, end, text, first, last) for first, last, text in gaps]
+        return [Record(r.kind, r.fields, r.block, at, end) for r in found], end, failed
+
+
+def inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at this place holds, as far as it inflates, where it ends, and what is
+    wrong with it."""
+    unpack, plain, end = zlib.decompressobj(31), bytearray(), at
+    while not unpack.eof and end < len(data):
+        piece, before = data[end : end + STEP], unpack.copy()
+        try:
+            plain += unpack.decompress(piece)
+        except zlib.error as error:
+            # A failed call gives nothing out: the bytes before the damage come one by one.
+            for i in range(len(piece)):
+                try:
+                    plain += before.decompress(piece[i : i + 1])
+                except zlib.error:
+                    break
+            return bytes(plain), end, f"member: {error}"
+        end += len(piece) - len(unpack.unused_data)
+    return bytes(plain), end, "" if unpack.eof else "member is cut off"
+
+
+def reached(data: bytes, at: int, size: int) -> int:
+    """Where the member at this place has given out ``size`` bytes; it inflates that far."""
+    unpack, got, end = zlib.decompressobj(31), 0, at
+    while got < size and end < len(data):
+        before = unpack.copy()
+        try:
+            made = len(unpack.decompress(data[end : end + STEP]))
+        except zlib.error:
+            made = size
+        if got + made >= size:
+            while got < size and end < len(data):
+                got += len(before.decompress(data[end : end + 1]))
+                end += 1
+            break
+        got, end = got + made, min(end + STEP, len(data))
+    return end
 
 
 def parse(data: bytes, at: int) -> tuple[Record, int]:
@@ -270,53 +336,77 @@ def payload_of(one: Record) -> tuple[int, str, bytes | None]:
     return len(body), base32_sha1(body), body
 
 
-def read(spark: SparkSession, folder: str, archives: list[str] | None = None) -> DataFrame:
-    """Records and gaps of archives below ``folder``.
+SCHEMA = (
+    "archive string, kind string, page_id long, url string, payload_bytes long, payload_digest string, "
+    "refers_to long, payload binary, start long, end long, reason string, inner_start long, "
+    "inner_end long"
+)
+
+
+def read(spark: SparkSession, folder: str, archives: DataFrame | None = None) -> DataFrame:
+    """Records and gaps of archives below ``folder``, of those that ``archives`` lists (archive, bytes).
 
     Columns: archive, kind (response, revisit, gap, or what the record calls itself), page_id, url,
-    payload_bytes, payload_digest, refers_to, payload, start, end, reason.  An archive is read whole
-    by one task, so writers should bound their size.  Damaged bytes are never dropped silently: each
-    gap is a row.
+    payload_bytes, payload_digest, refers_to, payload, start, end, reason; for a gap inside a sound
+    member inner_start and inner_end, its place in the inflated bytes.  An archive is read whole by
+    one task, so writers should bound their size.  Damaged bytes are never dropped silently: each gap
+    is a row.  The list stays a table: its names are dealt over the tasks, which open them.
     """
-    paths = [folder] if archives is None else [f"{folder}/{name}" for name in archives]
-    files = spark.read.format("binaryFile").load(paths)
-    schema = (
-        "archive string, kind string, page_id long, url string, payload_bytes long, "
-        "payload_digest string, refers_to long, payload binary, start long, end long, reason string"
+    if archives is None:
+        files = spark.read.format("binaryFile").load(folder).select("path", "content")
+        return files.mapInArrow(
+            lambda batches: _read((
+                (path.rpartition("/")[2], content.as_buffer().to_pybytes())
+                for batch in batches
+                for path, content in zip(
+                    batch.column("path").to_pylist(), batch.column("content"), strict=True
+                )
+            )),
+            SCHEMA,
+        )
+    place = qualified(spark, folder)
+    total = archives.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+        fs, path = pafs.FileSystem.from_uri(place)
+        for batch in batches:
+            for name in batch.column("archive").to_pylist():
+                with fs.open_input_stream(f"{path}/{name}", compression=None) as source:
+                    content = source.read()
+                yield name, content
+
+    return archives.select("archive").repartition(tasks).mapInArrow(
+        lambda batches: _read(opened(batches)), SCHEMA
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(
-                batch.column("path").to_pylist(), batch.column("content"), strict=True
-            ):
-                salvage = Salvage(content.as_buffer().to_pybytes())
-                name, rows, held = path.rpartition("/")[2], [], 0
-                for one in salvage.records():
-                    size, digest, payload = payload_of(one)
-                    rows.append(
-                        (name, one.kind, page_of(one.fields.get("warc-record-id")),
-                         one.fields.get("warc-target-uri") or None, size, digest,
-                         page_of(one.fields.get("warc-refers-to")), payload, one.start, one.end,
-                         None)
-                    )
-                    held += len(payload or b"") + 200
-                    if held > 8 << 20:
-                        yield _batch(rows)
-                        rows, held = [], 0
-                rows += [(name, "gap", None, None, None, None, None, None, g.start, g.end, g.reason)
-                         for g in salvage.gaps]
-                if rows:
-                    yield _batch(rows)
-
-    return files.select("path", "content").mapInArrow(run, schema)
+
+def _read(archives: Iterator[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
+    for name, content in archives:
+        salvage, rows, held = Salvage(content), [], 0
+        for one in salvage.records():
+            size, digest, payload = payload_of(one)
+            rows.append(
+                (name, one.kind, page_of(one.fields.get("warc-record-id")),
+                 one.fields.get("warc-target-uri") or None, size, digest,
+                 page_of(one.fields.get("warc-refers-to")), payload, one.start, one.end,
+                 None, None, None)
+            )
+            held += len(payload or b"") + 200
+            if held > 8 << 20:
+                yield _batch(rows)
+                rows, held = [], 0
+        rows += [(name, "gap", None, None, None, None, None, None, g.start, g.end, g.reason,
+                  g.inner_start, g.inner_end) for g in salvage.gaps]
+        if rows:
+            yield _batch(rows)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(),
-             pa.binary(), pa.int64(), pa.int64(), pa.string())
+             pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
     names = ("archive", "kind", "page_id", "url", "payload_bytes", "payload_digest", "refers_to",
-             "payload", "start", "end", "reason")
+             "payload", "start", "end", "reason", "inner_start", "inner_end")
     arrays = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names=list(names))
 
@@ -325,13 +415,4 @@ def round_trip(pages: DataFrame, **options) -> DataFrame:
     """Write the pages as archives and read the archives back."""
     spark = pages.sparkSession
     folder = scratch(spark, "warc")
-    archives = [r["archive"] for r in write(pages, folder, **options).select("archive").collect()]
-    return read(spark, folder, archives) if archives else _nothing(spark)
-
-
-def _nothing(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [],
-        "archive string, kind string, page_id long, url string, payload_bytes long, "
-        "payload_digest string, refers_to long, payload binary, start long, end long, reason string",
-    )
+    return read(spark, folder, write(pages, folder, **options))

@@ -3,14 +3,16 @@
 import base64
 import hashlib
 import math
+import os
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodgelex.llm import topk_search, url_filter, warc
+from lodgelex.llm import common, topk_search, url_filter, warc
 from lodgelex.llm.common import scratch
 from lodgelex.llm.queries import URL_RULES
 
@@ -78,15 +80,88 @@ def test_salvage(packed, damage):
         broken[:2] = b"??"
     data = b"".join([*parts[:4], bytes(broken), *parts[5:]])
     if damage == "tail":
-        data, lost = b"".join(parts)[:-9], {11}
+        # Packed, the cut takes the member's trailer only: the record inside passes its own checks.
+        data, lost = b"".join(parts)[:-9], set() if packed else {11}
     salvage = warc.Salvage(data)
     found = [warc.page_of(r.fields["warc-record-id"]) for r in salvage.records()]
     assert found == [i for i in range(12) if i not in lost]
-    assert len(salvage.gaps) == 1 and salvage.gaps[0].end > salvage.gaps[0].start
+    # Nothing of the packed tail is left to quarantine, but the cut is logged.
+    assert len(salvage.gaps) == 1
+    assert salvage.gaps[0].end > salvage.gaps[0].start or (packed and damage == "tail")
     read = sum(r.end - r.start for r in warc.Salvage(data).records())
     assert read + sum(g.end - g.start for g in salvage.gaps) == len(data)
 
 
+def solid(n=6):
+    return [warc.record(i, f"http://x/{i}", random.Random(i).randbytes(30_000 + i)) for i in range(n)]
+
+
+def ids(salvage):
+    return [warc.page_of(r.fields["warc-record-id"]) for r in salvage.records()]
+
+
+def test_member_of_many_records_with_one_damaged():
+    parts = solid()
+    parts[2] = parts[2][:900] + bytes([parts[2][900] ^ 1]) + parts[2][901:]
+    salvage = warc.Salvage(b"junk" + warc.member(b"".join(parts)))
+    assert ids(salvage) == [0, 1, 3, 4, 5]
+    inside, before = sorted(salvage.gaps, key=lambda g: g.inner_start is None)
+    assert (inside.inner_start, inside.inner_end) == (len(parts[0] + parts[1]), len(b"".join(parts[:3])))
+    assert "digest" in inside.reason and (before.start, before.end, before.inner_start) == (0, 4, None)
+
+
+def test_member_of_many_records_with_wrong_checksum():
+    broken = bytearray(warc.member(b"".join(solid())))
+    broken[-6] ^= 0xFF
+    salvage = warc.Salvage(bytes(broken) + warc.member(solid(8)[7]))
+    assert ids(salvage) == [*range(6), 7]
+    assert len(salvage.gaps) == 1 and salvage.gaps[0].end == len(broken)
+
+
+@pytest.mark.parametrize("step", [1 << 14, 700])
+def test_member_of_many_records_cut_or_flipped(monkeypatch, step):
+    monkeypatch.setattr(warc, "STEP", step)
+    whole, after = warc.member(b"".join(solid())), warc.member(solid(8)[7])
+    for at in (50, 20_000, 100_000, len(whole) - 3):
+        cut = warc.Salvage(whole[:at] + after)
+        found = ids(cut)
+        sound = sum(1 for i in range(6) if len(b"".join(solid()[: i + 1])) < at - 60)
+        assert found[-1] == 7 and found[:-1] == list(range(len(found) - 1)) and len(found) > sound
+        assert len(cut.gaps) == 1 and cut.gaps[0].end == at
+        flipped = bytearray(whole)
+        flipped[at] ^= 0x10
+        one = warc.Salvage(bytes(flipped) + after)
+        found = ids(one)
+        assert found[-1] == 7 and found == sorted(set(found)) and len(found) > sound
+        assert one.gaps
+
+
+def test_records_without_digest_in_a_damaged_member_are_quarantined():
+    bare = re.sub(rb"WARC-Block-Digest[^\r]*\r\n", b"", b"".join(solid()))
+    whole = bytearray(warc.member(bare))
+    assert len(ids(warc.Salvage(bytes(whole)))) == 6
+    whole[-6] ^= 0xFF
+    salvage = warc.Salvage(bytes(whole))
+    assert ids(salvage) == [] and [(g.start, g.end) for g in salvage.gaps] == [(0, len(whole))]
+
+
+def test_folder_without_a_scheme(spark):
+    place = scratch(spark, "plain-path").removeprefix("file:")
+    pages = pages_of(spark, ROWS)
+    check_archive(ROWS, warc.read(spark, place, warc.write(pages, place, file_bytes=300)).collect())
+    assert {r["kind"] for r in warc.read(spark, place).collect()} == {"response", "revisit"}
+
+
+def test_scratch_is_named_and_released(spark):
+    held = set(common.named())
+    warc.round_trip(pages_of(spark, ROWS)).collect()
+    made = [f for f in common.named() if f not in held]
+    assert len(made) == 2 and all(os.path.isdir(f.removeprefix("file:")) for f in made)
+    common.release(spark, made)
+    assert not any(os.path.exists(f.removeprefix("file:")) for f in made)
+    assert set(common.named()) == held
+
+
 def test_salvage_of_junk_only():
     for data in (b"", b"nothing", b"WARC/1.1\r\n", b"\x1f\x8b\x08"):
         salvage = warc.Salvage(data)
