@@ -285,7 +285,7 @@ def sketches_allow(n1, n2, sketch1, sketch2, percent: int):
 
 
 def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """Per row: uid, doc_id, n, set_key, prefix_key, prefix and sketches (null for the empty
+    """Per row: uid, doc_id, text_key, n, set_key, prefix_key, prefix and sketches (null for the empty
     set; the wide sketch for large sets only)."""
     width = order.width
     shipped = docs.sparkSession.sparkContext.broadcast(
@@ -294,7 +294,7 @@ def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent:
     base = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("binary").alias("raw"),
-    )
+    ).withColumn("text_key", F.xxhash64("raw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Order([], [], 1, 1, 1.0, width)
@@ -328,17 +328,17 @@ def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent:
                     wide.append(wide_sketch(distinct))
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("uid"), part.column("doc_id"), pa.array(sizes, pa.int64()),
-                     pa.array(sets, pa.binary()), pa.array(groups, pa.binary()),
+                    [part.column("uid"), part.column("doc_id"), part.column("text_key"),
+                     pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(groups, pa.binary()),
                      pa.array(heads, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
                      pa.array(wide, pa.binary())],
-                    names=["uid", "doc_id", "n", "set_key", "prefix_key", "prefix", "sketch", "wide"],
+                    names=["uid", "doc_id", "text_key", "n", "set_key", "prefix_key", "prefix", "sketch", "wide"],
                 )
 
     return base.mapInArrow(
         run,
-        "uid long, doc_id long, n long, set_key binary, prefix_key binary, prefix array<long>, "
-        "sketch array<long>, wide binary",
+        "uid long, doc_id long, text_key long, n long, set_key binary, prefix_key binary, "
+        "prefix array<long>, sketch array<long>, wide binary",
     )
 
 
@@ -402,15 +402,23 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, t
            width: int, percent: int) -> DataFrame:
     """Of the pairs (a, b) of classes those that link, decided on the complete shingle sets."""
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid")))
-    handles = wanted.distinct().join(classes.select("sid", "first_id", "set_key"), "sid")
-    handles = saved(handles, "handles")
+    held = classes.select("sid", "first_id", "text_key", "set_key")
+    handles = saved(wanted.distinct().join(held, "sid"), "handles")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("raw")
+    )
     # Texts that surely are not wanted stay where they are: at most COARSE numbers are broadcast.
-    found = (
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("raw"))
-        .join(F.broadcast(_numbers(handles, "first_id")), _coarse("id") == F.col("number"), "left_semi")
-        .join(handles, F.col("id").eqNullSafe(F.col("first_id")))
-        .select("sid", "set_key", "raw")
+    with_id = rows.where("id is not null").join(
+        F.broadcast(_numbers(handles, "first_id")), _coarse("id") == F.col("number"), "left_semi"
+    ).join(handles, F.col("id") == F.col("first_id")).select("sid", "set_key", "raw")
+    # A class without any id is found by the hash of one of its texts, and copies of it count once.
+    nameless = handles.where("first_id is null")
+    without = (
+        rows.where("id is null").withColumn("hash", F.xxhash64("raw"))
+        .join(nameless, F.col("hash") == F.col("text_key"))
+        .select("sid", "set_key", "raw").distinct()
     )
+    found = with_id.unionByName(without)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Ids may repeat: only the text whose set is the class's goes on."""
@@ -590,7 +598,8 @@ def linked_components(
     rows = saved(prefixes(docs, order, id_col, text_col, percent), "sets")
     classes = saved(
         rows.where("n > 0").groupBy("set_key").agg(
-            F.min("uid").alias("sid"), F.count("*").alias("copies"), F.min("doc_id").alias("first_id")
+            F.min("uid").alias("sid"), F.count("*").alias("copies"), F.min("doc_id").alias("first_id"),
+            F.min(F.when(F.col("doc_id").isNull(), F.col("text_key"))).alias("text_key"),
         ),
         "classes",
     )

@@ -166,6 +166,23 @@ def test_join_near_copies(spark, width, percent):
     assert {r["doc_id"] for r in kept.collect()} == {c for _, _, c in want}
 
 
+def test_join_rows_without_ids(spark):
+    """A third of the rows has no id, copies among them; texts are found by what they hold."""
+    draw = random.Random(12)
+    base = [[draw.choice("abcdefghijklmnop") + str(draw.randint(0, 40)) for _ in range(60)] for _ in range(8)]
+    rows = []
+    for i in range(240):
+        words = list(base[i % 8])
+        words[draw.randrange(60)] = f"x{draw.randint(0, 3)}"
+        rows.append((None if i % 3 == 0 else i, " ".join(words)))
+    rows += [(None, rows[0][1])] * 20 + [(None, "only here " * 9), (None, "only here " * 9), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = ngram_join.linked_components(df, width=3, percent=80)
+    assert Counter(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == (
+        brute_components(rows, 3, 80)
+    )
+
+
 def test_parity_sketch_never_exceeds_the_difference():
     draw = np.random.default_rng(1)
     for _ in range(50):
