@@ -100,5 +100,5 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(entry.oracle_sql()) <= set(entry.queries())
