@@ -35,6 +35,7 @@ from ..operators.topics import (
 )
 from ..operators.weighting import bigram_counts, bigram_tf_idf, total_documents
 from ..sources.tables import load_table, save_table, save_tables, save_topic_model
+from ..sources.versions import Version, publish
 
 BY = ("country",)
 
@@ -168,3 +169,19 @@ def build_tables(
         save_topic_model(fitted[0], folder)
         names.append("topic_model")
     return names
+
+
+def publish_tables(
+    flat: DataFrame,
+    folder: str,
+    country: str,
+    stop: DataFrame,
+    lexicons: Lexicons,
+    k: int = 2,
+) -> Version:
+    """The batch run as one version: panels see all of its tables, or those of the run before."""
+    return publish(
+        flat.sparkSession,
+        folder,
+        lambda version: build_tables(flat, version, country, stop, lexicons, k),
+    )

@@ -37,15 +37,19 @@ def read_listings(
     return loaded.withColumn("price", F.col("price").cast("double"))
 
 
-def _read_json(spark: SparkSession, path: str, key_type: T.DataType) -> DataFrame:
-    """Numbers are read as the text that stands in the file and then cast, with an error for junk."""
+def json_schema() -> T.StructType:
+    """What a JSON line holds: every number as the text that stands in the file."""
     as_text = {"_id", "price", "number_of_reviews", "bedrooms"}
     rating = T.StructType([T.StructField("review_scores_rating", T.StringType())])
     held = {name: T.StringType() for name in as_text} | {"review_scores": rating}
-    stored = T.StructType(
+    return T.StructType(
         [T.StructField(f.name, held.get(f.name, f.dataType)) for f in LISTING_SCHEMA.fields]
     )
-    loaded = spark.read.schema(stored).option("mode", "FAILFAST").json(path)
+
+
+def _read_json(spark: SparkSession, path: str, key_type: T.DataType) -> DataFrame:
+    """Numbers are cast, with an error for junk."""
+    loaded = spark.read.schema(json_schema()).option("mode", "FAILFAST").json(path)
     score = F.col("review_scores.review_scores_rating")
     return loaded.withColumns(
         {
@@ -61,9 +65,14 @@ def _read_json(spark: SparkSession, path: str, key_type: T.DataType) -> DataFram
     )
 
 
+def plain_number(text: Column) -> Column:
+    """The text of a number without currency signs and separators of thousands."""
+    return F.trim(F.regexp_replace(text, "[$,]", ""))
+
+
 def _number(text: Column) -> Column:
     """A number written as text; null stays null, anything else that is no number is an error."""
-    plain = F.trim(F.regexp_replace(text, "[$,]", ""))
+    plain = plain_number(text)
     value = plain.try_cast("double")
     junk = F.raise_error(F.concat(F.lit("not a number: "), plain)).cast("double")
     return F.when(plain.isNotNull() & value.isNull(), junk).otherwise(value)

@@ -33,19 +33,19 @@ def default_stop_words(spark: SparkSession, language: str = "english") -> DataFr
 
 def read_stop_words(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Any table with a ``word`` column; stacked lists with repeated words are fine."""
-    loaded = _load(spark, path, fmt)
+    loaded = load_words(spark, path, fmt)
     return loaded.select(F.col("word").cast("string")).where("word is not null").distinct()
 
 
 def read_score_lexicon(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return _typed(_load(spark, path, fmt), SCORE_LEXICON)
+    return _typed(load_words(spark, path, fmt), SCORE_LEXICON)
 
 
 def read_class_lexicon(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return _typed(_load(spark, path, fmt), CLASS_LEXICON)
+    return _typed(load_words(spark, path, fmt), CLASS_LEXICON)
 
 
-def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+def load_words(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     if fmt == "csv":
         return spark.read.option("header", True).csv(path)
     return spark.read.format(fmt).load(path)

@@ -296,6 +296,16 @@ def _stem_tables() -> str:
     return ",\n".join(tables)
 
 
+FOUND = f"with {LISTING} select document_id, bedrooms, price, room_type from listing where "
+
+#: Folded texts: outside one market e and o have accents, in that market the capital I is dotless.
+FOLDED = LISTING.replace(
+    "doc_id as document_id, text,",
+    "doc_id as document_id, case when lang = 'de' then lower(replace(text, 'I', 'ı')) "
+    "else lower(replace(replace(text, 'e', 'é'), 'o', 'ö')) end as text,",
+)
+
+
 NESTED = (
     f"with {LISTING} select document_id, country, market, text, description, review_scores_rating, "
     "number_of_reviews, bedrooms, price, room_type from listing"
@@ -543,6 +553,38 @@ where place <= 5""",
     "panel_bigrams_from_sums": _PANEL_BIGRAMS,
     "panel_sentiment_from_sums": _PANEL_SENTIMENT,
     "panel_tf_idf_from_sums": PANEL_TF_IDF,
+    "find_by_document": FOUND + "bedrooms = 2 and price > 50",
+    "find_any_of": FOUND + "bedrooms in (0, 3) or price between 100 and 139.99",
+    "find_missing_rating": FOUND + "review_scores_rating is null",
+    "find_none_of": FOUND + "country is distinct from 'de' and country is distinct from 'fr'"
+    " and not starts_with(room_type, 'Private') and coalesce(review_scores_rating, 60) >= 60"
+    " and bedrooms <> 1",
+    "aggregate_by_document": f"with {LISTING} select room_type as _id,"
+    " round(avg(price), 6) as avg_price from listing group by room_type",
+    "aggregate_markets": f"with {LISTING} select country, room_type, count(*) as listings,"
+    " cast(coalesce(sum(number_of_reviews), 0) as bigint) as reviews, min(price) as cheapest,"
+    " max(price) as dearest from listing where price > 50 group by country, room_type"
+    " having count(*) >= 2",
+    "aggregate_leading": f"with {LISTING} select country, count(*) as listings from listing"
+    " group by country order by listings desc, country nulls first limit 3",
+    "aggregate_count": f"with {LISTING} select count(country) as listings from listing",
+    "listings_checked": f"with {LISTING} select document_id, country, market, text,"
+    " review_scores_rating, price, room_type from listing"
+    " where country is distinct from 'de' and room_type <> 'Shared room'",
+    "listings_rejected": f"with {LISTING} select document_id,"
+    " case when country = 'de' then 'malformed' else 'price' end as reason from listing"
+    " where country = 'de' or room_type = 'Shared room'",
+    "lexicon_rejected": _with()
+    + " select distinct word, case when length(word) = 2 then 'no value' else 'value is no int' end"
+    " as reason from token where length(word) = 2 or length(word) > 8",
+    "folded_word_counts": _with().replace(LISTING, FOLDED)
+    + " select country, word, count(*) as n from token group by all",
+    "folded_score_totals": _with().replace(LISTING, FOLDED)
+    + ", folded as (select word, value from afinn union"
+    " select replace(word, 'o', 'ö'), value from afinn)"
+    " select country, cast(sum(value) as bigint) as total_afinn_score, sum(value) > 0 as"
+    " is_positive from token join folded using (word) group by country",
+    "published_tables": _bigram_weights("documents", "country = 'de'"),
     "artifact_round_trip": PANEL_TF_IDF,
     "batch_tables": _bigram_weights("documents", "country = 'de'"),
 }

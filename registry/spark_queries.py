@@ -9,8 +9,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodgelex.functions.folding import fold
 from lodgelex.operators import listings as li
 from lodgelex.operators.counting import count_by, descending
+from lodgelex.operators.documents import aggregate, find
 from lodgelex.operators.identifiers import contiguous_ids
 from lodgelex.operators.segmentation import segmented
 from lodgelex.operators.sentiment import (
@@ -34,6 +36,7 @@ from lodgelex.operators.weighting import bigram_tf_idf, total_documents, word_tf
 from lodgelex.plans import markets, panels, sums
 from lodgelex.plans.params import Params
 from lodgelex.session import shared_folder, spread
+from lodgelex.sources.checked import check_listings, check_score_lexicon
 from lodgelex.sources.listings import listings_from_documents, read_listings
 from lodgelex.sources.samples import (
     sample_afinn,
@@ -41,7 +44,8 @@ from lodgelex.sources.samples import (
     sample_nrc,
     sample_stop_words,
 )
-from lodgelex.sources.tables import load_table, save_table
+from lodgelex.sources.tables import load_table, save_table, save_tables
+from lodgelex.sources.versions import current, publish
 from lodgelex.sources.words import (
     default_stop_words,
     read_class_lexicon,
@@ -173,6 +177,87 @@ def listings_parquet_round_trip(spark, folder):
     return _round_trip(spark, folder, "parquet")
 
 
+#: Query documents over nested listings, by the name of their query.
+FOUND = {
+    "find_by_document": {"bedrooms": 2, "price": {"$gt": 50}},
+    "find_any_of": {"$or": [{"bedrooms": {"$in": [0, 3]}}, {"price": {"$gte": 100, "$lt": 140}}]},
+    "find_missing_rating": {"review_scores.review_scores_rating": None},
+    "find_none_of": {
+        "address.country": {"$nin": ["de", "fr"]}, "$nor": [{"room_type": {"$regex": "^Private"}}],
+        "review_scores.review_scores_rating": {"$not": {"$lt": 60}}, "bedrooms": {"$ne": 1},
+    },
+}
+#: Pipelines of query documents.
+AGGREGATED = {
+    "aggregate_by_document": [
+        {"$group": {"_id": "$room_type", "avg_price": {"$avg": "$price"}}},
+    ],
+    "aggregate_markets": [
+        {"$match": {"price": {"$gt": 50}}},
+        {"$group": {
+            "_id": {"country": "$address.country", "room_type": "$room_type"},
+            "listings": {"$sum": 1}, "reviews": {"$sum": "$number_of_reviews"},
+            "cheapest": {"$min": "$price"}, "dearest": {"$max": "$price"},
+        }},
+        {"$match": {"listings": {"$gte": 2}}},
+    ],
+    "aggregate_leading": [
+        {"$group": {"_id": "$address.country", "listings": {"$sum": 1}}},
+        {"$sort": {"listings": -1, "_id": 1}},
+        {"$limit": 3},
+        {"$project": {"country": "$_id", "listings": 1}},
+    ],
+    "aggregate_count": [
+        {"$match": {"address.country": {"$exists": True}}}, {"$count": "listings"},
+    ],
+}
+
+
+def _found(name):
+    def query(spark, folder):
+        found = find(listings_from_documents(spark, folder), FOUND[name])
+        return found.select(
+            F.col("_id").alias("document_id"), "bedrooms", "price", "room_type"
+        )
+
+    return query
+
+
+def _aggregated(name):
+    def query(spark, folder):
+        result = aggregate(listings_from_documents(spark, folder), AGGREGATED[name])
+        return rounded(result, "avg_price") if "avg_price" in result.columns else result
+
+    return query
+
+
+def _faulty_lines(spark, folder):
+    """The collection as JSON lines, one market's without their end, one room type's without a price."""
+    target = new_folder(spark)
+    whole = listings_from_documents(spark, folder)
+    price = F.when(F.col("room_type") == "Shared room", "on request").otherwise(
+        F.concat(F.lit("$"), F.col("price").cast("string"))
+    )
+    line = F.to_json(F.struct(*whole.withColumn("price", price).columns))
+    cut = F.when(F.col("address.country") == MARKET, F.expr("left(line, length(line) - 1)"))
+    faulty = whole.withColumn("price", price).withColumn("line", line)
+    faulty.select(F.coalesce(cut, "line").alias("value")).write.text(target)
+    return target
+
+
+def listings_checked(spark, folder):
+    checked = check_listings(spark, _faulty_lines(spark, folder))
+    return li.flatten(checked.rows).select(
+        "document_id", "country", "market", "text", li.RATING, "price", "room_type"
+    )
+
+
+def listings_rejected(spark, folder):
+    rejected = check_listings(spark, _faulty_lines(spark, folder)).rejected
+    key = F.regexp_extract("line", r'"_id":(\d+)', 1).cast("long")
+    return rejected.select(key.alias("document_id"), "reason")
+
+
 # Words --------------------------------------------------------------------------------------------
 
 
@@ -239,9 +324,43 @@ def segmented_bigram_top15(spark, folder):
     return markets.top_bigrams(split, sample_stop_words(spark), "tokens")
 
 
+def _decomposed(spark, folder):
+    """The listings with every e and o followed by its accent, one market's in Turkish capitals."""
+    accented = F.replace(F.replace("text", F.lit("e"), F.lit("e\u0301")), F.lit("o"), F.lit("o\u0308"))
+    capitals = F.translate("text", LATIN.replace("i", "") + "i", LATIN.upper().replace("I", "") + "\u0130")
+    text = F.when(F.col("country") == MARKET, capitals).otherwise(accented)
+    return texts(spark, folder).withColumn("text", text)
+
+
+def folded_word_counts(spark, folder):
+    return markets.word_counts(fold(_decomposed(spark, folder), "text", {MARKET: "tr"}), "text")
+
+
+def folded_score_totals(spark, folder):
+    """Scores of folded texts by a lexicon whose words are folded as well."""
+    scores = sample_afinn(spark)
+    accented = scores.withColumn("word", F.replace("word", F.lit("o"), F.lit("o\u0308")))
+    lexicon = fold(scores.unionByName(accented).distinct(), "word")
+    folded = fold(_decomposed(spark, folder), "text", {MARKET: "tr"})
+    return score_totals(words(folded, "text", keep=["country"]), lexicon, weighted=True)
+
+
 # Lexicons -----------------------------------------------------------------------------------------
 
 
+def lexicon_rejected(spark, folder):
+    """Every word of the texts with its length as value; long words have a word for it, two none."""
+    target = new_folder(spark)
+    length = F.length("word")
+    value = F.when(length > 8, "long").when(length != 2, length.cast("string"))
+    listed = words(texts(spark, folder), "text", keep=[]).select("word").distinct()
+    listed.withColumn("value", value).write.json(target, ignoreNullFields=False)
+    rejected = check_score_lexicon(spark, target, "json").rejected
+    return rejected.select(F.get_json_object("line", "$.word").alias("word"), "reason")
+
+
+
+
 def nrc_by_country(spark, folder):
     return class_totals(country_words(spark, folder), sample_nrc(spark))
 
@@ -517,6 +636,25 @@ def batch_tables(spark, folder):
     return rounded(weighted, "tf", "idf", "tf_idf")
 
 
+def published_tables(spark, folder):
+    """Publish two versions of one market's token table and weights; read the one that is current."""
+    target, source = new_folder(spark), texts(spark, folder)
+
+    def written(market):
+        def write(version):
+            slice_ = li.market_slice(source, market)
+            pairs = bigrams(slice_, "text", sample_stop_words(spark))
+            made = {"weights": unite(bigram_tf_idf(pairs)), "documents": total_documents(pairs)}
+            return save_tables(made, version)
+
+        return write
+
+    publish(spark, target, written(PLANTED[1]))
+    publish(spark, target, written(MARKET))
+    weighted = current(spark, target).load(spark, "weights").drop("word1", "word2")
+    return rounded(weighted, "tf", "idf", "tf_idf")
+
+
 #: Saved tables whose rows are counted, and the columns that go into their sums.
 COUNTED = {
     "tokens": "document_id", "market_words": "pos", "market_bing": "n", "market_nrc": "n",
@@ -614,4 +752,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "panel_bigrams_from_sums": panel_bigrams_from_sums,
     "panel_sentiment_from_sums": panel_sentiment_from_sums,
     "panel_tf_idf_from_sums": panel_tf_idf_from_sums,
+    **{name: _found(name) for name in FOUND},
+    **{name: _aggregated(name) for name in AGGREGATED},
+    "listings_checked": listings_checked,
+    "listings_rejected": listings_rejected,
+    "lexicon_rejected": lexicon_rejected,
+    "folded_word_counts": folded_word_counts,
+    "folded_score_totals": folded_score_totals,
+    "published_tables": published_tables,
 }
