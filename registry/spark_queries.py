@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodgelex.functions.folding import fold
+from lodgelex.functions.text import word_tokens
 from lodgelex.operators import listings as li
 from lodgelex.operators.counting import count_by, descending
 from lodgelex.operators.documents import aggregate, find
@@ -568,6 +569,23 @@ def topic_leaders(spark, folder):
     )
 
 
+def topic_panel_labels(spark, folder):
+    """Labels of the panel on the planted topics, with the markets that their leading terms come from;
+    a panel on a market without listings has no label."""
+    planted = texts(spark, folder).where(F.col("country").isin(*PLANTED))
+    initial = F.transform(
+        word_tokens(F.col("text")), lambda w: F.concat_ws("_", "country", F.substring(w, 1, 1))
+    )
+    stop = sample_stop_words(spark)
+    made = planted.withColumn("text", initial)
+    chosen = panels.topic_panel(made, Params(PLANTED), stop, top=LEADERS)
+    nothing = panels.topic_panel(made, Params(("nowhere",)), stop, top=LEADERS)
+    market = F.split("term", "_")[0]
+    return chosen.unionByName(nothing).groupBy("topic_label").agg(
+        F.count(F.lit(1)).alias("terms"), F.count_distinct(market).alias("markets")
+    )
+
+
 # Panels and saved tables --------------------------------------------------------------------------
 
 
@@ -655,30 +673,37 @@ def published_tables(spark, folder):
     return rounded(weighted, "tf", "idf", "tf_idf")
 
 
-#: Saved tables whose rows are counted, and the columns that go into their sums.
+#: The tables that the batch saves, and what goes into the sum of each.
 COUNTED = {
-    "tokens": "document_id", "market_words": "pos", "market_bing": "n", "market_nrc": "n",
-    "market_bigrams": "document_id", "market_bigram_tf_idf": "n",
+    "tokens": "document_id", "listings": "number_of_reviews", "descriptions": "document_id",
+    "market_words": "pos", "market_bing": "n", "market_nrc": "n", "market_polarity": "positive",
+    "market_comparison": "sentiment", "market_bigrams": "document_id", "market_bigram_tf_idf": "n",
     "total_documents": "total_documents", "processed_words": "document_id", "doc_terms": "n",
-    "processed_texts": "document_id",
+    "processed_texts": "document_id", "afinn": "value", "bing": "length(word)",
+    "nrc": "length(word)", "top_terms": "topic",
 }
 
 
 def saved_tables(spark, folder):
-    """Rows of the tables that the batch saves, and the sum of one column of each."""
+    """Everything that the batch publishes: rows of the tables and the sum of one column of each,
+    topics and terms of the model."""
     target = new_folder(spark)
-    markets.build_tables(
+    markets.publish_tables(
         texts(spark, folder), target, MARKET, sample_stop_words(spark), lexicons(spark)
     )
+    version = current(spark, target)
     counted = [
-        load_table(spark, target, name).agg(
+        version.load(spark, name).agg(
             F.lit(name).alias("name"),
             F.count(F.lit(1)).alias("rows"),
-            F.sum(F.col(column).cast("long")).alias("total"),
+            F.sum(F.expr(column).cast("long")).alias("total"),
         )
         for name, column in COUNTED.items()
     ]
-    return reduce(DataFrame.unionByName, counted)
+    model = version.load_topic_model()
+    held = ("topic_model", model.getK(), model.vocabSize())
+    fitted = spark.createDataFrame([held], "name string, rows long, total long")
+    return reduce(DataFrame.unionByName, [*counted, fitted])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -746,6 +771,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_vocabulary": topic_vocabulary,
     "topic_totals": topic_totals,
     "topic_leaders": topic_leaders,
+    "topic_panel_labels": topic_panel_labels,
     "segmented_word_counts": segmented_word_counts,
     "segmented_word_counts_by_join": segmented_word_counts_by_join,
     "segmented_bigram_top15": segmented_bigram_top15,
