@@ -1,10 +1,17 @@
-"""Words of scripts that are written without spaces: a dictionary trie and the best path over a run."""
+"""Words of scripts that are written without spaces: a dictionary trie and the best path over runs.
+
+All runs of a batch are walked and cut at once: what is looked up or added up is an array over them.
+"""
 
 from __future__ import annotations
 
+import itertools
 import sys
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -22,50 +29,188 @@ PARTS = f"[{_CLASS}]+|[^{_CLASS}]+"
 
 #: What a character that no word covers costs beyond the rarest word, in thousandths.
 UNKNOWN = 10_000
+#: Characters that are walked and cut together.
+TOGETHER = 1 << 20
+#: Bits of a character's number.
+SIGN = 21
 
 
-def best_path(run: str, words: Iterable[tuple[int, int, int]], unknown: int) -> list[str]:
-    """The cheapest cut of ``run``; of equally cheap ones the longer last word, from the end on.
+def signs_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of all texts as numbers, one text after another, and the length of each."""
+    lengths = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    whole = "".join(texts.to_pylist())
+    return np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int64), lengths
+
+
+def starts_of(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
+
+
+def spaceless(signs: np.ndarray) -> np.ndarray:
+    """Which characters belong to a script written without spaces."""
+    inside = np.zeros(len(signs), bool)
+    for low, high in SPACELESS_RANGES:
+        inside |= (signs >= low) & (signs <= high)
+    return inside
 
-    ``words`` are (start, length, cost) of dictionary words in the run.  A character may always stand
-    alone at the cost ``unknown``.
+
+def best_cuts(lengths, run, start, size, cost, unknown: int) -> np.ndarray:
+    """Where a piece begins on the cheapest path of every run, as flags over the runs' characters.
+
+    Of equally cheap paths the one with the longer last word, from the end on.  ``run``, ``start``,
+    ``size`` and ``cost`` list the dictionary words found in the runs.  A character may always stand
+    alone at the cost ``unknown``.  One step of the loop is the same place in all runs.
     """
-    ending: list[list[tuple[int, int]]] = [[] for _ in range(len(run) + 1)]
-    for start, length, cost in words:
-        ending[start + length].append((length, cost))
-    cost, back = [0], [0]
-    for end in range(1, len(run) + 1):
-        best, size = cost[end - 1] + unknown, 1
-        for length, own in ending[end]:
-            total = cost[end - length] + own
-            if total < best or (total == best and length > size):
-                best, size = total, length
-        cost.append(best)
-        back.append(size)
-    pieces, end = [], len(run)
-    while end:
-        pieces.append(run[end - back[end] : end])
-        end -= back[end]
-    return pieces[::-1]
+    first = starts_of(lengths + 1)
+    longest = int(lengths.max(initial=0))
+    order = np.argsort(-lengths, kind="stable")
+    reaching = np.searchsorted(-lengths[order], -np.arange(longest + 1), side="right")
+    begun = first[order]
+    by_end = np.argsort(start + size, kind="stable")
+    run, size, cost = run[by_end], size[by_end], cost[by_end]
+    end = (start[by_end] + size).astype(np.int64)
+    bounds = np.searchsorted(end, np.arange(longest + 2))
+    to = first[run] + end
+    # Cost above, size below and turned round: the smallest number is the cheapest and then longest.
+    bits = int(size.max(initial=1) + 1).bit_length()
+    last = (1 << bits) - 1
+    paid = np.zeros(len(first) + int(lengths.sum()), np.int64)
+    best = np.zeros_like(paid)
+    for e in range(1, longest + 1):
+        at = begun[: reaching[e]] + e
+        best[at] = ((paid[at - 1] + unknown) << bits) | (last - 1)
+        own = slice(bounds[e], bounds[e + 1])
+        if own.start < own.stop:
+            total = paid[to[own] - size[own]] + cost[own]
+            np.minimum.at(best, to[own], (total << bits) | (last - size[own]))
+        paid[at] = best[at] >> bits
+    back = last - (best & last)
+    begins = np.zeros(len(paid), bool)
+    at, low = (first + lengths)[lengths > 0], first[lengths > 0]
+    while len(at):
+        at = at - back[at]
+        begins[at] = True
+        inner = at > low
+        at, low = at[inner], low[inner]
+    return np.delete(begins, first + lengths)
+
+
+def best_path(run: str, words: Iterable[tuple[int, int, int]], unknown: int) -> list[str]:
+    """The pieces of one run; ``words`` are (start, length, cost) of the dictionary words in it."""
+    start, size, cost = np.array(list(words), np.int64).reshape(-1, 3).T
+    lengths = np.array([len(run)])
+    begins = np.flatnonzero(best_cuts(lengths, np.zeros_like(start), start, size, cost, unknown))
+    return [run[a:b] for a, b in zip(begins, [*begins[1:], len(run)], strict=True)]
+
+
+def pieces_of(texts: pa.Array, signs: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """Non-empty ``texts``, one after another, cut before every flagged character."""
+    width = 1 + (signs > 0x7F) + (signs > 0x7FF) + (signs > 0xFFFF)
+    places = starts_of(width)[begins]
+    raw = "".join(texts.to_pylist()).encode()
+    offsets = np.append(places, len(raw)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(places), pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw))
 
 
 class Trie:
-    """Dictionary words by their characters; the cost of a word stands under the key ``None``."""
+    """Dictionary words as sorted edges (node, character); the edge at ``i`` leads to node ``i + 1``."""
 
     def __init__(self, words: Iterable[tuple[str, int]]):
-        self.root: dict = {}
+        lowest: dict[str, int] = {}
         for word, cost in words:
-            node = self.root
-            for sign in word:
-                node = node.setdefault(sign, {})
-            node[None] = min(cost, node.get(None, cost))
+            if word:
+                lowest[word] = min(cost, lowest.get(word, cost))
+        signs, lengths = signs_of(pa.array(list(lowest), pa.string()))
+        starts, node = starts_of(lengths), np.zeros(len(lengths), np.int64)
+        levels, nodes = [], 1
+        for depth in range(int(lengths.max(initial=0))):
+            going = np.flatnonzero(lengths > depth)
+            edges = (node[going] << SIGN) | signs[starts[going] + depth]
+            level, which = np.unique(edges, return_inverse=True)
+            node[going] = nodes + which
+            levels.append(level)
+            nodes += len(level)
+        self.edges = np.concatenate(levels) if levels else np.zeros(0, np.int64)
+        self.cost = np.full(nodes, -1, np.int64)
+        self.cost[node] = list(lowest.values())
 
     def found(self, run: str) -> Iterable[tuple[int, int, int]]:
-        for start in range(len(run)):
-            node = self.root
-            for at in range(start, len(run)):
-                node = node.get(run[at])
-                if node is None:
-                    break
-                if None in node:
-                    yield start, at + 1 - start, node[None]
+        """The words of one run by place, size and cost."""
+        signs, _ = signs_of(pa.array([run], pa.string()))
+        columns = self.walk(signs, np.full(len(signs), len(signs)))
+        return list(zip(*(column.tolist() for column in columns), strict=True))
+
+    def walk(self, signs: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Places, sizes and costs of the words in ``signs``; the run at a character goes up to its
+        ``ends``, and a character whose own place is its end is in no run."""
+        at = np.flatnonzero(ends > np.arange(len(signs)))
+        node, depth, out = np.zeros(len(at), np.int64), 0, []
+        while len(at) and len(self.edges):
+            edge = (node << SIGN) | signs[at + depth]
+            place = np.searchsorted(self.edges, edge)
+            known = self.edges[np.minimum(place, len(self.edges) - 1)] == edge
+            at, node, depth = at[known], place[known] + 1, depth + 1
+            cost = self.cost[node]
+            word = cost >= 0
+            out.append((at[word], np.full(int(word.sum()), depth), cost[word]))
+            inner = at + depth < ends[at]
+            at, node = at[inner], node[inner]
+        if not out:
+            return tuple(np.zeros(0, np.int64) for _ in range(3))
+        return tuple(np.concatenate(column) for column in zip(*out, strict=True))
+
+
+def segmented_texts(texts: pa.Array, trie: Trie, unknown: int) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of non-empty ``texts``, one after another, and how many each text has.
+
+    Runs are cut along their best path; what stands between them is one piece.
+    """
+    signs, lengths = signs_of(texts)
+    starts = starts_of(lengths)
+    begins = np.zeros(len(signs), bool)
+    inside = spaceless(signs)
+    begins[1:] = inside[1:] != inside[:-1]
+    begins[starts] = True
+    part = np.flatnonzero(begins)
+    sizes = np.diff(part, append=len(signs))
+    ends = np.where(inside, np.repeat(part + sizes, sizes), np.arange(len(signs)))
+    runs = inside[part]
+    at, size, cost = trie.walk(signs, ends)
+    run = (np.cumsum(runs) - 1)[np.searchsorted(part, at, side="right") - 1]
+    cuts = best_cuts(sizes[runs], run, at - part[runs][run], size, cost, unknown)
+    begins[inside] = cuts
+    return pieces_of(texts, signs, begins), np.add.reduceat(begins.astype(np.int64), starts)
+
+
+def cut_together(texts: pa.Array, trie: Trie, alone: int) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts and how many each has; an empty text is its own piece."""
+    lengths = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    counts = np.ones(len(texts), np.int64)
+    full = np.flatnonzero(lengths)
+    parts = [pa.array([], pa.string())]
+    slices = np.flatnonzero(np.diff(np.cumsum(lengths[full]) // TOGETHER, prepend=0))
+    for a, b in itertools.pairwise([0, *slices, len(full)]):
+        if a < b:
+            own, counts[full[a:b]] = segmented_texts(texts.take(pa.array(full[a:b])), trie, alone)
+            parts.append(own)
+    pieces = pa.concat_arrays(parts)
+    if len(full) == len(texts):
+        return pieces, counts
+    at = np.full(int(counts.sum()), -1)
+    at[np.repeat(lengths > 0, counts)] = np.arange(len(pieces))
+    return pieces.take(pa.array(at, mask=at < 0)).fill_null(""), counts
+
+
+def put_back(tokens: pa.Array, indices: pa.Array, pieces: pa.Array, counts: np.ndarray) -> pa.Array:
+    """``tokens`` with the pieces of the different text at ``indices`` in the place of each token."""
+    if indices.null_count:
+        raise ValueError("a token is null")
+    index = indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    many = counts[index]
+    begin = (np.cumsum(counts) - counts)[index]
+    ends = np.cumsum(many)
+    at = np.arange(int(many.sum())) + np.repeat(begin - (ends - many), many)
+    sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+    offsets = np.append(0, ends)[np.append(0, np.cumsum(sizes))]
+    values = pieces.take(pa.array(at))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pc.is_null(tokens))

@@ -8,19 +8,27 @@ stays a table: the parts of distinct runs are joined with it, and the words foun
 
 from __future__ import annotations
 
-import re
-
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.segmentation import PARTS, RUN, UNKNOWN, Trie, best_path
+from ..functions.segmentation import (
+    PARTS,
+    RUN,
+    UNKNOWN,
+    Trie,
+    best_cuts,
+    cut_together,
+    pieces_of,
+    put_back,
+    signs_of,
+)
 from ..functions.text import tokens_of
 
 #: Dictionary words that go to the tasks.
 DICTIONARY_WORDS = 500_000
-#: Distinct runs that a task remembers.
-REMEMBERED = 50_000
 
 
 def word_costs(dictionary: DataFrame) -> tuple[DataFrame, Column]:
@@ -65,32 +73,16 @@ def segmented(
 
 
 def _by_trie(shared, alone: int):
-    known: dict[str, list[str]] = {}
     tries: list[Trie] = []
 
-    def pieces(part: str) -> list[str]:
-        if part not in known:
-            if len(known) >= REMEMBERED:
-                known.clear()
-            known[part] = best_path(part, tries[0].found(part), alone)
-        return known[part]
-
     @F.arrow_udf("array<string>")
     def cut(tokens: pa.Array) -> pa.Array:
-        run, parts = re.compile(RUN), re.compile(PARTS)
         if not tries:
             tries.append(Trie(shared.value))
-        out = []
-        for row in tokens.to_pylist():
-            if row is not None and any(map(run.search, row)):
-                row = [
-                    piece
-                    for token in row
-                    for part in (parts.findall(token) if run.search(token) else [token])
-                    for piece in (pieces(part) if run.match(part) else [part])
-                ]
-            out.append(row)
-        return pa.array(out, pa.list_(pa.string()))
+        # Every different token of the batch is cut once.
+        coded = pc.list_flatten(tokens).dictionary_encode()
+        pieces, counts = cut_together(coded.dictionary.cast(pa.string()), tries[0], alone)
+        return put_back(tokens, coded.indices, pieces, counts)
 
     return cut
 
@@ -124,9 +116,18 @@ def _by_join(plain: DataFrame, costs: DataFrame, unknown: Column, name: str) ->
 
     @F.arrow_udf("array<string>")
     def cut(run: pa.Array, words: pa.Array, alone: pa.Array) -> pa.Array:
-        rows = zip(run.to_pylist(), words.to_pylist(), alone.to_pylist(), strict=True)
-        out = [best_path(r, [tuple(w.values()) for w in found or []], a) for r, found, a in rows]
-        return pa.array(out, pa.list_(pa.string()))
+        signs, lengths = signs_of(run)
+        sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+        start, size, cost = (
+            column.to_numpy(zero_copy_only=False).astype(np.int64)
+            for column in pc.list_flatten(words).flatten()
+        )
+        which = np.repeat(np.arange(len(run)), sizes)
+        # The cost of an unknown character is one number for the whole dictionary.
+        begins = best_cuts(lengths, which, start, size, cost, alone[0].as_py() if len(alone) else 0)
+        counts = np.add.reduceat(begins.astype(np.int64), np.cumsum(lengths) - lengths) if len(run) else lengths
+        offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pieces_of(run, signs, begins))
 
     pieces = known.select("_run", cut("_run", "_found", "_alone").alias("_pieces"))
     joined = parts.join(pieces, "_run", "left").select(

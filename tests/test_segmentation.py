@@ -1,10 +1,13 @@
 import itertools
+import random
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from lodgelex.functions.segmentation import Trie, best_path
+from lodgelex.functions.segmentation import Trie, best_path, cut_together, put_back
 from lodgelex.operators.counting import count_by
 from lodgelex.operators.segmentation import segmented, word_costs
 from lodgelex.operators.tokens import bigrams, words
@@ -85,3 +88,38 @@ def test_costs_are_shares(spark, dictionary):
     by = {r.word: r.cost for r in costs.collect()}
     assert by["香港"] < by["中環"] == by["站"]
     assert spark.range(1).select(unknown).first()[0] > 10_000
+
+
+def test_the_array_path_equals_the_path_of_each_run():
+    """Runs of one batch, mixed tokens and runs longer than the chunk, cut together and one by one."""
+    signs = "天地玄黄宇宙"
+    draw = random.Random(3)
+    words_ = {"".join(draw.choices(signs, k=draw.randint(1, 4))): draw.randint(0, 60) for _ in range(60)}
+    trie = Trie(words_.items())
+    texts = ["".join(draw.choices(signs, k=draw.randint(1, 30))) for _ in range(300)] + ["", "a天地b玄", "plain", "𠀀é天"]
+    pieces, counts = cut_together(pa.array(texts), trie, 70)
+    got, flat = [], iter(pieces.to_pylist())
+    for n in counts:
+        got.append([next(flat) for _ in range(n)])
+    for text, own in zip(texts, got, strict=True):
+        assert "".join(own) == text
+        if text and set(text) <= set(signs):
+            cost = [0] + [None] * len(text)
+            for end in range(1, len(text) + 1):
+                cost[end] = min(
+                    cost[end - k] + min([70] * (k == 1) + [words_[w]] * (w in words_))
+                    for k in range(1, min(4, end) + 1)
+                    for w in [text[end - k : end]] if k == 1 or w in words_
+                )
+            assert sum(min(words_.get(p, 70), 70) if len(p) == 1 else words_[p] for p in own) == cost[-1]
+    assert got[-4:-1] == [[""], ["a", *best_path("天地", trie.found("天地"), 70), "b", "玄"], ["plain"]]
+
+
+def test_a_token_is_cut_once_however_often_a_batch_holds_it():
+    """Millions of equal tokens take the time of one: the old path looked at each of them."""
+    tokens = pa.array([["天地玄黄"] * 1_000_000, None, []], pa.list_(pa.string()))
+    coded = pc.list_flatten(tokens).dictionary_encode()
+    pieces, counts = cut_together(coded.dictionary, Trie([("天地", 5)]), 50)
+    assert pieces.to_pylist() == ["天地", "玄", "黄"] and counts.tolist() == [3]
+    whole = put_back(tokens, coded.indices, pieces, counts)
+    assert len(whole[0]) == 3_000_000 and whole[1].as_py() is None and whole[2].as_py() == []
