@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.counting import descending, top_with_ties
+from ..operators.counting import count_by, descending, top_with_ties
 from ..operators.graph import bigram_edges
 from ..operators.listings import RATING
 from ..operators.sentiment import card_totals, comparison_rows, method_card
@@ -34,11 +34,11 @@ def rating_steps(counts: DataFrame, by: Sequence[str], measures: Sequence[str])
     the window over it is small whatever the group's texts are.
     """
     group = Window.partitionBy(*by)
-    down = group.orderBy(F.desc(RATING)).rowsBetween(Window.unboundedPreceding, 0)
-    up = group.orderBy(RATING)
+    falling = group.orderBy(F.desc(RATING))  # one sort for both: the next lower rating comes next
+    down = falling.rowsBetween(Window.unboundedPreceding, 0)
     return counts.select(
         *by, F.col(RATING).alias("rating"),
-        F.coalesce(F.lag(RATING).over(up), F.lit(LOWEST)).alias("above"),
+        F.coalesce(F.lead(RATING).over(falling), F.lit(LOWEST)).alias("above"),
         *[F.sum(m).over(down).alias(m) for m in measures],
     )
 
@@ -55,10 +55,9 @@ def prepared(
     keep = ["country", RATING]
     rated = listings.where(F.col(RATING).isNotNull() & F.col("country").isNotNull())
     pairs = bigrams(rated, text, stop, keep=keep)
-    phrases = pairs.groupBy(*keep, "word1", "word2").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("place") == 0).alias("openings")
-    )
-    documents = phrases.groupBy(*keep).agg(F.sum("openings").alias("documents"))
+    phrases = count_by(pairs, *keep, "word1", "word2")
+    # Every listing with a pair has one at place 0: counted from the pairs, no phrase is shuffled.
+    documents = count_by(pairs.where(F.col("place") == 0), *keep, name="documents")
     scores = card_totals(words(rated, text, keep=keep), method_card(bing, nrc, afinn), keep)
     totals = [c for c in scores.columns if c not in keep]
     return {

@@ -54,3 +54,14 @@ def test_rating_steps_add_up_from_above(spark):
     assert rows(sums.rating_steps(counts, ["country"], ["n"]), "above", "rating", "n") == [
         (sums.LOWEST, 20, 7), (20, 50, 6), (50, 90, 4),
     ]
+
+
+def test_prepared_sums_sort_once_and_count_documents_without_phrases(listings, words_of):
+    made = sums.prepared(listings, words_of["stop"], words_of["afinn"], words_of["bing"], words_of["nrc"])
+    planned = {
+        name: made[name]._jdf.queryExecution().executedPlan().toString()
+        for name in (sums.PHRASES, sums.DOCUMENTS)
+    }
+    assert planned[sums.PHRASES].count("Sort [") == 1
+    exchanged = [line for line in planned[sums.DOCUMENTS].splitlines() if "hashpartitioning" in line]
+    assert exchanged and not any("word1" in line for line in exchanged)
