@@ -71,6 +71,9 @@ def top_with_ties(df: DataFrame, by: Sequence[str], measure: str, k: int) -> Dat
         top = known.select(measure).orderBy(order).limit(k)
         leaders = top.withColumn("_place", F.row_number().over(Window.orderBy(order)))
     ranks = leaders.groupBy(*by, measure).agg(F.min("_place").cast("long").alias("rank"))
+    if by:
+        # No leader of any group lies below the lowest of them: the other rows are not dealt out.
+        known = known.where(F.col(measure) >= leaders.agg(F.min(measure)).scalar())
     return _attach(known, ranks, [*by, measure], by)
 
 

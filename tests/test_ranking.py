@@ -101,3 +101,19 @@ def test_many_groups_and_a_hot_one(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_below_every_leader_are_not_dealt_out(spark):
+    """The lowest leader of any group bounds what the lookup of the leaders moves."""
+    from lodgelex.operators.counting import top_with_ties
+
+    counts = spark.range(5000).selectExpr(
+        "cast(id % 3 as string) as g", "id as word", "if(id < 60, 1000 - id div 6, 1) as n"
+    )
+    top = top_with_ties(counts, ["g"], "n", 4)
+    rows_ = top.collect()
+    assert len(rows_) == 12 and min(r.n for r in rows_) == 999
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan
+    empty = top_with_ties(counts.where("n > 5000"), ["g"], "n", 4)
+    assert empty.collect() == []
