@@ -22,6 +22,24 @@ def listed_words(stop: DataFrame, limit: int = LITERAL_WORDS) -> list[str] | Non
     return None if len(rows) > limit else sorted(row.word for row in rows)
 
 
+def dropped_words(listings: DataFrame, text: str, stop: DataFrame) -> list[str] | None:
+    """The words to drop from the texts: a short list whole, of a long one those that do occur.
+
+    A long list is met by the words where they are; what leaves a task are its words that occur, once
+    each, and not the texts.  ``None`` when more than a literal set takes occur.
+    """
+    listed = listed_words(stop)
+    if listed is not None:
+        return listed
+    occurring = words(listings, text, keep=[]).select("word")
+    known = stop.select("word")
+    if fits_broadcast(known):
+        met = occurring.join(F.broadcast(known), "word", "left_semi").distinct()
+    else:
+        met = occurring.distinct().join(known, "word", "left_semi")
+    return listed_words(met)
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """Broadcast a word table if its estimated size allows it, else leave the join to the planner."""
     return F.broadcast(df) if fits_broadcast(df) else df
@@ -61,13 +79,14 @@ def bigrams(
     """Neighbouring words of a listing, neither of them a stop word: ``keep..., place, word1, word2``.
 
     ``place`` numbers the pairs that remain in their listing from 0.  With a short stop list the pairs
-    are filtered inside the row; a list too long for that is anti joined twice, and the pairs of each
-    row are put together again.
+    are filtered inside the row, and so with the words of a long list that occur in the texts; where
+    those are too many as well, the list is anti joined twice, and the pairs of each row are put
+    together again.
     """
     # A projection of its own, since the pairs refer to the tokens several times.
     tokens = listings.select(*keep, tokens_of(listings, text).alias("_tokens"))
     pairs = adjacent_words("_tokens")
-    listed = [] if stop is None else listed_words(stop)
+    listed = [] if stop is None else dropped_words(listings, text, stop)
     if listed is None:
         return clean_pairs(tokens, pairs, stop, keep)
     if listed:

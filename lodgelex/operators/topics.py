@@ -17,7 +17,7 @@ from ..schema import TOPIC_TERMS
 from ..session import shared_folder
 from .counting import top_with_ties
 from .identifiers import contiguous_ids
-from .tokens import KEYS, listed_words, small_side, without_stop_words
+from .tokens import KEYS, dropped_words, small_side, without_stop_words
 
 #: Terms shorter than this are left out of the document-term matrix.
 SHORTEST_TERM = 3
@@ -37,12 +37,13 @@ def processed_documents(
     """One row per document that keeps a word: ``keep..., tokens``, in text order.
 
     ``keep`` must identify the document.  Tokenising, the stop list and the stems all work on the
-    array of one row, so nothing is shuffled.  Only a stop list too long for a literal set takes the
-    tokens apart for an anti join and puts those of each row together again, with the same result.
+    array of one row, so nothing is shuffled.  Only where more stop words occur than a literal set takes
+    are the tokens taken apart for an anti join, and those of each row put together again, with the same
+    result.
     """
     known = listings.where(F.col(text).isNotNull())
     tokens = tokens_of(known, text)
-    listed = [] if stop is None else listed_words(stop)
+    listed = [] if stop is None else dropped_words(known, text, stop)
     if listed is None:
         # A projection of its own: next to a generator the id would count its output.
         numbered = known.withColumn("_row", F.monotonically_increasing_id())

@@ -3,6 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodgelex.operators import tokens as tk
+from lodgelex.operators import topics as tp
 from lodgelex.operators.counting import count_by
 from lodgelex.sources.words import default_stop_words
 
@@ -91,3 +92,15 @@ def test_saved_tokens_are_taken_as_they_are(make):
     saved = flat.withColumn("tokens", F.split(F.lower("text"), " "))
     assert rows(tk.bigrams(saved, "tokens")) == rows(tk.bigrams(flat, "text"))
     assert rows(tk.words(saved, "tokens")) == rows(tk.words(flat, "text"))
+
+
+def test_long_stop_list_shuffles_no_text(spark, make, words_of):
+    """Of a long list only the words that occur leave the tasks, once each."""
+    flat = make({"text": "out of a box to the sea in may"}, {"text": "of of"}, {"text": None})
+    absent = spark.range(tk.LITERAL_WORDS + 1).selectExpr("concat('absent ', id) as word")
+    stop = words_of["stop"].unionByName(absent)
+    assert tk.dropped_words(flat, "text", stop) == ["a", "in", "of", "to"]
+    for made in (tk.bigrams(flat, stop=stop), tp.processed_documents(flat, stop=stop, stem=False)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_row" not in plan and "LeftAnti" not in plan
+    assert rows(tk.bigrams(flat, stop=stop)) == rows(tk.bigrams(flat, stop=words_of["stop"]))
