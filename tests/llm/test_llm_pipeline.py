@@ -102,3 +102,16 @@ def test_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_the_first_stage_reaches_the_token_ids(spark, folder):
+    """The language it fills in stands beside the ids, and texts it rejects have none."""
+    docs = spark.createDataFrame(
+        [(1, "a garden", None, "s", 1), (3, "123 !", "en", "s", 1)]
+        + [(k, f"the house and the garden {k}", "en", "s", 1) for k in range(10, 22)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.identify_language(spark, docs, folder)
+    ids = corpus_pipeline.encode_tokens(spark, kept, folder)
+    assert ids.columns == ["doc_id", *bpe.DIGEST_NAMES, "lang"]
+    assert {r["doc_id"]: r["lang"] for r in ids.collect()} == {
+        k: "en" for k in (1, *range(10, 22))}
