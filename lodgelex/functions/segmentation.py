@@ -31,8 +31,13 @@ PARTS = f"[{_CLASS}]+|[^{_CLASS}]+"
 UNKNOWN = 10_000
 #: Characters that are walked and cut together.
 TOGETHER = 1 << 20
+#: Characters whose places are sieved together.
+SIEVED = 1 << 16
 #: Bits of a character's number.
 SIGN = 21
+#: Bits of the sieve that tells most texts that are no dictionary word, and of one block of it.
+SIEVE_BITS, SIEVE_BLOCK = 1 << 27, 1 << 15
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def signs_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -214,3 +219,91 @@ def put_back(tokens: pa.Array, indices: pa.Array, pieces: pa.Array, counts: np.n
     offsets = np.append(0, ends)[np.append(0, np.cumsum(sizes))]
     values = pieces.take(pa.array(at))
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pc.is_null(tokens))
+
+
+def _spread(sums: np.ndarray) -> np.ndarray:
+    """Numbers below 2^63 that depend on every bit of ``sums``."""
+    mixed = (sums ^ (sums >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(1)).view(np.int64)
+
+
+def marks_of(texts: pa.Array) -> np.ndarray:
+    """A number for every text: its characters as the digits of one long number, spread."""
+    signs, lengths = signs_of(texts)
+    starts, sums = starts_of(lengths), np.zeros(len(lengths), np.uint64)
+    for depth in range(int(lengths.max(initial=0))):
+        going = lengths > depth
+        sums[going] = sums[going] * FACTOR + signs[starts[going] + depth].astype(np.uint64)
+    return _spread(sums)
+
+
+def sieve_of(blocks: Iterable[tuple[int, bytes]]) -> np.ndarray:
+    """The bits of all blocks, eight in a byte."""
+    sieve = np.zeros(SIEVE_BITS // 8, np.uint8)
+    for block, bits in blocks:
+        at = block * (SIEVE_BLOCK // 8)
+        sieve[at : at + SIEVE_BLOCK // 8] = np.frombuffer(bits, np.uint8)
+    return sieve
+
+
+def sieved(signs: np.ndarray, ends: np.ndarray, sieve: np.ndarray, longest: int) -> tuple[np.ndarray, ...]:
+    """Places, sizes and sums of what may be a word: all words of up to ``longest`` characters, and
+    little else.
+
+    The run at a character goes up to its ``ends``; a character whose own place is its end is in none.
+    """
+    at = np.flatnonzero(ends > np.arange(len(signs)))
+    sums, out = np.zeros(len(at), np.uint64), []
+    for depth in range(longest):
+        sums = sums * FACTOR + signs[at + depth].astype(np.uint64)
+        bit = _spread(sums) & (SIEVE_BITS - 1)
+        may = (sieve[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+        out.append((at[may], np.full(int(may.sum()), depth + 1), sums[may]))
+        inner = at + depth + 1 < ends[at]
+        at, sums = at[inner], sums[inner]
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), sums[:0]
+    return tuple(np.concatenate(column) for column in zip(*out, strict=True))
+
+
+def one_of_each(signs: np.ndarray, at: np.ndarray, size: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One place of each different text, and which of them every place holds."""
+    _, first, which = np.unique(sums, return_index=True, return_inverse=True)
+    to = at[first][which]
+    same = size == size[first][which]
+    for depth in range(int(size.max(initial=0))):
+        on = np.flatnonzero((size > depth) & same)
+        same[on] = signs[at[on] + depth] == signs[to[on] + depth]
+    # Sums of different texts that agree: every place counts for itself.
+    return (first, which) if same.all() else (np.arange(len(at)), np.arange(len(at)))
+
+
+def words_held(tokens: pa.Array, sieve: np.ndarray, longest: int) -> pa.Array:
+    """For every row of tokens the different texts in its runs that pass the sieve; null has none."""
+    sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    texts = pc.list_flatten(tokens).cast(pa.string())
+    lengths = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    token_row = np.repeat(np.arange(len(tokens)), sizes)
+    rows, words = [], [pa.array([], pa.string())]
+    slices = np.flatnonzero(np.diff(np.cumsum(lengths) // SIEVED, prepend=0))
+    for a, b in itertools.pairwise([0, *slices, len(texts)]):
+        if a < b:
+            whole, own = "".join(texts.slice(a, b - a).to_pylist()), lengths[a:b]
+            signs = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int64)
+            owner = np.repeat(np.arange(a, b), own)
+            inside = spaceless(signs)
+            change = np.flatnonzero((inside[1:] != inside[:-1]) | (owner[1:] != owner[:-1])) + 1
+            bounds = np.concatenate([[0], change, [len(signs)]]).astype(np.int64)
+            ends = np.repeat(bounds[1:], np.diff(bounds))
+            ends = np.where(inside, ends, np.arange(len(signs)))
+            at, size, sums = sieved(signs, ends, sieve, longest)
+            first, which = one_of_each(signs, at, size, sums)
+            many = max(1, len(first))
+            pair = np.unique(token_row[owner[at]] * many + which)
+            met = [whole[x : x + n] for x, n in zip(at[first].tolist(), size[first].tolist(), strict=True)]
+            rows.append(pair // many)
+            words.append(pa.array(met, pa.string()).take(pa.array(pair % many)))
+    # A row that two slices share may name a word twice, which changes no path.
+    counts = np.bincount(np.concatenate([np.zeros(0, np.int64), *rows]), minlength=len(tokens))
+    offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.concat_arrays(words))

@@ -3,7 +3,7 @@
 The tokeniser leaves a run of ideographs as one token.  Here such runs are cut in dictionary words
 along the cheapest path; tokens of other scripts stay as they are, and so does the rest of a mixed
 token.  A dictionary of checked size goes to the tasks as a trie and nothing is shuffled.  A larger one
-stays a table: the parts of distinct runs are joined with it, and the words found in a run decide it.
+stays a table: the words that a row may hold are joined with it, and those found decide the row's runs.
 """
 
 from __future__ import annotations
@@ -15,15 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.segmentation import (
-    PARTS,
-    RUN,
+    SIEVE_BITS,
+    SIEVE_BLOCK,
     UNKNOWN,
     Trie,
-    best_cuts,
     cut_together,
-    pieces_of,
+    marks_of,
     put_back,
-    signs_of,
+    sieve_of,
+    words_held,
 )
 from ..functions.text import tokens_of
 
@@ -88,59 +88,59 @@ def _by_trie(shared, alone: int):
 
 
 def _by_join(plain: DataFrame, costs: DataFrame, unknown: Column, name: str) -> DataFrame:
-    """Distinct runs, their parts joined with the dictionary, and the runs' words put back in order.
+    """The words that a row may hold, joined with the dictionary, and the row cut by those it does hold.
 
-    A run is looked up once however often it occurs; what meets in one group are the words found in
-    one run, and then the tokens of one row.
+    A sieve of bounded size drops nearly all places where no word begins, in the task that holds the
+    row.  So what is dealt out are the different words of a row, and then the row once; what meets in
+    one group are the words of one row.
     """
-    numbered = plain.withColumn("_row", F.monotonically_increasing_id())
-    parts = numbered.select("_row", F.posexplode(name).alias("_at", "_token")).select(
-        "_row", "_at",
-        F.posexplode(F.regexp_extract_all("_token", F.lit(PARTS), F.lit(0))).alias("_part", "_run"),
-    )
-    runs = parts.where(F.col("_run").rlike(f"^{RUN}")).select("_run").distinct()
-    longest = F.coalesce(costs.agg(F.max(F.length("word")).alias("longest")).scalar(), F.lit(1))
-    places = runs.select(
-        "_run", F.explode(F.sequence(F.lit(1), F.length("_run"))).alias("_from")
-    ).select(
-        "_run", "_from",
-        F.explode(
-            F.sequence(F.lit(1), F.least(longest, F.length("_run") - F.col("_from") + 1))
-        ).alias("_size"),
-    )
-    inside = places.withColumn("word", F.substr("_run", F.col("_from"), F.col("_size")))
-    found = inside.join(costs, "word").groupBy("_run").agg(
-        F.collect_list(F.struct(F.col("_from") - 1, "_size", "cost")).alias("_found")
-    )
-    known = runs.join(found, "_run", "left").withColumn("_alone", unknown)
+    spark = plain.sparkSession
+
+    @F.arrow_udf("long")
+    def mark(words: pa.Array) -> pa.Array:
+        return pa.array(marks_of(words))
+
+    bit = F.pmod(mark("word"), F.lit(SIEVE_BITS))
+    block = F.floor(bit / SIEVE_BLOCK)
+    blocks = costs.select(
+        block.alias("block"), (bit % SIEVE_BLOCK).alias("bit"), F.length("word").alias("size")
+    ).groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"), F.max("size").alias("longest"))
+    # At most SIEVE_BITS bits, however large the dictionary is.
+    filled = blocks.collect()
+    longest = max((row.longest for row in filled), default=0)
+    shared = spark.sparkContext.broadcast([(row.block, bytes(row.bits)) for row in filled])
+    sieve: list[np.ndarray] = []
 
     @F.arrow_udf("array<string>")
-    def cut(run: pa.Array, words: pa.Array, alone: pa.Array) -> pa.Array:
-        signs, lengths = signs_of(run)
-        sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
-        start, size, cost = (
-            column.to_numpy(zero_copy_only=False).astype(np.int64)
-            for column in pc.list_flatten(words).flatten()
-        )
-        which = np.repeat(np.arange(len(run)), sizes)
+    def held(tokens: pa.Array) -> pa.Array:
+        if not sieve:
+            sieve.append(sieve_of(shared.value))
+        return words_held(tokens, sieve[0], longest)
+
+    @F.arrow_udf("array<string>")
+    def cut(tokens: pa.Array, words: pa.Array, costs: pa.Array, alone: pa.Array) -> pa.Array:
+        # A word costs the same in all rows, and one that a row does not hold changes none of its paths.
+        coded = pc.list_flatten(words).dictionary_encode()
+        which, first = np.unique(coded.indices.to_numpy(), return_index=True)
+        price = pc.list_flatten(costs).to_numpy(zero_copy_only=False)[first]
+        trie = Trie(zip(coded.dictionary.take(pa.array(which)).to_pylist(), price.tolist(), strict=True))
+        runs = pc.list_flatten(tokens).dictionary_encode()
         # The cost of an unknown character is one number for the whole dictionary.
-        begins = best_cuts(lengths, which, start, size, cost, alone[0].as_py() if len(alone) else 0)
-        counts = np.add.reduceat(begins.astype(np.int64), np.cumsum(lengths) - lengths) if len(run) else lengths
-        offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
-        return pa.ListArray.from_arrays(offsets, pieces_of(run, signs, begins))
-
-    pieces = known.select("_run", cut("_run", "_found", "_alone").alias("_pieces"))
-    joined = parts.join(pieces, "_run", "left").select(
-        "_row", "_at", "_part", F.coalesce("_pieces", F.array("_run")).alias("_pieces")
-    )
-    ordered = joined.groupBy("_row").agg(
-        F.array_sort(F.collect_list(F.struct("_at", "_part", "_pieces"))).alias("_all")
+        cost = alone[0].as_py() if len(alone) else 0
+        pieces, counts = cut_together(runs.dictionary.cast(pa.string()), trie, cost)
+        return put_back(tokens, runs.indices, pieces, counts)
+
+    numbered = plain.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+        "_tokens", F.filter(name, lambda t: F.length(t) > 0)
     )
-    put_back = ordered.select(
-        F.col("_row").alias("_own"), F.flatten(F.transform("_all", lambda p: p["_pieces"])).alias("_new")
+    met = numbered.select(F.col("_row").alias("_own"), F.explode(held("_tokens")).alias("word"))
+    known = met.join(costs, "word").groupBy("_own").agg(
+        F.collect_list(F.struct("word", "cost")).alias("_found")
     )
-    return (
-        numbered.join(put_back, F.col("_row") == F.col("_own"), "left")
-        .withColumn(name, F.coalesce("_new", name))
-        .drop("_row", "_own", "_new")
+    joined = numbered.join(known, F.col("_row") == F.col("_own"), "left").withColumn("_alone", unknown)
+    found = F.coalesce("_found", F.expr("cast(array() as array<struct<word: string, cost: bigint>>)"))
+    split = joined.withColumns({"_words": found["word"], "_costs": found["cost"]})
+    new = cut("_tokens", "_words", "_costs", "_alone")
+    return split.withColumn(name, F.when(F.size("_tokens") > 0, new).otherwise(F.col(name))).drop(
+        "_row", "_tokens", "_own", "_found", "_alone", "_words", "_costs"
     )

@@ -1,12 +1,14 @@
 import itertools
 import random
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lodgelex.functions import segmentation as functions
 from lodgelex.functions.segmentation import Trie, best_path, cut_together, put_back
 from lodgelex.operators.counting import count_by
 from lodgelex.operators.segmentation import segmented, word_costs
@@ -123,3 +125,34 @@ def test_a_token_is_cut_once_however_often_a_batch_holds_it():
     assert pieces.to_pylist() == ["天地", "玄", "黄"] and counts.tolist() == [3]
     whole = put_back(tokens, coded.indices, pieces, counts)
     assert len(whole[0]) == 3_000_000 and whole[1].as_py() is None and whole[2].as_py() == []
+
+
+def test_what_is_dealt_out_are_words_that_pass_the_sieve(spark, make, dictionary):
+    """Not every place and size of every run: of ten thousand signs without a word nothing is joined."""
+    long = "木" * 10_000
+    frame = segmented(make({"text": long}, {"text": "香港中環香港 地鐵"}), dictionary, limit=0)
+    plan = frame._jdf.queryExecution().toString()
+    assert "sequence(" not in plan and "regexp_extract_all(_token" not in plan
+    got = {r.document_id: r.tokens for r in frame.collect()}
+    assert got == {1: ["木"] * 10_000, 2: ["香港", "中環", "香港", "地鐵"]}
+    none = pa.array([[long], None, [], ["x", "香港"]])
+    bits = np.zeros(functions.SIEVE_BITS // 8, np.uint8)
+    at = functions.marks_of(pa.array(["香港", "x"])) % functions.SIEVE_BITS
+    np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    assert functions.words_held(none, bits, 2).to_pylist() == [[], [], [], ["香港"]]
+
+
+def test_both_plans_cut_alike(spark, make):
+    draw = random.Random(5)
+    signs = "天地玄黄宇宙𠀀"
+    known = [("".join(draw.choices(signs, k=draw.randint(1, 4))), draw.randint(1, 90)) for _ in range(80)]
+    weighted = spark.createDataFrame(known, "word string, n long")
+    frame = make(*[
+        {"text": " ".join("".join(draw.choices(signs + "ab", k=draw.randint(1, 25))) for _ in range(20))}
+        for _ in range(60)
+    ])
+    both = [
+        {r.document_id: r.tokens for r in segmented(frame, weighted, limit=limit).collect()}
+        for limit in (1000, 0)
+    ]
+    assert both[0] == both[1] and len(both[0]) == 60
