@@ -71,6 +71,13 @@ def targets(sources: DataFrame, share: float = 1.5, limit: float = 2.0) -> DataF
     return settled.select("source", "source_size", "weight", target.alias("target"))
 
 
+def drawn(id_col: str, size: Column, content_col: str | None = None, seed: int = SEED) -> Column:
+    """A number between 0 and 1 for every row, from its id, its size and its content."""
+    seen = [F.col(id_col), F.coalesce(size.cast("long"), F.lit(0))]
+    seen += [] if content_col is None else [F.col(content_col)]
+    return (F.xxhash64(*seen, F.lit(seed)).bitwiseAND((1 << 52) - 1) + 0.5) / float(1 << 52)
+
+
 def mix(
     docs: DataFrame,
     weights=cyclic_weights,
@@ -83,6 +90,7 @@ def mix(
     seed: int = SEED,
     content_col: str | None = None,
     carry: tuple[str, ...] = (),
+    draw_col: str | None = None,
 ) -> DataFrame:
     """Per row: doc_id, source, size, source_size, target, taken, and ``carry`` in the struct ``row``.
 
@@ -93,7 +101,8 @@ def mix(
     have size 0 and are taken 0 times.  Keys come from the id, the size and ``content_col``, so
     reruns agree and rows that share an id or have none draw apart where their contents differ;
     equal keys keep the order of (id, size), and rows equal in id, size and content fall on the same
-    side of the cut.
+    side of the cut.  ``draw_col`` holds what ``drawn`` gives, made where the contents were at hand: rows
+    that are joined with their weights then take no content along for the sums of the ranges.
 
     Rows stay where they are: a source's cut is found from the sums of its ranges and the rows of the
     one range in which it lies, and comes back as one row per source.
@@ -101,8 +110,7 @@ def mix(
     size = word_count("text") if size_col is None else F.col(size_col).cast("long")
     quality = F.lit(1.0) if quality_col is None else F.coalesce(quality_col, F.lit(1.0))
     size = F.coalesce(size, F.lit(0))
-    seen = [F.col(id_col), size] + ([] if content_col is None else [F.col(content_col)])
-    draw = (F.xxhash64(*seen, F.lit(seed)).bitwiseAND((1 << 52) - 1) + 0.5) / float(1 << 52)
+    draw = drawn(id_col, size, content_col, seed) if draw_col is None else F.col(draw_col)
     key = -F.log(draw) / quality
     base = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -132,7 +140,7 @@ def mix(
     )
     # Of every source the rows of one range, about a thousandth of them.
     near = base.select("doc_id", "source", "size", "key", "bucket").join(
-        crossing, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))
+        F.broadcast(crossing), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))
     )
     inside = Window.partitionBy("s").orderBy("key", "doc_id", "size")
     middle = F.col("start") + F.sum("size").over(inside) - F.col("size") / 2.0
@@ -145,8 +153,8 @@ def mix(
         (F.col("bucket") == F.col("b")) & (F.struct("key", "doc_id", "size") <= F.col("last"))
     )
     chosen = F.when(F.col("b").isNotNull() & F.coalesce(before, F.lit(False)), F.col("size"))
-    # One row per source; the planner broadcasts it by its size and divides hot sources otherwise.
-    joined = base.join(marks, F.col("source").eqNullSafe(F.col("s")))
+    # One row per source, as in the window that found the targets: no row is dealt out for it.
+    joined = base.join(F.broadcast(marks), F.col("source").eqNullSafe(F.col("s")))
     return joined.select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("epochs") * F.col("size") + F.coalesce(chosen, F.lit(0))).cast("long").alias("taken"),

@@ -8,7 +8,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from lodgelex.llm import bpe, ngram_join
+from lodgelex.llm import bpe, mixing, ngram_join
 from lodgelex.llm.common import saved
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -115,3 +115,24 @@ def test_the_first_stage_reaches_the_token_ids(spark, folder):
     assert ids.columns == ["doc_id", *bpe.DIGEST_NAMES, "lang"]
     assert {r["doc_id"]: r["lang"] for r in ids.collect()} == {
         k: "en" for k in (1, *range(10, 22))}
+
+
+def test_mixing_deals_out_texts_once(spark, folder):
+    """The sums of the ranges take no text along, and the table of one row per source moves no row."""
+    docs = spark.createDataFrame(
+        [(k, f"word {k} " * (1 + k % 7), "en", f"s{k % 3}", 1) for k in range(200)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mixed = corpus_pipeline.mix_sources(spark, docs, folder)
+        plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+        got = Counter(r["doc_id"] for r in mixed.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("strategy=broadcast") >= 2
+    sized = mixing.with_quality(
+        docs.withColumn("size", mixing.word_count("text")),
+        spark.read.parquet(f"{folder}/labels.parquet"), name="weight")
+    plain = mixing.mix(sized, size_col="size", quality_col="weight", content_col="text").collect()
+    assert got == Counter({r["doc_id"]: r["taken"] // r["size"] for r in plain if r["taken"]})
