@@ -22,9 +22,10 @@ from .tokens import KEYS, dropped_words, small_side, without_stop_words
 #: Terms shorter than this are left out of the document-term matrix.
 SHORTEST_TERM = 3
 
-#: Documents in one partition of the vectors.  The layout depends on the documents alone, so a fit
-#: does not depend on the number of cores.
-FIT_ROWS = 20_000
+#: Documents in one partition of the vectors, until there are ``FIT_PARTS`` of them; they then grow up to
+#: ``FIT_MOST``.  The layout depends on the documents alone, so a fit does not depend on the number of
+#: cores.  In every iteration each partition makes a k by terms matrix that is dealt out to be added up.
+FIT_ROWS, FIT_PARTS, FIT_MOST = 2_000, 11, 200_000
 
 
 def processed_documents(
@@ -148,6 +149,11 @@ def term_vectors(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(folder)
 
 
+def fit_parts(documents: int) -> int:
+    """In how many partitions that many documents are laid out."""
+    return max(min(-(-documents // FIT_ROWS), FIT_PARTS), -(-documents // FIT_MOST))
+
+
 def fit_topics(
     docs: DataFrame,
     k: int = 2,
@@ -157,18 +163,21 @@ def fit_topics(
 ) -> tuple[LDAModel, DataFrame] | None:
     """LDA by online variational Bayes and its vocabulary; ``None`` when no document has a term.
 
-    Every iteration draws from all documents at rate 1.  The vectors are written once, since every
-    iteration reads them.  The vocabulary is a table with a fixed order and the vectors have a layout
+    Every iteration draws from all documents at rate 1.  The terms are written once, since vocabulary and
+    vectors read them, and so are the vectors, since every iteration does.  The vocabulary is a table with a fixed order and the vectors have a layout
     that depends on the documents only, so one seed gives one model.  No vocabulary is refused or cut;
     ``min_df`` is the way to say which terms may go.  The model itself keeps its k topic rows on the
     driver and in the tasks, 8 * k bytes a term.
     """
-    terms = long_terms(docs)
+    spark = docs.sparkSession
+    folder = shared_folder(spark, f"lodgelex-topics/{uuid.uuid4().hex}/terms")
+    long_terms(docs).write.parquet(folder)
+    terms = spark.read.schema(long_terms(docs).schema).parquet(folder)
     vocabulary = vocabulary_of(terms, min_df)
     if vocabulary.isEmpty():
         return None
     vectors = term_vectors(terms, vocabulary)
-    parts = -(-vectors.count() // FIT_ROWS)
+    parts = fit_parts(vectors.count())
     laid_out = vectors.repartition(parts, "_order").sortWithinPartitions("_order", "document_id")
     lda = LDA(
         k=k, seed=seed, maxIter=max_iter, optimizer="online", featuresCol="features",

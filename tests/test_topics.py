@@ -176,3 +176,26 @@ def test_rare_terms_go_only_when_asked(make):
     every, common = tp.fit_topics(docs, max_iter=2)[1], tp.fit_topics(docs, min_df=2, max_iter=2)[1]
     assert rows(every, "term") == [("beach",), ("sand",), ("wave",)]
     assert rows(common, "term") == [("beach",)]
+
+
+def test_fit_layout_grows_in_parts_and_then_in_rows():
+    """Few documents are several parts; many are not so many that their matrices outweigh the documents."""
+    assert [tp.fit_parts(n) for n in (1, 2_000, 2_001, 8_000, 460_000, 1_400_000)] == [1, 1, 2, 4, 11, 11]
+    assert tp.fit_parts(6_000_000) == 30
+
+
+def test_terms_are_made_once(spark, make, words_of):
+    """Vocabulary and vectors read one table: the texts are not taken apart for each of them."""
+    taken = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        taken.add(1)
+        return text
+
+    listings = make(*[{"text": f"garden walks {k} terrace"} for k in range(6)])
+    docs = tp.processed_documents(listings.withColumn("text", counted("text")), "text", words_of["stop"])
+    tp.long_terms(docs).write.format("noop").mode("overwrite").save()
+    once = taken.value
+    assert once and tp.fit_topics(docs, max_iter=2) is not None
+    assert taken.value == 2 * once
