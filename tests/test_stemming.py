@@ -1,6 +1,8 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from lodgelex.functions import stemming
 from lodgelex.functions.stemming import letter_shape, measure, porter_stem, stem_tokens
 from lodgelex.operators.topics import word_stems
 
@@ -72,3 +74,17 @@ def test_arrays_across_small_batches(spark):
 def test_vocabulary_table(spark):
     df = spark.createDataFrame([("cats",), ("cats",), ("ties",)], "word string")
     assert sorted(tuple(r) for r in word_stems(df).collect()) == [("cats", "cat"), ("ties", "ti")]
+
+
+def test_a_large_batch_is_stemmed_in_slices(monkeypatch):
+    """A batch of long rows keeps no more beside it than a slice of its tokens, nor words without end."""
+    seen, whole = [], stemming._stem_values
+    monkeypatch.setattr(stemming, "_stem_values", lambda words: seen.append(len(words)) or whole(words))
+    monkeypatch.setattr(stemming, "_seen", [{}, {}])
+    monkeypatch.setattr(stemming, "REMEMBERED", 1000)
+    words = pa.array([f"walking{k % 3000}" if k % 5 else "views" for k in range(3 * stemming.TOGETHER + 5)])
+    got = stemming.stem_slices(words)
+    assert seen == [stemming.TOGETHER] * 3 + [5]
+    assert got.to_pylist() == [stemming.porter_stem(w) for w in words.to_pylist()]
+    assert sum(map(len, stemming._seen)) <= 1000
+    assert stemming.stem_slices(pa.array([], pa.string())).to_pylist() == []
