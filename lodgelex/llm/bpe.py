@@ -29,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgelex.llm.common import bytes_of
+from lodgelex.llm.common import bytes_of, giving_back
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -460,8 +460,10 @@ def encode(
                     texts = part.column("text").to_pylist()
                     arrays = [part.column(n) for n in names]
                     yield results(vocabulary, numbers, arrays, encode_texts(vocabulary, texts))
+                    del part, texts, arrays
+            del batch
 
-    short = base.where(F.length("text") <= chunk).mapInArrow(whole, out)
+    short = base.where(F.length("text") <= chunk).mapInArrow(giving_back(whole), out)
     long = base.where(F.length("text") > chunk).withColumn("uid", F.monotonically_increasing_id())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -515,9 +517,9 @@ def encode(
         return pa.Table.from_batches([table_of(arrays, [digest.result()], ids and [np.concatenate(ids)])])
 
     chunk_ddl = f"{kept_ddl}, uid long, start long, last boolean, part string"
-    chunks = long.mapInArrow(cut, chunk_ddl).repartition(F.col("uid"), F.col("start"))
+    chunks = long.mapInArrow(giving_back(cut), chunk_ddl).repartition(F.col("uid"), F.col("start"))
     stitched = (
-        chunks.mapInArrow(split_chunks, f"{chunk_ddl}, starts binary")
+        chunks.mapInArrow(giving_back(split_chunks), f"{chunk_ddl}, starts binary")
         .groupBy("uid")
         .applyInArrow(join_chunks, out)
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +99,31 @@ def thinned(rows: DataFrame, by: str, draw: str, per_group: int, most: int) -> t
     return few.drop("__group", "__share"), take
 
 
+def giving_back(run: Callable) -> Callable:
+    """``run`` over Arrow batches; before each further one the worker gives back what its Arrow pool no
+    longer uses, and at the end also what the C library holds for freed Python objects.
+
+    Workers are kept for later tasks and stages, and would hold on to the most they ever needed.
+    """
+
+    def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = pa.default_memory_pool()
+        for batch in batches:
+            yield batch
+            del batch
+            pool.release_unused()
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(freed(batches))
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # only where the library has it
+                trim(0)
+
+    return wrapped
+
+
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column and the offsets of its rows, without copies."""
     if isinstance(column, pa.ChunkedArray):

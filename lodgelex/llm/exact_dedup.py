@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgelex.llm.common import saved, scratch
+from lodgelex.llm.common import giving_back, saved, scratch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -310,7 +310,7 @@ def resolved_windows(
     extra = [T.StructField("digest", T.BinaryType()), T.StructField("rep_uid", T.LongType()),
              T.StructField("n_local", T.LongType())]
     run = _windows(window_bytes, text_col if whole_rows else None)
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, *extra]))
+    return source.mapInArrow(giving_back(run), T.StructType([*source.schema.fields, *extra]))
 
 
 def deduplicate(
@@ -330,7 +330,7 @@ def deduplicate(
     staged = saved(resolved_windows(docs, id_col, text_col, window_bytes), "dedup-rows")
     reps = _representatives(staged, "content").repartition(F.col("digest"))
     verdicts = reps.mapInArrow(
-        lambda batches: grace(_records(batches), folder, table_bytes),
+        giving_back(lambda batches: grace(_records(batches), folder, table_bytes)),
         "rep_uid long, keep_id long, keep_uid long, group_size long",
     )
     return staged.drop("content", "n_local").join(verdicts, "rep_uid").select(
@@ -368,4 +368,4 @@ def survivors(
             kind = first.schema.field("row").type
             yield from grace(records, folder, table_bytes, row_type=kind)
 
-    return reps.mapInArrow(run, T.StructType([reps.schema["row"]])).select("row.*")
+    return reps.mapInArrow(giving_back(run), T.StructType([reps.schema["row"]])).select("row.*")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodgelex.llm.common import bytes_of, crc_mod, thinned
+from lodgelex.llm.common import bytes_of, crc_mod, giving_back, thinned
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -309,7 +309,7 @@ def identify(
                     names=[*names, "lang_pred", "score"],
                 )
 
-    return base.mapInArrow(score, f"{ddl}, lang_pred string, score double")
+    return base.mapInArrow(giving_back(score), f"{ddl}, lang_pred string, score double")
 
 
 def predicted(model: Model | None, column: pa.Array) -> tuple[pa.Array, pa.Array]:

@@ -31,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgelex.llm.common import bytes_of, saved
+from lodgelex.llm.common import bytes_of, giving_back, saved
 from lodgelex.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -225,7 +225,7 @@ def count_frequent(
         )
 
     reported = docs.select(F.col(text_col).cast("binary").alias("raw")).mapInArrow(
-        run, "kind int, code long, n long"
+        giving_back(run), "kind int, code long, n long"
     )
     counted = saved(reported.groupBy("kind", "code").agg(F.sum("n").alias("n")), "frequent")
     totals = {r["kind"]: r["n"] for r in counted.where("kind < 2").collect()}
@@ -336,7 +336,7 @@ def prefixes(docs: DataFrame, order: Order, id_col: str, text_col: str, percent:
                 )
 
     return base.mapInArrow(
-        run,
+        giving_back(run),
         "uid long, doc_id long, text_key long, n long, set_key binary, prefix_key binary, "
         "prefix array<long>, sketch array<long>, wide binary",
     )
@@ -394,7 +394,7 @@ def stars(index: DataFrame, percent: int) -> DataFrame:
         index.select("token", "gid", "n", "pos", "weight")
         .repartition(F.col("token"))
         .sortWithinPartitions("token", F.desc("weight"), "gid", "pos")
-        .mapInArrow(run, "a long, b long, token long, n long, pos long")
+        .mapInArrow(giving_back(run), "a long, b long, token long, n long, pos long")
     )
 
 
@@ -432,7 +432,7 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, t
             out = batch.filter(pa.array(right))
             yield pa.RecordBatch.from_arrays([out.column("sid"), out.column("raw")], names=["sid", "raw"])
 
-    texts = saved(found.mapInArrow(check, "sid long, raw binary"), "candidates")
+    texts = saved(found.mapInArrow(giving_back(check), "sid long, raw binary"), "candidates")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -464,7 +464,7 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, t
     right = texts.select(F.col("sid").alias("b"), F.col("raw").alias("raw_b"))
     left = texts.select(F.col("sid").alias("a"), F.col("raw").alias("raw_a"))
     together = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "raw_a", "raw_b")
-    return together.mapInArrow(compare, "a long, b long")
+    return together.mapInArrow(giving_back(compare), "a long, b long")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -516,7 +516,7 @@ def plausible(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
     )
     compared = both.where(large).join(wa, "a").join(wb, "b").select("a", "b", "na", "nb", "wa", "wb")
     return both.where(~large).select("a", "b").unionByName(
-        compared.mapInArrow(check, "a long, b long")
+        compared.mapInArrow(giving_back(check), "a long, b long")
     )
 
 
