@@ -52,6 +52,18 @@ def outside(word: Column, words: Iterable[str]) -> Column:
     return ~word.isin(listed) if listed else F.lit(True)
 
 
+def clean_starts(tokens: str, dropped: Iterable[str]) -> Column:
+    """The indexes of tokens that start a pair of neighbours, neither of them in ``dropped``."""
+    words, listed = F.col(tokens), list(dropped)
+    every = F.sequence(F.lit(0), F.greatest(F.size(words) - 2, F.lit(0)))
+    if listed:
+        every = F.filter(
+            every,
+            lambda i: outside(F.get(words, i), listed) & outside(F.get(words, i + 1), listed),
+        )
+    return F.when(F.size(words) > 1, every).otherwise(F.array().cast("array<int>"))
+
+
 def run_starts(words: Column) -> Column:
     """The indexes at which the value of a sorted, non-empty array changes."""
     return F.filter(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import adjacent_words, outside, tokens_of
+from ..functions.text import adjacent_words, clean_starts, tokens_of
 from ..session import LITERAL_WORDS, fits_broadcast
 
 KEYS = ("document_id", "country")
@@ -85,16 +85,18 @@ def bigrams(
     """
     # A projection of its own, since the pairs refer to the tokens several times.
     tokens = listings.select(*keep, tokens_of(listings, text).alias("_tokens"))
-    pairs = adjacent_words("_tokens")
     listed = [] if stop is None else dropped_words(listings, text, stop)
     if listed is None:
-        return clean_pairs(tokens, pairs, stop, keep)
-    if listed:
-        pairs = F.filter(
-            pairs, lambda p: outside(p["word1"], listed) & outside(p["word2"], listed)
-        )
-    return tokens.select(*keep, F.posexplode(pairs).alias("place", "_pair")).select(
-        *keep, "place", "_pair.word1", "_pair.word2"
+        return clean_pairs(tokens, adjacent_words("_tokens"), stop, keep)
+    # A pair is the index of its first word, and the words are looked up in the row's one array.  The
+    # lambda stays out of the generator, which is then compiled together with what counts the pairs.
+    placed = tokens.withColumn("_starts", clean_starts("_tokens", listed))
+    starts = F.slice("_starts", F.lit(1), F.size("_starts"))
+    return placed.select(*keep, "_tokens", F.posexplode(starts).alias("place", "_at")).select(
+        *keep,
+        "place",
+        F.get("_tokens", F.col("_at")).alias("word1"),
+        F.get("_tokens", F.col("_at") + 1).alias("word2"),
     )
 
 

@@ -86,6 +86,12 @@ def test_counts_are_shuffled_once(spark, name):
     assert "ReusedExchange" in executed(spark, name)
 
 
+@pytest.mark.parametrize("name", ["bigram_tf_idf", "bigram_tf_idf_pinned_market"])
+def test_pairs_come_out_of_the_compiled_stage_that_counts_them(spark, name):
+    plan = executed(spark, name)
+    assert plan.count("Generate posexplode") == len(re.findall(r"\*\(\d+\) Generate posexplode", plan))
+
+
 def test_market_filter_reaches_the_scan(spark):
     assert "EqualTo(lang,de)" in planned(spark, "word_tf_idf_one_country")
     assert "In(lang, [de,en])" in planned(spark, "panel_map").replace("[en,de]", "[de,en]")

@@ -104,3 +104,21 @@ def test_long_stop_list_shuffles_no_text(spark, make, words_of):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(_row" not in plan and "LeftAnti" not in plan
     assert rows(tk.bigrams(flat, stop=stop)) == rows(tk.bigrams(flat, stop=words_of["stop"]))
+
+
+def test_places_number_what_remains_of_each_row(spark):
+    saved = spark.createDataFrame(
+        [
+            (1, "x", ["of", "a", "sea", "view", "to", "old", "sea", "view"]), (2, "x", ["sea"]),
+            (3, None, []), (4, "x", None), (5, "x", ["of", "to"]), (5, "x", ["b", None, "c", "d"]),
+        ],
+        "document_id long, country string, tokens array<string>",
+    )
+    stop = spark.createDataFrame([("of",), ("to",), ("a",)], "word string")
+    clean = tk.bigrams(saved, "tokens", stop)
+    assert clean.columns == ["document_id", "country", "place", "word1", "word2"]
+    assert rows(clean) == [
+        (1, "x", 0, "sea", "view"), (1, "x", 1, "old", "sea"), (1, "x", 2, "sea", "view"),
+        (5, "x", 0, "c", "d"),
+    ]
+    assert tk.bigrams(saved, "tokens").where("document_id = 5").count() == 4
