@@ -15,6 +15,20 @@ def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def round_half_up(value: str, digits: int = 6) -> Column:
+    """``round(value, digits)`` of a double column, to the last bit.
+
+    ``round`` writes every double as a decimal text.  Where the scaled value is clearly off the middle of
+    two whole numbers, the nearer one is the same result: it is exact, and so is dividing it back to the
+    nearest double.  Ties, huge values, infinities and NaN take ``round`` itself.
+    """
+    scaled = F.col(value) * F.lit(float(10**digits))
+    nearest = F.rint(scaled)
+    clear = (F.abs(scaled) < 1e12) & (F.abs(scaled - nearest) < 0.499)
+    plain = (nearest + F.lit(0.0)) / F.lit(float(10**digits))  # no negative zero
+    return F.when(clear, plain).otherwise(F.round(value, digits))
+
+
 def descending(df: DataFrame, measure: str, *then: str) -> DataFrame:
     """Presentation order: the measure downwards, ties by the columns in ``then``."""
     return df.orderBy(F.desc(measure), *then)

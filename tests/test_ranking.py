@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lodgelex.operators.counting import (
     descending,
     per_group,
+    round_half_up,
     top_with_ties,
     value_frequency,
 )
@@ -117,3 +118,14 @@ def test_rows_below_every_leader_are_not_dealt_out(spark):
     assert "scalar-subquery" in plan
     empty = top_with_ties(counts.where("n > 5000"), ["g"], "n", 4)
     assert empty.collect() == []
+
+
+def test_rounding_is_that_of_round_to_the_last_bit(spark):
+    odd = [0.0, -0.0, 1e-7, -1e-7, 5e-7, -5e-7, 1.5e-6, 1.0000005, -2.5e-6, 999999.9999995, 1e300]
+    odd += [float("nan"), float("inf"), float("-inf"), None, 123456789.1234565]
+    values = spark.createDataFrame([(v,) for v in odd], "x double").unionByName(
+        spark.range(50_000).selectExpr("ln((id % 760 + 1) / (id % 151 + 1)) * (id % 151 + 1) / 760 as x")
+    ).unionByName(spark.range(50_000).selectExpr("(id - 25000) / 2e6 as x"))
+    both = values.select("x", F.round("x", 6).alias("a"), round_half_up("x").alias("b"))
+    # As texts, since 0.0 equals -0.0.
+    assert both.where(~F.expr("cast(a as string) <=> cast(b as string)")).collect() == []
