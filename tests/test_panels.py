@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from lodgelex.operators.graph import bigram_edges, bigram_nodes
 from lodgelex.operators.topics import fit_topics, processed_documents, topic_term_beta
@@ -129,3 +130,12 @@ def test_batch_run_saves_what_the_reports_give(spark, flat, words_of, tmp_path):
         saved = tables.load_table(spark, str(tmp_path), name).select(*table.columns)
         assert sorted(map(str, saved.collect())) == sorted(map(str, table.collect())), name
     assert tables.load_topic_model(str(tmp_path)).describeTopics(1).count() == 2
+
+
+def test_one_saved_file_is_read_by_many_tasks(spark, tmp_path):
+    numbers = spark.range(2_000_000).select(F.xxhash64("id").alias("id")).coalesce(1)
+    tables.save_table(numbers, str(tmp_path), "numbers")
+    loaded = tables.load_table(spark, str(tmp_path), "numbers")
+    held = loaded.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in held) == 2_000_000
+    assert len(held) > 2 and max(r["count"] for r in held) < 1_000_000
