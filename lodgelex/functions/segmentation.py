@@ -33,6 +33,8 @@ UNKNOWN = 10_000
 TOGETHER = 1 << 20
 #: Characters whose places are sieved together.
 SIEVED = 1 << 16
+#: Characters of the rows that are packed together.
+PACKED = 1 << 21
 #: Bits of a character's number.
 SIGN = 21
 #: Bits of the sieve that tells most texts that are no dictionary word, and of one block of it.
@@ -221,6 +223,13 @@ def put_back(tokens: pa.Array, indices: pa.Array, pieces: pa.Array, counts: np.n
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pc.is_null(tokens))
 
 
+def cut_rows(tokens: pa.Array, trie: Trie, alone: int) -> pa.Array:
+    """The pieces of every row of tokens; each different token is cut once."""
+    coded = pc.list_flatten(tokens).dictionary_encode()
+    pieces, counts = cut_together(coded.dictionary.cast(pa.string()), trie, alone)
+    return put_back(tokens, coded.indices, pieces, counts)
+
+
 def _spread(sums: np.ndarray) -> np.ndarray:
     """Numbers below 2^63 that depend on every bit of ``sums``."""
     mixed = (sums ^ (sums >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -307,3 +316,36 @@ def words_held(tokens: pa.Array, sieve: np.ndarray, longest: int) -> pa.Array:
     counts = np.bincount(np.concatenate([np.zeros(0, np.int64), *rows]), minlength=len(tokens))
     offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
     return pa.ListArray.from_arrays(offsets, pa.concat_arrays(words))
+
+
+def different_words(tokens: pa.Array, sieve: np.ndarray, longest: int) -> pa.Array:
+    """The different texts in the runs of all rows that pass the sieve."""
+    texts = pc.unique(pc.list_flatten(tokens)).cast(pa.string())
+    whole = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts)
+    return pc.unique(pc.list_flatten(words_held(whole, sieve, longest)))
+
+
+def packs_of(rows: pa.RecordBatch, name: str) -> Iterable[pa.RecordBatch]:
+    """``rows`` in slices of about ``PACKED`` characters of the tokens in the column ``name``."""
+    tokens = rows.column(name)
+    sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = pc.utf8_length(pc.list_flatten(tokens)).to_numpy(zero_copy_only=False).astype(np.int64)
+    so_far = np.append(0, np.cumsum(lengths))[np.cumsum(sizes)]
+    slices = np.flatnonzero(np.diff(so_far // PACKED, prepend=0))
+    for a, b in itertools.pairwise([0, *slices, len(rows)]):
+        if a < b:
+            yield rows.slice(a, b - a)
+
+
+def packed(rows: pa.RecordBatch) -> bytes:
+    """``rows`` in Arrow's own form, each of its buffers compressed."""
+    out = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(out, rows.schema, options=options) as stream:
+        stream.write_batch(rows)
+    return out.getvalue().to_pybytes()
+
+
+def unpacked(raw: pa.Buffer) -> pa.Table:
+    with pa.ipc.open_stream(raw) as stream:
+        return stream.read_all()

@@ -3,14 +3,17 @@
 The tokeniser leaves a run of ideographs as one token.  Here such runs are cut in dictionary words
 along the cheapest path; tokens of other scripts stay as they are, and so does the rest of a mixed
 token.  A dictionary of checked size goes to the tasks as a trie and nothing is shuffled.  A larger one
-stays a table: the words that a row may hold are joined with it, and those found decide the row's runs.
+stays a table: the words that a pack of rows may hold are joined with it, and those found decide the runs
+of its rows.
 """
 
 from __future__ import annotations
 
-import numpy as np
+import itertools
+
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +22,13 @@ from ..functions.segmentation import (
     SIEVE_BLOCK,
     UNKNOWN,
     Trie,
-    cut_together,
+    cut_rows,
+    different_words,
     marks_of,
-    put_back,
+    packed,
+    packs_of,
     sieve_of,
-    words_held,
+    unpacked,
 )
 from ..functions.text import tokens_of
 
@@ -79,20 +84,17 @@ def _by_trie(shared, alone: int):
     def cut(tokens: pa.Array) -> pa.Array:
         if not tries:
             tries.append(Trie(shared.value))
-        # Every different token of the batch is cut once.
-        coded = pc.list_flatten(tokens).dictionary_encode()
-        pieces, counts = cut_together(coded.dictionary.cast(pa.string()), tries[0], alone)
-        return put_back(tokens, coded.indices, pieces, counts)
+        return cut_rows(tokens, tries[0], alone)
 
     return cut
 
 
 def _by_join(plain: DataFrame, costs: DataFrame, unknown: Column, name: str) -> DataFrame:
-    """The words that a row may hold, joined with the dictionary, and the row cut by those it does hold.
+    """The words that a pack of rows may hold, joined with the dictionary, and its rows cut by them.
 
-    A sieve of bounded size drops nearly all places where no word begins, in the task that holds the
-    row.  So what is dealt out are the different words of a row, and then the row once; what meets in
-    one group are the words of one row.
+    A task packs its rows, compressed and bounded in size.  A sieve of bounded size drops nearly all
+    places where no word begins.  So what is dealt out are the different words of a pack, each once
+    however many of its rows hold it, and the pack; what meets in one group are the words of one pack.
     """
     spark = plain.sparkSession
 
@@ -109,38 +111,39 @@ def _by_join(plain: DataFrame, costs: DataFrame, unknown: Column, name: str) ->
     filled = blocks.collect()
     longest = max((row.longest for row in filled), default=0)
     shared = spark.sparkContext.broadcast([(row.block, bytes(row.bits)) for row in filled])
-    sieve: list[np.ndarray] = []
-
-    @F.arrow_udf("array<string>")
-    def held(tokens: pa.Array) -> pa.Array:
-        if not sieve:
-            sieve.append(sieve_of(shared.value))
-        return words_held(tokens, sieve[0], longest)
-
-    @F.arrow_udf("array<string>")
-    def cut(tokens: pa.Array, words: pa.Array, costs: pa.Array, alone: pa.Array) -> pa.Array:
-        # A word costs the same in all rows, and one that a row does not hold changes none of its paths.
-        coded = pc.list_flatten(words).dictionary_encode()
-        which, first = np.unique(coded.indices.to_numpy(), return_index=True)
-        price = pc.list_flatten(costs).to_numpy(zero_copy_only=False)[first]
-        trie = Trie(zip(coded.dictionary.take(pa.array(which)).to_pylist(), price.tolist(), strict=True))
-        runs = pc.list_flatten(tokens).dictionary_encode()
-        # The cost of an unknown character is one number for the whole dictionary.
-        cost = alone[0].as_py() if len(alone) else 0
-        pieces, counts = cut_together(runs.dictionary.cast(pa.string()), trie, cost)
-        return put_back(tokens, runs.indices, pieces, counts)
-
-    numbered = plain.withColumn("_row", F.monotonically_increasing_id()).withColumn(
-        "_tokens", F.filter(name, lambda t: F.length(t) > 0)
-    )
-    met = numbered.select(F.col("_row").alias("_own"), F.explode(held("_tokens")).alias("word"))
-    known = met.join(costs, "word").groupBy("_own").agg(
-        F.collect_list(F.struct("word", "cost")).alias("_found")
-    )
-    joined = numbered.join(known, F.col("_row") == F.col("_own"), "left").withColumn("_alone", unknown)
-    found = F.coalesce("_found", F.expr("cast(array() as array<struct<word: string, cost: bigint>>)"))
-    split = joined.withColumns({"_words": found["word"], "_costs": found["cost"]})
-    new = cut("_tokens", "_words", "_costs", "_alone")
-    return split.withColumn(name, F.when(F.size("_tokens") > 0, new).otherwise(F.col(name))).drop(
-        "_row", "_tokens", "_own", "_found", "_alone", "_words", "_costs"
-    )
+    # The cost of an unknown character is one number for the whole dictionary.
+    (alone,) = spark.range(1).select(unknown).first()
+
+    def deal(batches):
+        sieve, task, turn = sieve_of(shared.value), TaskContext.get().partitionId(), itertools.count()
+        for batch in batches:
+            for rows in packs_of(batch, "_kept"):
+                words = different_words(rows.column("_kept"), sieve, longest)
+                # The pack goes last, under a key of its own that no other pack shares.
+                own = (task << 33) | next(turn)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([own] * (len(words) + 1), pa.int64()),
+                        pa.concat_arrays([words, pa.array([f"\0{own}"])]),
+                        pa.array([None] * len(words) + [packed(rows)], pa.binary()),
+                    ],
+                    names=["_pack", "word", "_rows"],
+                )
+
+    def cut(pack: pa.Table) -> pa.Table:
+        found = pack.filter(pc.is_null(pack["_rows"]))
+        # A word that a row does not hold changes none of its paths.
+        trie = Trie(zip(found["word"].to_pylist(), found["cost"].to_pylist(), strict=True))
+        rows = unpacked(pack["_rows"].drop_null()[0].as_buffer())
+        tokens = cut_rows(rows["_kept"].combine_chunks(), trie, alone)
+        return rows.set_column(rows.column_names.index("_kept"), "_kept", tokens)
+
+    kept = plain.withColumn("_kept", F.filter(name, lambda t: F.length(t) > 0))
+    full = kept.withColumn("_kept", F.when(F.size("_kept") > 0, F.col("_kept")))
+    # Rows without a token that could be cut stay as they are; those of the others are made anew.
+    rows = full.withColumn(name, F.when(F.col("_kept").isNull(), F.col(name)))
+    dealt = rows.mapInArrow(deal, "_pack long, word string, _rows binary")
+    met = dealt.join(costs, "word", "left").where("_rows is not null or cost is not null")
+    made = rows.withColumn("_kept", F.lit(None).cast("array<string>")).schema
+    new = met.groupBy("_pack").applyInArrow(cut, made)
+    return new.withColumn(name, F.coalesce("_kept", name)).drop("_kept")

@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -156,3 +157,55 @@ def test_both_plans_cut_alike(spark, make):
         for limit in (1000, 0)
     ]
     assert both[0] == both[1] and len(both[0]) == 60
+
+
+def written(plan, metric):
+    """What the exchanges of an executed plan have written."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return written(plan.executedPlan(), metric)
+    if kind.endswith("QueryStageExec"):
+        return written(plan.plan(), metric)
+    own = plan.metrics().apply(metric).value() if kind == "ShuffleExchangeExec" else 0
+    children = plan.children()
+    return own + sum(written(children.apply(i), metric) for i in range(children.size()))
+
+
+def test_rows_are_dealt_out_packed_and_the_words_of_a_pack_once(spark, dictionary):
+    """Not every row with its tokens, and not the words of every row."""
+    text = " ".join(["香港中環地鐵站附近公寓"] * 50)
+    frame = segmented(
+        spark.range(0, 600, 1, 3).withColumn("text", F.lit(text)), dictionary, limit=0
+    ).select("id", "tokens")
+    want = ["香港", "中環", "地鐵站", "附近", "公寓"] * 50
+    assert {r.id: r.tokens for r in frame.collect()} == dict.fromkeys(range(600), want)
+    plan = frame._jdf.queryExecution().executedPlan()
+    assert written(plan, "shuffleRecordsWritten") < 200
+
+
+def test_packs_hold_every_row_in_order(monkeypatch):
+    monkeypatch.setattr(functions, "PACKED", 5)
+    batch = pa.record_batch({
+        "id": pa.array(range(7)),
+        "tokens": pa.array([["天地", "x"], None, [], ["玄黄宇宙洪荒"], [], ["日"], None], pa.list_(pa.string())),
+    })
+    packs = list(functions.packs_of(batch, "tokens"))
+    assert len(packs) > 1
+    again = [functions.unpacked(pa.py_buffer(functions.packed(rows))) for rows in packs]
+    assert pa.concat_tables(again).to_pylist() == batch.to_pylist()
+    assert list(functions.packs_of(batch.slice(0, 0), "tokens")) == []
+
+
+def test_columns_of_any_kind_and_rows_without_tokens_go_along(spark, dictionary):
+    """Dates, decimals, structs and maps come back as they were; copies of a row stay copies."""
+    frame = spark.sql(
+        "select id, case id % 4 when 0 then '香港地鐵' when 1 then null when 2 then '' else 'sea 公寓' end as text, "
+        "date '2020-01-31' as day, timestamp '2020-01-31 01:02:03' as at, cast(1.25 as decimal(9, 2)) as price, "
+        "named_struct('a', id, 'b', array(id, null)) as s, map('k', id) as m, cast('x' as binary) as raw "
+        "from (select id div 2 as id from range(0, 24, 1, 5))")
+    both = [segmented(frame, dictionary, limit=limit) for limit in (1000, 0)]
+    assert both[0].schema.simpleString() == both[1].schema.simpleString()
+    assert Counter(map(str, both[0].collect())) == Counter(map(str, both[1].collect()))
+    made = spark.createDataFrame([(1, ["", ""]), (2, ["", "香港地鐵"]), (3, [None]), (4, [])], "id long, t array<string>")
+    got = {r.id: r.t for r in segmented(made, dictionary, "t", "t", limit=0).collect()}
+    assert got == {1: ["", ""], 2: ["香港", "地鐵"], 3: [None], 4: []}
