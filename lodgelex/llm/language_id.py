@@ -13,10 +13,12 @@ texts of each language, ``SAMPLE_ROWS`` texts and ``SAMPLE_BYTES`` bytes in all.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,8 @@ SAMPLE_ROWS = 204_800
 #: No text takes more than this part of its language's share of the bytes.
 PARTS = 8
 UNKNOWN = "und"
+#: A label gives way to another language only above this score.
+SURE = 0.5
 #: Bytes that a task scores together.
 TOGETHER = 1 << 20
 
@@ -119,9 +123,9 @@ class Model:
     """Machines of the families and, inside each family, of its languages."""
 
     def __init__(self, samples: list[tuple[str, bytes]]):
-        languages = sorted({language for language, _ in samples})
+        self.languages = sorted({language for language, _ in samples})
         self.families = {}
-        for language in languages:
+        for language in self.languages:
             self.families.setdefault(FAMILY_OF.get(language, language), []).append(language)
         self.names = sorted(self.families)
         features = [shares(raw) for _, raw in samples]
@@ -330,16 +334,25 @@ def predicted(model: Model | None, column: pa.Array) -> tuple[pa.Array, pa.Array
 def accepted(docs: DataFrame, model: Model | None, **columns) -> DataFrame:
     """The rows with a letter in their text, with the columns of ``docs``.
 
-    A missing ``lang`` is filled in, with ``und`` where there was nothing to learn from.  No language
-    is rejected, however low its score.
+    The language of every one of them is identified from its whole text.  It becomes ``lang`` where that
+    is missing, ``und`` where there was nothing to learn from, and where it is another language than a
+    ``lang`` that the machines have learnt, with a score above ``SURE``.  Labels of languages that they
+    have not learnt stay.  No language is rejected, however low its score.
     """
     text_col, lang_col = columns.get("text_col", "text"), columns.get("lang_col", "lang")
+    learnt = pa.array(model.languages if model else [], pa.string())
 
+    def decide(batches):
+        for raw, lang in batches:
+            found, score = predicted(model, raw)
+            lang = lang.cast(pa.string())
+            wrong = pc.and_(pc.is_in(lang, value_set=learnt), pc.greater(score, SURE))
+            yield pc.if_else(pc.or_(pc.is_null(lang), wrong), found, lang)
+
+    # Only the text and its label go to Python.
     @F.arrow_udf("string")
-    def language(raw: pa.Array) -> pa.Array:
-        return predicted(model, raw)[0]
+    def language(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        yield from giving_back(decide)(batches)
 
-    # Only the text goes to Python, and only where the language is missing.
-    missing = F.when(F.col(lang_col).isNull(), F.col(text_col)).cast("binary")
-    filled = F.coalesce(F.col(lang_col), language(missing))
-    return docs.where(has_letters(text_col)).withColumn(lang_col, filled)
+    decided = language(F.col(text_col).cast("binary"), F.col(lang_col))
+    return docs.where(has_letters(text_col)).withColumn(lang_col, decided)

@@ -67,6 +67,24 @@ def test_language_edge_rows(spark, docs, languages):
     assert {r["lang"] for r in kept.where("doc_id = 903").collect()} == {"de"}
 
 
+def test_labelled_texts_are_identified_too(spark, languages):
+    """A label that the text contradicts gives way; one of a language that was not learnt stays."""
+    german = "der die und haus mit wasser ding dort soll " * 4
+    rows = [(1, german, "de"), (2, german, "en"), (3, german, "xx"), (4, german, None), (5, "12 34", "en"),
+            (6, None, "en"), (7, german * 2000, "fr"), (2, german, "en"), (None, german, "es")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted((r["doc_id"] or 0, r["lang"]) for r in language_id.accepted(docs, languages).collect())
+    assert got == [(0, "de"), (1, "de"), (2, "de"), (2, "de"), (3, "xx"), (4, "de"), (7, "de")]
+    bare = sorted((r["doc_id"] or 0, r["lang"]) for r in language_id.accepted(docs, None).collect())
+    assert bare == [(0, "es"), (1, "de"), (2, "en"), (2, "en"), (3, "xx"), (4, "und"), (7, "fr")]
+
+
+def test_a_label_stays_where_the_machines_are_unsure(spark, languages, monkeypatch):
+    monkeypatch.setattr(language_id, "SURE", 1.0)
+    docs = spark.createDataFrame([(1, "der die und haus", "en")], "doc_id long, text string, lang string")
+    assert [r["lang"] for r in language_id.accepted(docs, languages).collect()] == ["en"]
+
+
 def test_language_is_a_function_of_the_text(spark, docs, languages):
     shuffled = docs.selectExpr("-doc_id as doc_id", "text", "'xx' as lang")
     a = sorted((r["lang_pred"], r["score"]) for r in language_id.identify(docs, languages).collect())
